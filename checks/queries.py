@@ -18,6 +18,7 @@ from ledgerlens.functions import domain
 from ledgerlens.operators import audit as oa
 from ledgerlens.operators import lookups, quality, relational, windows
 from ledgerlens.plans import audits, bronze, contracts, fraud, gold, silver
+from ledgerlens.session import tune
 from ledgerlens.sources import files, fx_payload, tables
 from ledgerlens.streaming import runs
 
@@ -35,7 +36,7 @@ def plain_times(df: DataFrame) -> DataFrame:
 
 def query(fn: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        tune(spark)
         return plain_times(fn(spark, sf_dir.rstrip("/")))
 
     run.__name__, run.__doc__ = fn.__name__, fn.__doc__
@@ -312,7 +313,8 @@ def fx_silver_audit(spark, sf_dir):
 @query
 def join_fx(spark, sf_dir):
     clean = D.txn_clean(spark, sf_dir).select("txn_id", F.to_date("event_ts").alias("event_date"))
-    return silver.join_fx(clean, D.fx_daily(spark, sf_dir))
+    joined = silver.join_fx(clean, D.fx_daily(spark, sf_dir))
+    return joined.select("txn_id", "event_date", *[F.col(f"GBP_{c}").cast("double").alias(f"GBP_{c}") for c in V.QUOTE_CURRENCIES])
 
 
 @query
@@ -339,7 +341,7 @@ def to_base_inverted(spark, sf_dir):
     """The true conversion: amount divided by the rate."""
     txn = D.txn_clean(spark, sf_dir).withColumn("event_date", F.to_date("event_ts"))
     joined = silver.join_fx(txn, D.fx_daily(spark, sf_dir))
-    gbp = domain.to_base("amount", "currency", invert=True, rate_type=D.RATE)
+    gbp = domain.to_base("amount", "currency", invert=True)
     return joined.select("txn_id", "currency", gbp.cast("double").alias("gbp_amount"))
 
 

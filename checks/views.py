@@ -84,7 +84,10 @@ def txn_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # -- FX -----------------------------------------------------------------------
 def fx_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One rate per currency and six-hour fetch: the mean event value / 50, 4 digits."""
+    """One rate per currency and six-hour fetch: the mean event value / 50, 4 digits.
+
+    Stored like the staging table it stands for, so that a query reads the events once for it.
+    """
     ts = F.col("ts").cast("timestamp")
     e = table(spark, sf_dir, "events").select(
         (F.date_trunc("DAY", ts) + F.make_dt_interval(hours=F.floor(F.hour(ts) / 6).cast("int") * 6)).alias("fetch_ts"),
@@ -97,7 +100,7 @@ def fx_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.concat(F.date_format(source, "EEE, dd MMM yyyy HH:mm:ss"), F.lit(" +0000"))
     hour = F.hour("fetch_ts")
     text = F.when((F.col("i") == 3) & (hour == 0), None).when((F.col("i") == 2) & (hour == 18), "n/a").otherwise(text)
-    return r.select(
+    stage = r.select(
         F.concat(F.lit(V.BASE_CURRENCY), quote, F.lit("_"), F.date_format("fetch_ts", "yyyyMMddHHmm")).alias("rate_id"),
         F.lit(V.BASE_CURRENCY).alias("base_currency"),
         quote.alias("quote_currency"),
@@ -107,6 +110,7 @@ def fx_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(V.FX_PROVIDER).alias("provider"),
         F.lit(V.PIPELINE_VERSION).alias("pipeline_version"),
     )
+    return hand_over(stage, "fx_rates_stage")
 
 
 def fx_stage_faulty(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -135,7 +139,7 @@ def fx_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fx_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The day's rates, stored: the joins that follow are planned with their real size."""
     pivoted = silver.fx_pivot(fx_silver(spark, sf_dir), required=(), as_of=AS_OF)
-    return hand_over(silver.fx_daily(pivoted), "fx_daily")
+    return hand_over(silver.fx_daily(pivoted, rate_type=RATE), "fx_daily")
 
 
 # -- reference tables ---------------------------------------------------------
@@ -203,7 +207,6 @@ def enrich(spark: SparkSession, sf_dir: str, clean: DataFrame) -> DataFrame:
         silver.active_sanctions(sanctions(spark, sf_dir)),
         as_of=AS_OF,
         money=MONEY,
-        rate_type=RATE,
     )
 
 

@@ -135,9 +135,12 @@ def content_hash(parts: Mapping[str, ColumnLike], sep: str = "|") -> Column:
 
 
 # -- JSON cells ---------------------------------------------------------------
-def json_list(order: ColumnLike, *fields: Column) -> Column:
-    """Aggregate: the group's rows as a JSON array, sorted by ``order`` whatever order they arrive in."""
+def json_list(order: ColumnLike, *fields: Column, limit: int | None = None) -> Column:
+    """Aggregate: the group's (first ``limit``) rows as a JSON array, sorted by ``order`` whatever
+    order they arrive in."""
     rows = F.sort_array(F.collect_list(F.struct(col(order).alias("_order"), F.struct(*fields).alias("row"))))
+    if limit is not None:
+        rows = F.slice(rows, 1, limit)
     return F.to_json(F.transform(rows, lambda r: r["row"]))
 
 

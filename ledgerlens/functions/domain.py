@@ -23,21 +23,16 @@ def to_base(
     quotes: Sequence[str] = V.QUOTE_CURRENCIES,
     base: str = V.BASE_CURRENCY,
     invert: bool = False,
-    rate_type: str | None = None,
 ) -> Column:
     """Amount in the base currency, 2 digits; NULL for an unknown currency or a missing rate.
 
     Rates are stored as *quote units per base unit*.  The defined result nevertheless
     multiplies by the rate; ``invert=True`` divides, which is the true conversion.
-    ``rate_type`` casts the rates first (a decimal type keeps decimal money decimal).
     """
 
-    def rate(c: str) -> Column:
-        r = F.col(rate_column(c, base))
-        return r if rate_type is None else r.cast(rate_type)
-
     def converted(c: str) -> Column:
-        return col(amount) / F.nullif(rate(c), F.lit(0)) if invert else col(amount) * rate(c)
+        rate = F.col(rate_column(c, base))
+        return col(amount) / F.nullif(rate, F.lit(0)) if invert else col(amount) * rate
 
     chain = F.when(col(currency) == base, col(amount))
     chain = reduce(lambda acc, c: acc.when(col(currency) == c, converted(c)), quotes, chain)

@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.functions.columns import any_holds, col, json_list, json_map
+from ledgerlens.functions.columns import any_holds, json_list, json_map
 from ledgerlens.operators.relational import count_rows, latest, top_k
 
 
@@ -33,11 +33,22 @@ def top_reasons(held: DataFrame, k: int = 5) -> DataFrame:
     return top_k(counted, [F.desc("count"), F.asc("failure_reasons")], k)
 
 
-def top_reasons_json(held: DataFrame, alias: str = "top_failure_reasons", k: int = 5, count_name: str = "count") -> DataFrame:
-    """``top_reasons`` as one JSON cell, ``[]`` for an empty quarantine."""
-    rank = F.struct((-F.col("count")).alias("n"), F.col("failure_reasons"))
-    cell = json_list(rank, F.col("failure_reasons"), F.col("count").alias(count_name))
-    return top_reasons(held, k).agg(cell.alias(alias))
+def held_summary(
+    held: DataFrame,
+    rows: str = "quarantine_rows",
+    top: str = "top_failure_reasons",
+    k: int = 5,
+    count_name: str = "count",
+) -> DataFrame:
+    """Quarantine size and ``top_reasons`` as one JSON cell (``[]`` if empty), in one scan.
+
+    The rows are first counted per label.  Labels are combinations of a fixed set of reasons, so
+    the list that is sorted has a size that does not depend on the data.
+    """
+    counted = held.groupBy("failure_reasons").agg(F.count("*").alias("n"))
+    rank = F.struct((-F.col("n")).alias("n"), F.col("failure_reasons"))
+    cell = json_list(rank, F.col("failure_reasons"), F.col("n").alias(count_name), limit=k)
+    return scalars(counted, **{rows: F.coalesce(F.sum("n"), F.lit(0)), top: cell})
 
 
 def distribution(df: DataFrame, column: str, count_name: str = "count") -> DataFrame:
@@ -46,9 +57,14 @@ def distribution(df: DataFrame, column: str, count_name: str = "count") -> DataF
     return count_rows(df.select(key), [column], count_name)
 
 
-def distribution_json(df: DataFrame, column: str, alias: str) -> DataFrame:
-    """``distribution`` as one JSON cell.  Meant for category columns: one entry per value."""
-    return distribution(df, column).agg(json_map(column, "count").alias(alias))
+def distribution_json(df: DataFrame, column: str, alias: str, rows: str | None = None) -> DataFrame:
+    """``distribution`` as one JSON cell and, if ``rows`` is given, the row total; in one scan.
+
+    Meant for category columns: the cell has one entry per value.
+    """
+    counted = distribution(df, column)
+    total = {rows: F.coalesce(F.sum("count"), F.lit(0))} if rows else {}
+    return scalars(counted, **{alias: json_map(column, "count"), **total})
 
 
 def audit_status(fail_when: Sequence[Column]) -> Column:
@@ -89,4 +105,4 @@ def check_audit(audit: DataFrame, **gate) -> None:
 
 def scalars(df: DataFrame, **metrics: Column) -> DataFrame:
     """One-row aggregate with named metrics."""
-    return df.agg(*[col(m).alias(n) for n, m in metrics.items()])
+    return df.agg(*[m.alias(n) for n, m in metrics.items()])

@@ -1,4 +1,8 @@
-"""One audit row per layer and run: counts, quarantine share, distributions, top failures, status."""
+"""One audit row per layer and run: counts, quarantine share, distributions, top failures, status.
+
+Each input is scanned once: it is counted per category first, and totals and the JSON cells are
+taken from the few category rows.
+"""
 
 from __future__ import annotations
 
@@ -10,13 +14,13 @@ from pyspark.sql.types import StructType
 
 from ledgerlens import schemas
 from ledgerlens import values as V
-from ledgerlens.functions.columns import content_hash, count_where, distinct, json_map, query_time, sum0
+from ledgerlens.functions.columns import content_hash, count_where, distinct, json_map, query_time, ratio0, sum0
 from ledgerlens.operators.audit import (
     audit_status,
     combine_scalars,
     distribution_json,
+    held_summary,
     scalars,
-    top_reasons_json,
 )
 from ledgerlens.operators.quality import quarantine_pct
 from ledgerlens.operators.relational import conform
@@ -29,6 +33,10 @@ def _finish(parts: DataFrame, schema: StructType, as_of: AsOf, fail_when: list[C
     return conform(done, schema)
 
 
+def _total(n) -> Column:
+    return F.coalesce(F.sum(n), F.lit(0))
+
+
 def _row_total(df: DataFrame, alias: str) -> DataFrame:
     return scalars(df, **{alias: F.count("*")})
 
@@ -57,9 +65,8 @@ def fx_audit(
             max_rate_age_mins=F.coalesce(F.max("rate_age_minutes"), F.lit(0.0)),
             stale_rate_count=count_where("is_stale"),
         ),
-        _row_total(held, "quarantine_rows"),
         rate_snapshot(parsed).agg(json_map("quote_currency", "rate").alias("rate_snapshot")),
-        top_reasons_json(held),
+        held_summary(held),
     ).withColumns(
         {
             "quarantine_pct": quarantine_pct("quarantine_rows", "total_rows"),
@@ -86,8 +93,7 @@ def _files_audit(
     )
     parts = combine_scalars(
         scalars(raw, **{total: F.count("*"), files: distinct("source_file")}),
-        _row_total(held, held_rows),
-        top_reasons_json(held, top),
+        held_summary(held, held_rows, top),
     ).withColumn(share, quarantine_pct(held_rows, total))
     return _finish(parts, schema, as_of, [F.col(total) == 0, F.col(share) > max_quarantine_pct])
 
@@ -106,11 +112,9 @@ def txn_audit(
 ) -> DataFrame:
     """FAIL if nothing arrived or the quarantine share reaches the limit."""
     parts = combine_scalars(
-        _row_total(raw, "total_rows"),
+        distribution_json(raw, "currency", "currency_dist", rows="total_rows"),
         _row_total(clean, "good_rows"),
-        _row_total(held, "quarantine_rows"),
-        distribution_json(raw, "currency", "currency_dist"),
-        top_reasons_json(held, count_name="cnt"),
+        held_summary(held, count_name="cnt"),
     ).withColumn("quarantine_pct", quarantine_pct("quarantine_rows", "total_rows"))
     return _finish(
         parts,
@@ -123,18 +127,24 @@ def txn_audit(
 # -- silver -------------------------------------------------------------------
 def txn_silver_audit(txn: DataFrame, held: DataFrame, as_of: AsOf = None, max_quarantine_pct: float = 5.0) -> DataFrame:
     """FAIL if empty, too much is quarantined, or any counterparty is sanctioned."""
+    channels = txn.groupBy("channel").agg(
+        F.count("*").alias("n"),
+        F.sum("gbp_amount").alias("gbp"),
+        count_where("counterparty_sanctioned").alias("sanctioned"),
+        count_where("is_high_risk_merchant").alias("high_risk"),
+        count_where("is_cross_border").alias("cross_border"),
+    )
     parts = combine_scalars(
         scalars(
-            txn,
-            total_rows=F.count("*"),
-            total_gbp_volume=sum0("gbp_amount"),
-            sanctioned_count=count_where("counterparty_sanctioned"),
-            high_risk_count=count_where("is_high_risk_merchant"),
-            cross_border_count=count_where("is_cross_border"),
+            channels,
+            total_rows=_total("n"),
+            total_gbp_volume=sum0("gbp"),
+            sanctioned_count=_total("sanctioned"),
+            high_risk_count=_total("high_risk"),
+            cross_border_count=_total("cross_border"),
+            channel_dist=json_map("channel", "n"),
         ),
-        _row_total(held, "quarantine_rows"),
-        distribution_json(txn, "channel", "channel_dist"),
-        top_reasons_json(held),
+        held_summary(held),
     ).withColumn("quarantine_pct", quarantine_pct("quarantine_rows", "total_rows"))
     return _finish(
         parts,
@@ -156,18 +166,22 @@ def fx_silver_audit(
     expected_pairs: int = len(V.QUOTE_CURRENCIES),
 ) -> DataFrame:
     """FAIL if empty, too much is quarantined, or a currency pair is missing."""
+    pair_days = fx.groupBy("quote_currency", "rate_date").agg(
+        F.count("*").alias("n"),
+        count_where("significant_move").alias("moves"),
+        F.sum("rate_change_pct").alias("change"),
+        F.count("rate_change_pct").alias("changes"),
+    )
     parts = combine_scalars(
-        # One distinct count per aggregate: each is a plain two-step aggregate, nothing is expanded.
         scalars(
-            fx,
-            total_rows=F.count("*"),
-            significant_move_count=count_where("significant_move"),
-            avg_rate_change_pct=F.coalesce(F.round(F.avg("rate_change_pct"), 6), F.lit(0.0)),
+            pair_days,
+            total_rows=_total("n"),
+            currency_pairs=distinct("quote_currency"),
+            distinct_dates=distinct("rate_date"),
+            significant_move_count=_total("moves"),
+            avg_rate_change_pct=ratio0(F.sum("change"), F.sum("changes"), 6),
         ),
-        scalars(fx, currency_pairs=distinct("quote_currency")),
-        scalars(fx, distinct_dates=distinct("rate_date")),
-        _row_total(held, "quarantine_rows"),
-        top_reasons_json(held),
+        held_summary(held),
     ).withColumn("quarantine_pct", quarantine_pct("quarantine_rows", "total_rows"))
     return _finish(
         parts,
@@ -184,13 +198,17 @@ def fx_silver_audit(
 # -- gold ---------------------------------------------------------------------
 def daily_risk_audit(summary: DataFrame, anomalies: DataFrame, exposure: DataFrame, as_of: AsOf = None) -> DataFrame:
     """FAIL if there is no day or anyone is sanctioned."""
+    bands = summary.groupBy("daily_risk_band").agg(
+        F.count("*").alias("n"), F.sum("total_gbp_volume").alias("gbp"), F.sum("sanctioned_count").alias("hits")
+    )
     parts = combine_scalars(
         scalars(
-            summary,
-            summary_days=F.count("*"),
-            total_pipeline_gbp_volume=sum0("total_gbp_volume"),
-            high_risk_days=count_where(F.col("daily_risk_band").isin("HIGH", "CRITICAL")),
-            total_sanctioned_hits=F.coalesce(F.sum("sanctioned_count"), F.lit(0)),
+            bands,
+            summary_days=_total("n"),
+            total_pipeline_gbp_volume=sum0("gbp"),
+            high_risk_days=_total(F.when(F.col("daily_risk_band").isin("HIGH", "CRITICAL"), F.col("n"))),
+            total_sanctioned_hits=_total("hits"),
+            risk_band_dist=json_map("daily_risk_band", "n"),
         ),
         scalars(
             anomalies,
@@ -199,7 +217,6 @@ def daily_risk_audit(summary: DataFrame, anomalies: DataFrame, exposure: DataFra
             sanctioned_customers=count_where("sanctioned_flag"),
         ),
         scalars(exposure, fx_exposure_rows=F.count("*"), fx_risk_flag_count=count_where("rate_risk_flag")),
-        distribution_json(summary, "daily_risk_band", "risk_band_dist"),
     )
     return _finish(
         parts,

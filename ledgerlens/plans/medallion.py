@@ -59,7 +59,9 @@ class Store:
         return run_stream(df, self.path(name), self.checkpoint(name))
 
 
-def run_fx(store: Store, stage: DataFrame, as_of: AsOf = None, required=("USD", "EUR")) -> DataFrame:
+def run_fx(
+    store: Store, stage: DataFrame, as_of: AsOf = None, required=("USD", "EUR"), rate_type: str = "double"
+) -> DataFrame:
     """Bronze and silver FX with their audits; returns the day's rates."""
     raw = store.put("market_data_raw", bronze.fx_raw(stage))
     parsed = store.put("market_data_parsed", bronze.fx_parse(raw))
@@ -69,7 +71,7 @@ def run_fx(store: Store, stage: DataFrame, as_of: AsOf = None, required=("USD",
     fx_held = store.put("fx_rates_silver_quarantine", silver.fx_silver_quarantine(parsed, as_of))
     store.add("fx_rates_silver_audit", audits.fx_silver_audit(fx, fx_held, as_of))
     pivoted = store.put("fx_rates_pivoted", silver.fx_pivot(fx, required=required, as_of=as_of))
-    return store.put("fx_daily", silver.fx_daily(pivoted))
+    return store.put("fx_daily", silver.fx_daily(pivoted, rate_type=rate_type))
 
 
 def run_gold(store: Store, as_of: AsOf = None) -> None:
@@ -93,11 +95,11 @@ def run_batch(
     sanctions: DataFrame,
     as_of: AsOf = None,
     money: str = "double",
-    rate_type: str | None = None,
+    rate_type: str = "double",
     required=("USD", "EUR"),
 ) -> None:
     """All layers from batch inputs (``mcc`` and ``sanctions`` with their lineage columns)."""
-    daily = run_fx(store, fx_stage, as_of, required)
+    daily = run_fx(store, fx_stage, as_of, required, rate_type)
     mcc = store.put("mcc_codes_raw", mcc)
     mcc_held = store.put("mcc_codes_quarantine", bronze.mcc_quarantine(mcc, as_of))
     store.add("mcc_files_audit", audits.mcc_audit(mcc, mcc_held, as_of))
@@ -117,7 +119,7 @@ def run_batch(
     levels = store.put("mcc_levels", silver.mcc_levels(mcc))
     active = store.put("active_sanctions", silver.active_sanctions(listed))
     unique = dedupe(clean, ["txn_id", "event_ts"])
-    enriched = silver.txn_enrich(unique, daily, levels, active, as_of, money, rate_type)
+    enriched = silver.txn_enrich(unique, daily, levels, active, as_of, money)
     txn = store.put("transactions_cleansed", enriched)
     txn_held = store.put("transactions_silver_quarantine", silver.txn_silver_quarantine(clean, as_of))
     store.add("transactions_silver_audit", audits.txn_silver_audit(txn, txn_held, as_of))

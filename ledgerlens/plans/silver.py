@@ -65,10 +65,20 @@ def fx_silver_quarantine(parsed: DataFrame, as_of: AsOf = None) -> DataFrame:
     return quarantine(parsed, C.FX_SILVER_REASONS, layer="silver", as_of=as_of)
 
 
-def fx_daily(pivoted: DataFrame, currencies: Sequence[str] = V.QUOTE_CURRENCIES, base: str = V.BASE_CURRENCY) -> DataFrame:
-    """The day's last fetch, keyed by ``event_date``."""
+def fx_daily(
+    pivoted: DataFrame,
+    currencies: Sequence[str] = V.QUOTE_CURRENCIES,
+    base: str = V.BASE_CURRENCY,
+    rate_type: str = "double",
+) -> DataFrame:
+    """The day's last fetch, keyed by ``event_date``.
+
+    ``rate_type`` types the rates here, once per day and not once per converted row; a decimal
+    type keeps decimal money decimal.
+    """
     last = latest_per(pivoted, ["rate_date"], [F.desc("fetch_ts"), F.asc("base_currency")])
-    return last.select(F.col("rate_date").alias("event_date"), *[domain.rate_column(c, base) for c in currencies])
+    rates = [F.col(domain.rate_column(c, base)).cast(rate_type).alias(domain.rate_column(c, base)) for c in currencies]
+    return last.select(F.col("rate_date").alias("event_date"), *rates)
 
 
 # -- reference tables ---------------------------------------------------------
@@ -112,7 +122,6 @@ def txn_enrich(
     active: DataFrame,
     as_of: AsOf = None,
     money: str = "double",
-    rate_type: str | None = None,
     invert: bool = False,
     **limits,
 ) -> DataFrame:
@@ -122,7 +131,7 @@ def txn_enrich(
     ``levels`` and ``active`` come from ``fx_daily``, ``mcc_levels`` and ``active_sanctions``.
     Rows already written by a stream are not revised when a later rate arrives: re-run the
     batch form for rows without ``gbp_amount``.  ``money`` is the type of the two amounts:
-    double, or a decimal type for order-independent sums.
+    double, or a decimal type for order-independent sums (then with decimal rates).
     """
     typed = clean.withColumns(
         {
@@ -146,7 +155,7 @@ def txn_enrich(
     joined = flag_sanctioned(join_mcc(join_fx(flagged, daily, **limits), levels, **limits), active, **limits)
     done = joined.withColumns(
         {
-            "gbp_amount": domain.to_base("amount", "currency", invert=invert, rate_type=rate_type).cast(money),
+            "gbp_amount": domain.to_base("amount", "currency", invert=invert).cast(money),
             "silver_processed_ts": query_time(as_of),
             "pipeline_version": F.lit(V.PIPELINE_VERSION),
         }
