@@ -24,7 +24,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def choose(index, *options: str):
+def choose(index, *options: str | None):
     """Option number ``index`` (0-based)."""
     return F.element_at(F.array(*[F.lit(o) for o in options]), (index + 1).cast("int"))
 
@@ -41,9 +41,7 @@ def txn_from_events(events: DataFrame) -> DataFrame:
         F.get_json_object("props", "$.k").cast("int").alias("k"),
     )
     eid, uid, k = F.col("event_id"), F.col("user_id"), F.col("k")
-    currency = F.when(eid % 12 == 6, None).when(
-        eid % 12 <= 5, choose(F.least(eid % 12, F.lit(5)), "USD", "EUR", "AED", "NGN", "CNY", "XXX")
-    ).otherwise("GBP")
+    currency = choose(eid % 12, "USD", "EUR", "AED", "NGN", "CNY", "XXX", None, "GBP", "GBP", "GBP", "GBP", "GBP")
     country = choose(F.least(k % 8, F.lit(4)), "US", "NG", "CN", "AE", "GB")
     amount = F.when(eid % 97 == 0, None).when(eid % 89 == 0, F.col("v") * -40).otherwise(F.col("v") * 40)
     txn_type = (
@@ -65,7 +63,7 @@ def txn_from_events(events: DataFrame) -> DataFrame:
         F.when(k % 10 != 0, F.concat(F.lit("Merchant "), (k % 8).cast("string"))).alias("merchant_name"),
         F.when(k == 99, "9999").when(k % 10 != 0, (k + 1000).cast("string")).alias("merchant_mcc"),
         country.alias("country_code"),
-        (country != V.HOME_COUNTRY).alias("is_international"),
+        (k % 8 < 4).alias("is_international"),
         F.when(k % 10 >= 3, F.concat(F.lit("DEV"), (uid % 5000).cast("string"))).alias("device_id"),
         F.concat_ws(".", F.lit("10.0"), k.cast("string"), (uid % 256).cast("string")).alias("ip_address"),
         "event_ts",
@@ -92,9 +90,10 @@ def fx_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events").select(
         (F.date_trunc("DAY", ts) + F.make_dt_interval(hours=F.floor(F.hour(ts) / 6).cast("int") * 6)).alias("fetch_ts"),
         (F.get_json_object("props", "$.k").cast("int") % 8).alias("i"),
-        F.col("value").cast(MONEY).alias("v"),
+        F.round(F.col("value") * 100).cast("bigint").alias("cents"),
     )
-    r = e.groupBy("fetch_ts", "i").agg(F.round(F.sum("v") / (F.count("v") * 50), 4).cast("double").alias("rate"))
+    mean = F.sum("cents").cast("decimal(20,0)") / (F.count("cents") * 5000)
+    r = e.groupBy("fetch_ts", "i").agg(F.round(mean, 4).cast("double").alias("rate"))
     quote = choose(F.col("i"), *V.QUOTE_CURRENCIES)
     source = F.col("fetch_ts") - F.make_dt_interval(mins=5 + 5 * F.col("i"))
     text = F.concat(F.date_format(source, "EEE, dd MMM yyyy HH:mm:ss"), F.lit(" +0000"))

@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 from datetime import datetime
 from decimal import Decimal
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -32,17 +33,13 @@ def holds(p: ColumnLike) -> Column:
 
 
 def all_hold(preds: Iterable[ColumnLike]) -> Column:
-    out = F.lit(True)
-    for p in preds:
-        out = out & holds(p)
-    return out
+    """TRUE where every predicate is TRUE, else FALSE."""
+    return holds(reduce(lambda a, b: a & b, map(predicate, preds), F.lit(True)))
 
 
 def any_holds(preds: Iterable[ColumnLike]) -> Column:
-    out = F.lit(False)
-    for p in preds:
-        out = out | holds(p)
-    return out
+    """TRUE where at least one predicate is TRUE, else FALSE."""
+    return holds(reduce(lambda a, b: a | b, map(predicate, preds), F.lit(False)))
 
 
 def query_time(as_of: Column | datetime | None = None) -> Column:

@@ -17,26 +17,28 @@ def rate_column(currency: str, base: str = V.BASE_CURRENCY) -> str:
     return f"{base}_{currency}"
 
 
-def to_base(
-    amount: ColumnLike,
-    currency: ColumnLike,
-    quotes: Sequence[str] = V.QUOTE_CURRENCIES,
-    base: str = V.BASE_CURRENCY,
-    invert: bool = False,
+def convert(
+    amount: ColumnLike, currency: ColumnLike, rate: ColumnLike, invert: bool = False, base: str = V.BASE_CURRENCY
 ) -> Column:
-    """Amount in the base currency, 2 digits; NULL for an unknown currency or a missing rate.
+    """Amount in the base currency, 2 digits; NULL without a rate.
 
     Rates are stored as *quote units per base unit*.  The defined result nevertheless
     multiplies by the rate; ``invert=True`` divides, which is the true conversion.
     """
+    converted = col(amount) / F.nullif(col(rate), F.lit(0)) if invert else col(amount) * col(rate)
+    return F.round(F.when(col(currency) == base, col(amount)).otherwise(converted), 2)
 
-    def converted(c: str) -> Column:
-        rate = F.col(rate_column(c, base))
-        return col(amount) / F.nullif(rate, F.lit(0)) if invert else col(amount) * rate
 
-    chain = F.when(col(currency) == base, col(amount))
-    chain = reduce(lambda acc, c: acc.when(col(currency) == c, converted(c)), quotes, chain)
-    return F.round(chain, 2)
+def to_base(
+    amount: ColumnLike,
+    currency: ColumnLike,
+    quotes: Sequence[str] = V.QUOTE_CURRENCIES,
+    base: str = V.BASE_CURRENCY,
+    invert: bool = False,
+) -> Column:
+    """``convert`` with the rate picked from wide ``<base>_<currency>`` columns; NULL for another currency."""
+    picks = [F.when(col(currency) == c, F.col(rate_column(c, base))) for c in quotes]
+    return convert(amount, currency, F.coalesce(*picks), invert, base)
 
 
 def is_cross_border(country: ColumnLike = "country_code", home: str = V.HOME_COUNTRY) -> Column:

@@ -45,16 +45,16 @@ def expect_or_fail(df: DataFrame, rules: Rules, guard: str | None = None) -> Dat
     The check is part of the ``guard`` column (default: the first one), so it runs whenever
     that column is read or written; a plan that prunes the column also prunes the check.
     The always-true partition term is nondeterministic to the optimizer and keeps it from
-    moving later filters on the guard column below it, where the check would see rows that an earlier filter has yet to remove.
+    moving later filters on the guard column below it, where the check would see rows that an
+    earlier filter has yet to remove.
     """
     if not rules:
         return df
     guard = guard or df.columns[0]
     checked: Column | None = None
     for name, p in rules.items():
-        message = F.lit(f"expectation failed: {name}")
-        stop = F.raise_error(message).cast(df.schema[guard].dataType)
-        broken = ~holds(p) & (F.spark_partition_id() >= 0)
+        broken = ~holds(p) if checked is not None else ~(holds(p) & (F.spark_partition_id() >= 0))
+        stop = F.raise_error(F.lit(f"expectation failed: {name}")).cast(df.schema[guard].dataType)
         checked = F.when(broken, stop) if checked is None else checked.when(broken, stop)
     return df.withColumn(guard, checked.otherwise(F.col(guard)))
 

@@ -81,6 +81,16 @@ def fx_daily(
     return last.select(F.col("rate_date").alias("event_date"), *rates)
 
 
+def daily_rates(
+    daily: DataFrame, currencies: Sequence[str] = V.QUOTE_CURRENCIES, base: str = V.BASE_CURRENCY
+) -> DataFrame:
+    """``fx_daily`` in long form: one row per day and currency, ``rate`` NULL where the day has none."""
+    entries = F.array(
+        *[F.struct(F.lit(c).alias("currency"), F.col(domain.rate_column(c, base)).alias("rate")) for c in currencies]
+    )
+    return daily.select("event_date", F.inline(entries))
+
+
 # -- reference tables ---------------------------------------------------------
 def mcc_levels(mcc: DataFrame, order: Sequence[Column] | None = None) -> DataFrame:
     """One risk level per code, keyed by ``merchant_mcc``.
@@ -152,10 +162,12 @@ def txn_enrich(
             "merchant_mcc": F.coalesce("merchant_mcc", F.lit(V.UNKNOWN_MCC)),
         }
     )
-    joined = flag_sanctioned(join_mcc(join_fx(flagged, daily, **limits), levels, **limits), active, **limits)
+    # Long rates: one column and one product per row, not eight columns and a nine-way choice.
+    rated = lookup_join(flagged, daily_rates(daily), ["event_date", "currency"], **limits)
+    joined = flag_sanctioned(join_mcc(rated, levels, **limits), active, **limits)
     done = joined.withColumns(
         {
-            "gbp_amount": domain.to_base("amount", "currency", invert=invert).cast(money),
+            "gbp_amount": domain.convert("amount", "currency", "rate", invert).cast(money),
             "silver_processed_ts": query_time(as_of),
             "pipeline_version": F.lit(V.PIPELINE_VERSION),
         }

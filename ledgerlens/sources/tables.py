@@ -5,7 +5,9 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ledgerlens import values as V
@@ -36,32 +38,29 @@ def overwrite(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> N
 
 
 def merge_into(spark: SparkSession, path: str, updates: DataFrame, keys: list[str]) -> DataFrame:
-    """Keyed upsert of a stored table: the merged rows go to a new version directory under ``path``.
+    """Keyed upsert of a stored table.
 
-    Readers take the returned frame (or ``latest_version``); the version read is never overwritten.
+    The merged rows go to a new folder, which is then recorded as the newest version: a reader
+    never sees a half-written version, and a failed attempt leaves the current one in place.
     """
-    current = latest_version(spark, path)
+    number, current = latest_version(spark, path)
     merged = updates if current is None else upsert(spark.read.parquet(current), updates, keys)
-    target = f"{path}/version={version_number(current) + 1:010d}"
-    merged.write.mode("errorifexists").parquet(target)
+    target = f"{path}/data/{uuid.uuid4().hex}"
+    merged.write.parquet(target)
+    append(spark.range(1).select(F.lit(number + 1).alias("version"), F.lit(target).alias("folder")), f"{path}/versions")
     return spark.read.parquet(target)
 
 
-def version_number(path: str | None) -> int:
-    return -1 if path is None else int(path.rsplit("version=", 1)[1])
-
-
-def latest_version(spark: SparkSession, path: str) -> str | None:
-    """Newest completely written version directory, or None."""
-    marker = "_SUCCESS"
+def latest_version(spark: SparkSession, path: str) -> tuple[int, str | None]:
+    """Number and folder of the newest recorded version; (-1, None) before the first."""
     try:
-        done = spark.read.format("binaryFile").load(f"{path}/version=*/{marker}").select("path")
-        newest = done.agg({"path": "max"}).first()[0]
-    except Exception as e:  # noqa: BLE001 - the path does not exist before the first write
-        if "PATH_NOT_FOUND" not in str(e):
+        versions = spark.read.schema("version int, folder string").parquet(f"{path}/versions")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
             raise
-        return None
-    return None if newest is None else newest.rsplit("/", 1)[0]
+        return -1, None
+    row = versions.agg(F.max("version").alias("n"), F.max_by("folder", "version").alias("folder")).first()
+    return (-1, None) if row["n"] is None else (row["n"], row["folder"])
 
 
 # -- hand-over ----------------------------------------------------------------
