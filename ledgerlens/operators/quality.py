@@ -116,9 +116,7 @@ def quarantine(
 def clean(df: DataFrame, predicates: Sequence[ColumnLike] | Rules) -> DataFrame:
     """Rows for which every predicate is TRUE."""
     preds = predicates.values() if isinstance(predicates, Mapping) else predicates
-    for p in preds:
-        df = df.filter(predicate(p))
-    return df
+    return df.filter(all_hold(preds))
 
 
 def with_fate(df: DataFrame, predicates: Rules, reasons: Rules) -> DataFrame:
