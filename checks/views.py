@@ -137,7 +137,8 @@ def fx_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fx_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The day's rates, stored: the joins that follow are planned with their real size."""
-    pivoted = silver.fx_pivot(fx_silver(spark, sf_dir), required=(), as_of=AS_OF)
+    valid = silver.fx_valid(bronze.fx_parse(fx_stage(spark, sf_dir)))
+    pivoted = silver.fx_pivot(valid, required=(), as_of=AS_OF)
     return hand_over(silver.fx_daily(pivoted, rate_type=RATE), "fx_daily")
 
 

@@ -7,6 +7,7 @@ the join shuffles with a salt, so that one hot key (or NULL) spreads over many t
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,16 +18,22 @@ MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 SALTS = 16
 
 
-def measure(df: DataFrame) -> tuple[int, int]:
-    """Rows and text bytes of a reference table, in one distributed aggregate."""
-    width = F.octet_length(F.concat_ws("", *[F.col(c).cast("string") for c in df.columns]))
-    row = df.agg(F.count("*").alias("n"), F.coalesce(F.sum(width), F.lit(0)).alias("bytes")).first()
-    return row["n"], row["bytes"]
+def measure(*frames: DataFrame) -> list[tuple[int, int]]:
+    """Rows and text bytes of each reference table, all in one job of distributed aggregates."""
+    sized = []
+    for i, df in enumerate(frames):
+        width = F.octet_length(F.concat_ws("", *[F.col(c).cast("string") for c in df.columns]))
+        size = df.agg(F.count("*").alias("n"), F.coalesce(F.sum(width), F.lit(0)).alias("bytes"))
+        sized.append(size.select(F.lit(i).alias("i"), "n", "bytes"))
+    rows = reduce(DataFrame.union, sized).collect()
+    return [(r["n"], r["bytes"]) for r in sorted(rows, key=lambda r: r["i"])]
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
-    rows, size = measure(df)
-    return rows <= max_rows and size <= max_bytes
+def fits_broadcast(
+    *frames: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES
+) -> list[bool]:
+    """For each reference table, whether its measured size allows a broadcast."""
+    return [rows <= max_rows and size <= max_bytes for rows, size in measure(*frames)]
 
 
 def spread(df: DataFrame, salts: int, salt: str = "_salt") -> DataFrame:
@@ -48,8 +55,14 @@ def lookup_join(
     max_rows: int = MAX_BROADCAST_ROWS,
     max_bytes: int = MAX_BROADCAST_BYTES,
     salts: int = SALTS,
+    fits: bool | None = None,
 ) -> DataFrame:
-    """Left join on same-named keys, unique on the right: broadcast if measured small, else salted."""
-    if fits_broadcast(right, max_rows, max_bytes):
+    """Left join on same-named keys, unique on the right: broadcast if measured small, else salted.
+
+    ``fits`` is the outcome of ``fits_broadcast`` where the caller measured several tables at once.
+    """
+    if fits is None:
+        (fits,) = fits_broadcast(right, max_rows=max_rows, max_bytes=max_bytes)
+    if fits:
         return left.join(F.broadcast(right), list(on), "left")
     return salted_left_join(left, right, on, salts)

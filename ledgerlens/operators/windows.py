@@ -10,6 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, FloatType
 
 from ledgerlens.functions.columns import ColumnLike, col
 
@@ -72,24 +73,41 @@ def rolling_totals(df: DataFrame, key: str, ts: str, value: str, days: int) -> D
     """(key, second, rolling): sum of ``value`` over ``[second - days, second]``, both ends included.
 
     The result depends on key and second only, so rows are first summed per key and second.
-    Time is cut into chunks as long as the window: a chunk's rows need that chunk and the one
-    before, so each per-second row goes to its own chunk and, as context, to the next.  A
-    window partition then holds at most two chunks of seconds whatever the key's row count.
+    A sliding frame would add up its whole content again for every row; instead each amount enters
+    at its second and leaves one second after the window has passed it, and a running sum over
+    these changes is the rolling total.  Time is cut into chunks as long as the window: a chunk
+    needs its own rows and, as context, what enters and leaves from the chunk before.  A window
+    partition then holds at most three chunk lengths of changes whatever the key's row count.
+
+    Floating input is summed as a decimal of 6 digits, so that what leaves cancels exactly.
     """
     length = days * DAY_SECONDS
-    per_second = (
-        df.groupBy(F.col(key), F.unix_seconds(F.col(ts).cast("timestamp")).alias("_second"))
-        .agg(F.sum(value).alias("_total"))
+    floating = df.schema[value].dataType in (DoubleType(), FloatType())
+    amount = F.col(value).cast("decimal(28,6)") if floating else F.col(value)
+    per_second = df.groupBy(F.col(key), F.unix_seconds(F.col(ts).cast("timestamp")).alias("_second")).agg(
+        F.sum(amount).alias("_total"), F.count(value).alias("_n")
     )
     chunk = F.floor(F.col("_second") / length)
-    copies = F.array(
-        F.struct(chunk.alias("chunk"), F.lit(True).alias("own")),
-        F.struct((chunk + 1).alias("chunk"), F.lit(False).alias("own")),
+
+    def change(into: Column, at: Column, sign: int, own: bool) -> Column:
+        return F.struct(
+            into.alias("chunk"),
+            at.alias("at"),
+            (F.col("_total") * sign).alias("moved"),
+            (F.col("_n") * sign).alias("n"),
+            F.lit(own).alias("own"),
+        )
+
+    at = F.col("_second")
+    changes = F.array(
+        change(chunk, at, 1, True), change(chunk + 1, at, 1, False), change(chunk + 1, at + length + 1, -1, False)
     )
-    placed = per_second.withColumn("_copy", F.explode(copies)).select("*", "_copy.chunk", "_copy.own").drop("_copy")
-    frame = Window.partitionBy(key, "chunk").orderBy("_second").rangeBetween(-length, 0)
-    summed = placed.withColumn("_rolling", F.sum("_total").over(frame))
-    return summed.filter("own").select(key, "_second", "_rolling")
+    placed = per_second.select(key, F.inline(changes)).filter("own OR chunk IS NOT NULL")
+    so_far = Window.partitionBy(key, "chunk").orderBy("at").rangeBetween(Window.unboundedPreceding, 0)
+    rolling = F.when(F.sum("n").over(so_far) > 0, F.sum("moved").over(so_far))
+    rolling = rolling.cast("double") if floating else rolling
+    summed = placed.select(key, F.col("at").alias("_second"), rolling.alias("_rolling"), "own")
+    return summed.filter("own").drop("own")
 
 
 def rolling_sum(df: DataFrame, key: str, ts: str, value: str, days: int, alias: str = "rolling_sum") -> DataFrame:

@@ -12,7 +12,7 @@ from ledgerlens import schemas
 from ledgerlens import values as V
 from ledgerlens.functions import domain
 from ledgerlens.functions.columns import query_time
-from ledgerlens.operators.lookups import lookup_join
+from ledgerlens.operators.lookups import fits_broadcast, lookup_join
 from ledgerlens.operators.quality import quarantine
 from ledgerlens.operators.relational import conform, dedupe, latest_per, pivot_wide
 from ledgerlens.operators.windows import daily_average, rate_change
@@ -40,6 +40,11 @@ def fx_silver(
     return conform(stamped, schemas.FX_SILVER)
 
 
+def fx_valid(parsed: DataFrame) -> DataFrame:
+    """The rows of ``fx_silver`` without its change metrics: all that the pivot and the day's rates need."""
+    return C.FX_SILVER.enforce(parsed)
+
+
 def fx_pivot(
     fx: DataFrame,
     currencies: Sequence[str] = V.QUOTE_CURRENCIES,
@@ -163,8 +168,10 @@ def txn_enrich(
         }
     )
     # Long rates: one column and one product per row, not eight columns and a nine-way choice.
-    rated = lookup_join(flagged, daily_rates(daily), ["event_date", "currency"], **limits)
-    joined = flag_sanctioned(join_mcc(rated, levels, **limits), active, **limits)
+    rates = daily_rates(daily)
+    fx_fits, mcc_fits, list_fits = fits_broadcast(rates, levels, active, **limits)
+    rated = lookup_join(flagged, rates, ["event_date", "currency"], fits=fx_fits)
+    joined = flag_sanctioned(join_mcc(rated, levels, fits=mcc_fits), active, fits=list_fits)
     done = joined.withColumns(
         {
             "gbp_amount": domain.convert("amount", "currency", "rate", invert).cast(money),

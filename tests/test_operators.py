@@ -46,8 +46,9 @@ def test_lookup_beyond_the_limit_is_salted_and_gives_the_same(spark, facts, list
 
 
 def test_lookup_measures_bytes_too(listed):
-    assert lookups.fits_broadcast(listed)
-    assert not lookups.fits_broadcast(listed, max_bytes=5)
+    assert lookups.measure(listed, listed.limit(1)) == [(4, 16), (1, 4)]
+    assert lookups.fits_broadcast(listed, listed.limit(1)) == [True, True]
+    assert lookups.fits_broadcast(listed, listed.limit(1), max_bytes=5) == [False, True]
 
 
 def test_salt_spreads_a_hot_key(facts):
@@ -93,7 +94,15 @@ def test_rolling_sum_equals_brute_force_with_a_hot_key(spark):
     assert got == brute_rolling(rows, 3)
 
 
-def test_rolling_window_holds_two_chunks_per_key(spark):
+def test_rolling_sum_of_doubles_cancels_exactly(spark):
+    start = datetime(2024, 1, 1)
+    rows = [("a", start + timedelta(hours=7 * i), 0.1 * (i % 7) + 8999.9 * (i == 3)) for i in range(60)]
+    df = spark.createDataFrame(rows, "k string, ts timestamp, x double")
+    want = {t: round(sum(x for _, t2, x in rows if timedelta(0) <= t - t2 <= timedelta(days=3)), 6) for _, t, _ in rows}
+    assert {r.ts: r.s for r in windows.rolling_sum(df, "k", "ts", "x", 3, "s").collect()} == want
+
+
+def test_rolling_window_is_cut_by_time(spark):
     df = spark.range(20000).select(
         (F.col("id") % 1).cast("string").alias("k"), F.timestamp_seconds(F.col("id") * 700 + 1_700_000_000).alias("ts"), F.lit(1).alias("x")
     )
