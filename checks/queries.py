@@ -16,7 +16,7 @@ from ledgerlens import values as V
 from ledgerlens.functions import columns as fc
 from ledgerlens.functions import domain
 from ledgerlens.operators import audit as oa
-from ledgerlens.operators import lookups, quality, relational, windows
+from ledgerlens.operators import quality, relational, windows
 from ledgerlens.plans import audits, bronze, contracts, fraud, gold, silver
 from ledgerlens.session import tune
 from ledgerlens.sources import files, fx_payload, tables
