@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.errors import AnalysisException
@@ -65,30 +64,31 @@ def latest_version(spark: SparkSession, path: str) -> tuple[int, str | None]:
 
 # -- hand-over ----------------------------------------------------------------
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors see: the session's ``spark.checkpoint.dir``.
+    """This application's folder below ``spark.checkpoint.dir``; it goes when the application ends.
 
-    Only a local session may do without the setting; it then gets a temporary folder.
+    Only a local session may do without the setting; its warehouse folder then takes the place.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
-    if base:
-        return base.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-    return _local_folder()
+    if not base:
+        if not spark.conf.get("spark.master", "").startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
+        base = spark.conf.get("spark.sql.warehouse.dir")
+    folder = f"{base.rstrip('/')}/ledgerlens-{spark.sparkContext.applicationId}"
+    if folder not in _folders:
+        _folders.add(folder)
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        files.mkdirs(path)
+        files.deleteOnExit(path)
+    return folder
 
 
-_folders: list[str] = []
-
-
-def _local_folder() -> str:
-    if not _folders:
-        _folders.append(tempfile.mkdtemp(prefix="ledgerlens-"))
-    return _folders[0]
+_folders: set[str] = set()
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that no other run uses."""
-    return f"{shared_folder(spark)}/ledgerlens/{uuid.uuid4().hex}/{name}"
+    return f"{shared_folder(spark)}/{uuid.uuid4().hex}/{name}"
 
 
 def hand_over(df: DataFrame, name: str) -> DataFrame:
