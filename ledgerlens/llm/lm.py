@@ -25,16 +25,16 @@ from ledgerlens.sources.tables import hand_over
 
 #: The end of a text; words have no white space.
 END = b"\n"
-FLUSH_WORDS, FLUSH_GRAMS = 400_000, 2_000_000
+FLUSH_WORDS, FLUSH_GRAMS = 200_000, 2_000_000
 
 
 @dataclass(frozen=True)
 class Limits:
     """Size of the model: words kept beside the automaton, words that n-grams are made of, arcs by order."""
 
-    frequent: int = 1 << 18
+    frequent: int = 1 << 17
     words: tuple[int, int] = (4096, 512)
-    arcs: tuple[int, int] = (1 << 18, 1 << 17)
+    arcs: tuple[int, int] = (1 << 17, 1 << 16)
     least_count: int = 2
     discount: float = 0.5
 
@@ -196,12 +196,17 @@ class Scorer:
         return len(tokens), len(known), sum(known), self.automaton.walk(tokens), list(others), list(others.values())
 
 
+def collected(df: DataFrame) -> list[tuple]:
+    """Rows of a table of bounded size, without an object for each on the way."""
+    return list(zip(*(c.to_pylist() for c in df.toArrow().columns)))
+
+
 def fit(texts: DataFrame, limits: Limits = Limits()) -> tuple[dict, DataFrame]:
     """Model for the broadcast, and ``token``, ``n`` of all words that it lacks; from all rows of ``v``."""
     counts = hand_over(word_counts(texts), "word_counts")
     whole = counts.agg(F.sum("n").alias("total"), F.count("*").alias("types")).first()
     at = threshold(counts, limits.frequent)
-    frequent = sorted(((bytes(r["token"]), r["n"]) for r in counts.filter(level() >= at).collect()), key=lambda r: (-r[1], r[0]))
+    frequent = sorted(collected(counts.filter(level() >= at).select("token", "n")), key=lambda r: (-r[1], r[0]))
     two, three = min(limits.words[0], len(frequent)), min(limits.words[1], len(frequent))
     limits = Limits(limits.frequent, (two, three), limits.arcs, limits.least_count, limits.discount)
     ids = Shared(texts.sparkSession, {w: i for i, (w, _) in enumerate(frequent[:two])})
@@ -210,7 +215,7 @@ def fit(texts: DataFrame, limits: Limits = Limits()) -> tuple[dict, DataFrame]:
     for size, most in zip((2, 3), limits.arcs):
         mine = grams.filter(F.col("size") == size)
         mine = mine.filter(level() >= threshold(mine, most)).select("code", "n")
-        kept.append(sorted((r["code"], r["n"]) for r in mine.collect()))
+        kept.append(sorted(collected(mine)))
     model = {"words": [w for w, _ in frequent], "counts": [n for _, n in frequent], "grams": kept}
     model |= {"total": whole["total"] or 0, "types": whole["types"], "limits": limits}
     return model, counts.filter(level() < at)
