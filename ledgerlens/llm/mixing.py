@@ -20,7 +20,7 @@ from ledgerlens.sources.tables import hand_over
 WEIGHTS = (1, 2, 3)
 MOST = 3
 #: Documents that are rounded together; a source has one bucket for every so many.
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 1_000
 NEWTON_STEPS, TOLERANCE = 80, 1e-11
 
 
