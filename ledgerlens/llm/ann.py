@@ -31,8 +31,8 @@ class Settings:
     leaf: int = 40
     calibration: int = 256
     recall: float = 0.97
-    rows: int = 2048
-    queries: int = 2048
+    rows: int = 8192
+    queries: int = 1024
 
 
 class Tree:
