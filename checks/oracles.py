@@ -421,7 +421,7 @@ BODIES = {
                                 FROM fx_faulty_parsed WHERE fetch_ts IS NOT NULL GROUP BY 1)) AS rate_snapshot,
                            {top_json("fx_held")} AS top_failure_reasons FROM fx_faulty_parsed))""",
     "fx_from_payload": f"""SELECT * REPLACE (strftime(fetch_ts, '%Y-%m-%d') AS source_ts) FROM fx_stage
-        WHERE hour(fetch_ts) <> 18 AND quote_currency IN ('USD', 'EUR', 'AED', 'NGN', 'CNY', 'CHF')""",
+        WHERE hour(fetch_ts) <> 18""",
     "mcc_ingest": f"SELECT * EXCLUDE (source_file, source_file_modified_ts), {INGESTED} FROM mcc",
     "mcc_quarantine": f"SELECT *, {STAMP} FROM mcc_held",
     "mcc_audit": files_audit("mcc", "mcc_held", "mcc"),
@@ -546,6 +546,10 @@ BODIES = {
             round(coalesce(2 * hit / nullif(claimed + support, 0), 0.0), 4) AS f1, support
         FROM (SELECT 'legit' AS class, count_if(is_fraud = 0 AND guess = 0) AS hit, count_if(guess = 0) AS claimed, CAST(count_if(is_fraud = 0) AS BIGINT) AS support FROM scored
               UNION ALL SELECT 'fraud', count_if(is_fraud = 1 AND guess = 1), count_if(guess = 1), CAST(count_if(is_fraud = 1) AS BIGINT) FROM scored)""",
+    "auc": """SELECT round((sum(place) FILTER (is_fraud = 1) - p1 * (p1 + 1) / 2) / (p1 * p0), 4) AS auc
+        FROM (SELECT is_fraud, rank() OVER (ORDER BY p) + (count(*) OVER (PARTITION BY p) - 1) / 2 AS place,
+                     count_if(is_fraud = 1) OVER () AS p1, count_if(is_fraud = 0) OVER () AS p0 FROM scored)
+        GROUP BY p1, p0""",
     "roc_points": """SELECT bin / 64 AS threshold, round(sum(neg) OVER (ORDER BY bin DESC) / nullif(sum(neg) OVER (), 0), 6) AS fpr,
             round(sum(pos) OVER (ORDER BY bin DESC) / nullif(sum(pos) OVER (), 0), 6) AS tpr
         FROM (SELECT least(CAST(floor(p * 64) AS INTEGER), 63) AS bin, count_if(is_fraud = 1) AS pos, count_if(is_fraud = 0) AS neg FROM scored GROUP BY 1)""",

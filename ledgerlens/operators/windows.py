@@ -7,12 +7,14 @@ cut along time first; what crosses a cut travels as pre-aggregated rows.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
-from ledgerlens.functions.columns import ColumnLike, col
+from ledgerlens.functions.columns import ColumnLike, col, count_where
 
 DAY_SECONDS = 86_400
 
@@ -31,7 +33,10 @@ def lag_by_day(
         *keys, day, F.lag("_close").over(Window.partitionBy(*keys).orderBy(day)).alias("_carried")
     )
     ranked = df.withColumns({"_in_day": F.lag(value).over(in_day), "_pos": F.row_number().over(in_day)})
-    joined = ranked.join(carried, [*keys, day], "left")
+    parts = {c: f"_of_{c}" for c in [*keys, day]}
+    carried = carried.withColumnsRenamed(parts)
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(p)) for c, p in parts.items()])
+    joined = ranked.join(carried, same, "left").drop(*parts.values())
     previous = F.when(F.col("_pos") == 1, F.col("_carried")).otherwise(F.col("_in_day"))
     return joined.withColumn(alias, previous).drop("_in_day", "_pos", "_carried")
 
@@ -69,7 +74,7 @@ def daily_average(
     return df.withColumn(alias, F.round(F.avg(value).over(Window.partitionBy(*keys)), scale))
 
 
-def rolling_totals(df: DataFrame, key: str, ts: str, value: str, days: int) -> DataFrame:
+def rolling_totals(df: DataFrame, key: str, ts: str, value: str, days: int, scale: int = 6) -> DataFrame:
     """(key, second, rolling): sum of ``value`` over ``[second - days, second]``, both ends included.
 
     The result depends on key and second only, so rows are first summed per key and second.
@@ -79,14 +84,17 @@ def rolling_totals(df: DataFrame, key: str, ts: str, value: str, days: int) -> D
     needs its own rows and, as context, what enters and leaves from the chunk before.  A window
     partition then holds at most three chunk lengths of changes whatever the key's row count.
 
-    Floating input is summed as a decimal of 6 digits, so that what leaves cancels exactly.
+    Floating input is summed as a decimal of ``scale`` digits, so that what leaves cancels exactly;
+    a total that covers NaN or an infinity is NaN.
     """
     length = days * DAY_SECONDS
     floating = df.schema[value].dataType in (DoubleType(), FloatType())
-    amount = F.col(value).cast("decimal(28,6)") if floating else F.col(value)
+    finite = ~F.isnan(value) & (F.abs(value) < float("inf")) if floating else F.lit(True)
+    amount = F.when(finite, F.col(value).cast(f"decimal(28,{scale})")) if floating else F.col(value)
     per_second = df.groupBy(F.col(key), F.unix_seconds(F.col(ts).cast("timestamp")).alias("_second")).agg(
-        F.sum(amount).alias("_total"), F.count(value).alias("_n")
+        F.sum(amount).alias("_total"), F.count(value).alias("_n"), count_where(~finite).alias("_odd")
     )
+    per_second = per_second.withColumn("_total", F.coalesce("_total", F.lit(0).cast(per_second.schema["_total"].dataType)))
     chunk = F.floor(F.col("_second") / length)
 
     def change(into: Column, at: Column, sign: int, own: bool) -> Column:
@@ -95,6 +103,7 @@ def rolling_totals(df: DataFrame, key: str, ts: str, value: str, days: int) -> D
             at.alias("at"),
             (F.col("_total") * sign).alias("moved"),
             (F.col("_n") * sign).alias("n"),
+            (F.col("_odd") * sign).alias("odd"),
             F.lit(own).alias("own"),
         )
 
@@ -105,17 +114,20 @@ def rolling_totals(df: DataFrame, key: str, ts: str, value: str, days: int) -> D
     placed = per_second.select(key, F.inline(changes)).filter("own OR chunk IS NOT NULL")
     so_far = Window.partitionBy(key, "chunk").orderBy("at").rangeBetween(Window.unboundedPreceding, 0)
     rolling = F.when(F.sum("n").over(so_far) > 0, F.sum("moved").over(so_far))
-    rolling = rolling.cast("double") if floating else rolling
+    if floating:
+        rolling = F.when(F.sum("odd").over(so_far) > 0, float("nan")).otherwise(rolling.cast("double"))
     summed = placed.select(key, F.col("at").alias("_second"), rolling.alias("_rolling"), "own")
     return summed.filter("own").drop("own")
 
 
-def rolling_sum(df: DataFrame, key: str, ts: str, value: str, days: int, alias: str = "rolling_sum") -> DataFrame:
+def rolling_sum(
+    df: DataFrame, key: str, ts: str, value: str, days: int, alias: str = "rolling_sum", scale: int = 6
+) -> DataFrame:
     """Add to each row the sum of ``value`` over the key's last ``days`` days up to its second.
 
     Rows of the same second see each other.  Rows with NULL key or time form groups of their own.
     """
-    totals = rolling_totals(df, key, ts, value, days).withColumnRenamed(key, "_key")
+    totals = rolling_totals(df, key, ts, value, days, scale).withColumnRenamed(key, "_key")
     rows = df.withColumn("_at", F.unix_seconds(F.col(ts).cast("timestamp")))
     same = F.col(key).eqNullSafe(F.col("_key")) & F.col("_at").eqNullSafe(F.col("_second"))
     return rows.join(totals, same, "left").drop("_key", "_second", "_at").withColumnRenamed("_rolling", alias)

@@ -41,11 +41,16 @@ def _row_total(df: DataFrame, alias: str) -> DataFrame:
     return scalars(df, **{alias: F.count("*")})
 
 
+def named(column: str) -> Column:
+    """A category with NULL as the text ``NULL``: one entry for both in a distribution."""
+    return F.coalesce(F.col(column), F.lit("NULL")).alias(column)
+
+
 # -- bronze -------------------------------------------------------------------
 def rate_snapshot(parsed: DataFrame) -> DataFrame:
     """Latest rate per quote currency, as rows."""
     newest = F.max_by("rate", F.struct("fetch_ts", "rate_id"))
-    return parsed.groupBy("quote_currency").agg(F.round(newest, 6).alias("rate"))
+    return parsed.groupBy(named("quote_currency")).agg(F.round(newest, 6).alias("rate"))
 
 
 def fx_audit(
@@ -127,7 +132,7 @@ def txn_audit(
 # -- silver -------------------------------------------------------------------
 def txn_silver_audit(txn: DataFrame, held: DataFrame, as_of: AsOf = None, max_quarantine_pct: float = 5.0) -> DataFrame:
     """FAIL if empty, too much is quarantined, or any counterparty is sanctioned."""
-    channels = txn.groupBy("channel").agg(
+    channels = txn.groupBy(named("channel")).agg(
         F.count("*").alias("n"),
         F.sum("gbp_amount").alias("gbp"),
         count_where("counterparty_sanctioned").alias("sanctioned"),

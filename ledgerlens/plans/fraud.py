@@ -118,17 +118,23 @@ def class_report(
     """Precision, recall, F1 and support per class.  Ratios without a denominator are 0."""
     names = {0: "legit", 1: "fraud"} if names is None else names
     cells = confusion(scored, label, prediction)
-    n = F.col("row_count")
-    measures = [
-        F.struct(
-            F.lit(name).alias("class"),
-            F.coalesce(F.sum(F.when((F.col("actual") == c) & (F.col("predicted") == c), n)), F.lit(0)).alias("hit"),
-            F.coalesce(F.sum(F.when(F.col("predicted") == c, n)), F.lit(0)).alias("claimed"),
-            F.coalesce(F.sum(F.when(F.col("actual") == c, n)), F.lit(0)).alias("support"),
+    n, none = F.col("row_count"), F.lit(0).cast("bigint")
+    hits = F.when(F.col("actual") == F.col("predicted"), n).otherwise(none)
+    parts = cells.select(
+        F.inline(
+            F.array(
+                F.struct(F.col("actual").alias("c"), hits.alias("hit"), none.alias("claimed"), n.alias("support")),
+                F.struct(F.col("predicted").alias("c"), none.alias("hit"), n.alias("claimed"), none.alias("support")),
+            )
         )
-        for c, name in names.items()
-    ]
-    rows = cells.agg(F.array(*measures).alias("m")).select(F.explode("m").alias("m")).select("m.*")
+    )
+    # Classes come from the rows; those with a name are reported even without any.
+    known = cells.sparkSession.createDataFrame([(c, name) for c, name in names.items()], "c int, class string")
+    sums = parts.filter("c IS NOT NULL").groupBy("c").agg(*(F.sum(x).alias(x) for x in ("hit", "claimed", "support")))
+    rows = sums.join(F.broadcast(known), "c", "full_outer").select(
+        F.coalesce("class", F.col("c").cast("string")).alias("class"),
+        *(F.coalesce(x, none).alias(x) for x in ("hit", "claimed", "support")),
+    )
 
     def ratio(top: Column, bottom: Column) -> Column:
         return F.coalesce(top / F.nullif(bottom, F.lit(0)), F.lit(0.0))

@@ -20,7 +20,7 @@ from ledgerlens.operators.relational import dedupe
 from ledgerlens.plans import audits, bronze, contracts, gold, silver
 from ledgerlens.sources.files import mcc_ingest, sanctions_ingest
 from ledgerlens.sources.tables import append, overwrite, read_table, stream_table
-from ledgerlens.streaming.runs import dedupe_stream, run_stream
+from ledgerlens.streaming.runs import dedupe_stream, run_stream, use_rocksdb_state
 
 AsOf = Column | datetime | None
 
@@ -137,6 +137,7 @@ def run_incremental(
 ) -> None:
     """Drain newly landed files and rows through bronze and silver, then recompute gold."""
     spark = store.spark
+    use_rocksdb_state(spark)
     daily = run_fx(store, fx_stage, as_of, required)
     store.run("mcc_codes_raw", mcc_ingest(spark, mcc_path, as_of))
     store.run("mcc_codes_quarantine", bronze.mcc_quarantine(store.stream("mcc_codes_raw"), as_of))
@@ -146,7 +147,7 @@ def run_incremental(
     store.add("mcc_files_audit", audits.mcc_audit(mcc, store.get("mcc_codes_quarantine"), as_of))
     store.add("sanction_files_audit", audits.sanctions_audit(listed, store.get("sanctions_quarantine"), as_of))
 
-    source = stream_table(spark, transactions_path, schemas.TXN_SOURCE)
+    source = stream_table(spark, transactions_path, schemas.TXN_SOURCE, V.MAX_FILES_PER_TRIGGER)
     store.run("transactions_raw", bronze.txn_raw(source, as_of))
     store.run("transactions_quarantine", bronze.txn_quarantine(store.stream("transactions_raw"), as_of))
     store.run("transactions_cleansed_stage", bronze.txn_clean(store.stream("transactions_raw")))

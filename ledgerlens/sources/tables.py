@@ -9,8 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ledgerlens import values as V
-from ledgerlens.operators.relational import upsert
+from ledgerlens.operators.relational import check_key, upsert
 
 
 def read_table(spark: SparkSession, name_or_path: str) -> DataFrame:
@@ -19,9 +18,13 @@ def read_table(spark: SparkSession, name_or_path: str) -> DataFrame:
 
 
 def stream_table(
-    spark: SparkSession, path: str, schema: StructType, max_files: int | None = V.MAX_FILES_PER_TRIGGER
+    spark: SparkSession, path: str, schema: StructType, max_files: int | None = None
 ) -> DataFrame:
-    """Files appended to a parquet directory since the last run, at most ``max_files`` per micro-batch."""
+    """Files appended to a parquet directory since the last run, at most ``max_files`` per micro-batch.
+
+    Leave ``max_files`` out in front of a watermark: each micro-batch moves it, and what a later
+    one holds that is older is dropped as late.
+    """
     reader = spark.readStream.schema(schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
@@ -41,12 +44,20 @@ def merge_into(spark: SparkSession, path: str, updates: DataFrame, keys: list[st
 
     The merged rows go to a new folder, which is then recorded as the newest version: a reader
     never sees a half-written version, and a failed attempt leaves the current one in place.
+
+    Updates with a repeated or NULL key are refused.  So is a merge whose version number another
+    writer has taken meanwhile; the table then has to be merged again.
     """
+    if not check_key(updates, keys).isEmpty():
+        raise ValueError(f"updates of {path} repeat a key of {keys} or leave it NULL")
     number, current = latest_version(spark, path)
     merged = updates if current is None else upsert(spark.read.parquet(current), updates, keys)
     target = f"{path}/data/{uuid.uuid4().hex}"
     merged.write.parquet(target)
     append(spark.range(1).select(F.lit(number + 1).alias("version"), F.lit(target).alias("folder")), f"{path}/versions")
+    versions = spark.read.schema("version int, folder string").parquet(f"{path}/versions")
+    if versions.filter(F.col("version") == number + 1).count() > 1:
+        raise RuntimeError(f"two writers merged into version {number + 1} of {path}")
     return spark.read.parquet(target)
 
 

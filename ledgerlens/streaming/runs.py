@@ -55,7 +55,10 @@ def run_stream(
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     query = writer.option("checkpointLocation", checkpoint).start(path)
-    query.awaitTermination(timeout)
+    done = query.awaitTermination(timeout)
+    if timeout is not None and not done:
+        query.stop()
+        raise TimeoutError(f"not all input was processed within {timeout} s; the next run goes on from {checkpoint}")
     if query.exception() is not None:
         raise query.exception()
     return query

@@ -251,3 +251,36 @@ def test_zero_defaults_on_empty_input(spark):
 def test_weight_of_an_unlisted_type_does_not_count(spark):
     df = spark.createDataFrame([("A", 10.0), ("B", 5.0)], "t string, x double")
     assert df.agg(fc.weighted_sum("x", "t", {"A": "0.75"})).first()[0] == 7.5
+
+
+def test_lag_carries_a_null_key_over_days(spark):
+    rows = [(None, "2024-01-01", 1, 1.0), (None, "2024-01-02", 2, 2.0), ("USD", "2024-01-02", 3, 5.0)]
+    df = spark.createDataFrame(rows, "quote_currency string, rate_date string, fetch_ts int, rate double").withColumn("rate_id", F.lit("r"))
+    got = {r["fetch_ts"]: (r["prev_rate"], r["rate_change_pct"]) for r in windows.rate_change(df).collect()}
+    assert got == {1: (None, None), 2: (1.0, 100.0), 3: (None, None)}
+
+
+def test_rolling_sum_keeps_small_amounts_and_nan(spark):
+    rows = [("a", 0, 1e-7), ("a", 1, 4e-7), ("b", 0, float("nan")), ("b", 1, 1.0), ("b", 86_400 * 3 + 2, 2.0)]
+    df = spark.createDataFrame(rows, "k string, s long, v double").withColumn("t", F.timestamp_seconds("s"))
+    got = {(r["k"], r["s"]): r["rolling_sum"] for r in windows.rolling_sum(df, "k", "t", "v", 3, scale=9).collect()}
+    assert got[("a", 1)] == 5e-7 and got[("b", 0)] != got[("b", 0)] and got[("b", 1)] != got[("b", 1)]
+    assert got[("b", 86_400 * 3 + 2)] == 2.0
+
+
+def test_merge_refuses_repeated_and_null_keys(spark, tmp_path):
+    from ledgerlens.sources import tables
+
+    path = str(tmp_path / "t")
+    tables.merge_into(spark, path, spark.createDataFrame([(1, "a")], "k int, v string"), ["k"])
+    for bad in ([(2, "b"), (2, "c")], [(None, "b")]):
+        with pytest.raises(ValueError):
+            tables.merge_into(spark, path, spark.createDataFrame(bad, "k int, v string"), ["k"])
+
+
+def test_class_report_has_every_class(spark):
+    from ledgerlens.plans import fraud
+
+    rows = [(0, 0.0), (2, 2.0), (2, 0.0)]
+    got = {r["class"]: (r["recall"], r["support"]) for r in fraud.class_report(spark.createDataFrame(rows, "is_fraud int, prediction double")).collect()}
+    assert got == {"legit": (1.0, 1), "fraud": (0.0, 0), "2": (0.5, 2)}
