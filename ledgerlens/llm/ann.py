@@ -182,7 +182,8 @@ def search(df: DataFrame, queries: Callable[[Column], Column], key: str = "vec_i
 
     parts = packed({r["leaf"]: r["n"] for r in placed.groupBy("leaf").agg(F.count("*").alias("n")).collect()}, settings.rows)
     holds = spark.createDataFrame(sorted(parts.items()), "leaf int, parts array<int>")  # a row per leaf
-    slices = max(1, -(-distinct.count() // settings.queries))
+    asked_for = distinct.count()
+    slices = max(1, -(-asked_for // settings.queries))
     groups_of = Shared(spark, parts)
 
     def ask(batches):
@@ -200,7 +201,9 @@ def search(df: DataFrame, queries: Callable[[Column], Column], key: str = "vec_i
             yield pa.RecordBatch.from_arrays([pa.array(rep, pa.int64()), vs, pa.array(part, pa.int32()), pa.array(found, pa.list_(pa.int32()))], names=["rep", "v", "part", "leaves"])
 
     slice_ = F.pmod(F.xxhash64("rep"), F.lit(slices)).cast("int")
-    sent = distinct.repartition(F.xxhash64("rep")).mapInArrow(ask, "rep bigint, v array<double>, part int, leaves array<int>").withColumn("slice", slice_)
+    # A traversal is much work for few bytes: the number of tasks follows the queries, not their size.
+    tasks = max(spark.sparkContext.defaultParallelism, -(-asked_for // 500))
+    sent = distinct.repartition(tasks, "rep").mapInArrow(ask, "rep bigint, v array<double>, part int, leaves array<int>").withColumn("slice", slice_)
     held = placed.join(F.broadcast(holds), "leaf").select("v", "ids", "leaf", block_of(F.col("parts"), F.col("rep")).alias("part"), F.explode(F.sequence(F.lit(0), F.lit(slices - 1))).alias("slice"))
 
     def compare(key, asking, holding):
