@@ -1,0 +1,132 @@
+"""Near-duplicates by shingle similarity through one-wildcard signatures of wide fingerprints.
+
+At a similarity of 0.8 about ten of the 64 bits of a majority fingerprint differ, and no cut leaves
+a segment that is both long enough to tell texts apart and likely to differ in one bit at most.  So the
+fingerprint is wider here and its places hold minima of hashes of the shingle set instead of bits: a
+place agrees with the probability of the similarity itself, and unrelated texts hardly ever agree.  The
+rest is the method of ``simhash``: cut into segments of which one is likely to differ in at most one
+place, index each segment once for every place left out, join on equality, verify.
+"""
+
+from __future__ import annotations
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from ledgerlens.llm.common import ascii_lower, pieces, text_bytes
+from ledgerlens.llm.components import components
+from ledgerlens.llm.simhash import shingle_hashes
+from ledgerlens.sources.tables import hand_over
+
+#: With eight segments of eight places, two texts of similarity 0.8 share a signature with probability 0.996.
+SEGMENTS, PLACES = 8, 8
+#: Shingle hashes kept of a text to verify with: all of them for texts with no more, else the smallest.
+KEPT = 512
+#: Rounds in which the members of a bucket are held against its leader only.
+LEADER_ROUNDS = 2
+BLOCK = 1 << 13
+
+
+def _spread(x: np.ndarray) -> np.ndarray:
+    """A well-mixed 64-bit value of each 64-bit value."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+_SALT = _spread(np.arange(1, SEGMENTS * PLACES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+
+
+def sketch(data: bytes, size: int) -> tuple[list[int], np.ndarray]:
+    """Signatures of a text (one for each segment and place left out), and its kept shingle hashes; nothing without words."""
+    hashes = np.unique(np.array(shingle_hashes(data, size), dtype=np.uint64))
+    if not len(hashes):
+        return [], np.empty(0, np.int32)
+    least = np.full(len(_SALT), np.iinfo(np.uint64).max, dtype=np.uint64)
+    for i in range(0, len(hashes), BLOCK):
+        block = hashes[i : i + BLOCK]
+        for place, salt in enumerate(_SALT):
+            least[place] = min(least[place], ((block ^ salt) * (salt | np.uint64(1))).min())
+    places = _spread(least ^ _SALT).reshape(SEGMENTS, PLACES)
+    others = places.sum(axis=1, keepdims=True, dtype=np.uint64) - places
+    signatures = _spread(others ^ _SALT.reshape(SEGMENTS, PLACES)).view(np.int64).ravel()
+    # Another order than that of the minima; the top half keeps equal values of different hashes rare.
+    kept = np.unique((_spread(hashes) >> np.uint64(33)).astype(np.int32))[:KEPT]
+    return signatures.tolist(), kept
+
+
+def sketches(rows: DataFrame, size: int) -> DataFrame:
+    """``node``, ``signatures``, ``kept`` of rows with ``node`` and the bytes ``v``."""
+
+    def run(batches):
+        for batch in pieces(batches, "v"):
+            made = [sketch(v, size) for v in batch.column("v").to_pylist()]
+            columns = [pa.array([m[0] for m in made], pa.list_(pa.int64())), pa.array([m[1] for m in made], pa.list_(pa.int32()))]
+            yield pa.RecordBatch.from_arrays([batch.column("node"), *columns], names=["node", "signatures", "kept"])
+
+    return rows.select("node", "v").mapInArrow(run, "node bigint, signatures array<bigint>, kept array<int>")
+
+
+def similar(x: Column, y: Column, similarity: float) -> Column:
+    """Whether the shingle sets behind two arrays of kept hashes are similar enough.
+
+    Exact if both hold all hashes; else over the hashes up to where both are complete, a sample of the union.
+    """
+    end = lambda c: F.when(F.size(c) >= KEPT, F.element_at(c, -1))
+    upto = F.least(end(x), end(y))
+    cut = lambda c: F.when(upto.isNull(), c).otherwise(F.filter(c, lambda h: h <= upto))
+    both = F.size(F.array_intersect(cut(x), cut(y)))
+    return both / (F.size(cut(x)) + F.size(cut(y)) - both) >= similarity
+
+
+def verified(pairs: DataFrame, made: DataFrame, similarity: float) -> DataFrame:
+    """The pairs ``a``, ``b`` of nodes that are similar."""
+    ends = [made.select(F.col("node").alias(c), F.col("kept").alias(f"{c}_kept")) for c in "ab"]
+    held = pairs.join(ends[0], "a").join(ends[1], "b")
+    return hand_over(held.filter(similar(F.col("a_kept"), F.col("b_kept"), similarity)).select("a", "b"), "similar_pairs")
+
+
+def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", size: int = 5, similarity: float = 0.8) -> DataFrame:
+    """One row per input row: ``key``, ``text_hash``, ``component_id`` (smallest key reachable, itself included), ``component``.
+
+    Linked are texts whose sets of ``size``-word shingles have at least this Jaccard similarity (fewer
+    words: the whole sequence is the shingle; none: all such texts are copies of one another).  Equal texts, A-Z
+    in either case, are one node.  The members of a bucket (a signature) are first held
+    against one leader, in a few rounds with other leaders; the pairs still to be compared are only those of
+    members that no link connects yet.  So a large group costs its size, and no link between components is lost.
+    A NULL key takes part but is never a component's id (NULL if the component has no other key);
+    repeated rows share a component; an empty table gives an empty result; other columns are not read.
+    """
+    data = text_bytes(F.col(text))
+    node = F.xxhash64(ascii_lower(F.coalesce(F.col(text).cast("string"), F.lit("")))).alias("node")
+    rows = hand_over(df.select(F.col(key), F.xxhash64(data).alias("text_hash"), node), "texts")
+    made = hand_over(sketches(df.select(node, data.alias("v")), size).dropDuplicates(["node"]), "sketches")
+    # Texts without words differ by white space only.
+    blank = made.filter(F.size("kept") == 0).select("node")
+    links = blank.select(F.col("node").alias("a"), F.lit(blank.agg(F.min("node")).first()[0]).cast("bigint").alias("b"))
+    entries = made.select("node", F.size("kept").alias("n"), F.explode("signatures").alias("signature"))
+    shared = entries.groupBy("signature").agg(F.count("*").alias("members")).filter("members > 1").select("signature")
+    members = hand_over(entries.join(shared, "signature"), "members")
+    ids = components(links)
+    near_size = F.least("x.n", "y.n") >= similarity * F.greatest("x.n", "y.n")
+    ends = lambda x, y: (F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
+    for seed in range(LEADER_ROUNDS + 1):
+        now = members.join(ids, "node", "left").select("signature", "node", "n", F.coalesce("component", "node").alias("c"))
+        now = hand_over(now, "members_now")
+        # One order for all buckets: the leaders of a group are few, and so are its pairs.
+        first = F.min(F.struct(F.xxhash64(F.lit(seed), "node").alias("h"), "node", "n", "c")).alias("y")
+        open_ = now.groupBy("signature").agg(first, F.min("c").alias("low"), F.max("c").alias("high")).filter("low <> high")
+        if seed < LEADER_ROUNDS:
+            pairs = now.alias("x").join(open_, "signature").filter("x.c <> y.c")
+        else:
+            left = hand_over(now.join(open_.select("signature"), "signature"), "members_left")
+            pairs = left.alias("x").join(left.alias("y"), "signature").filter("x.c <> y.c and x.node < y.node")
+        pairs = pairs.filter(near_size).select(*ends("x.node", "y.node")).distinct()
+        links = links.union(verified(pairs, made, similarity))
+        ids = components(links)
+    named = rows.select(key, "node").distinct().join(ids, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    groups = named.groupBy("component").agg(F.min(key).alias("component_id"))
+    of = hand_over(made.select("node").join(ids, "node", "left").withColumn("component", F.coalesce("component", "node")).join(groups, "component"), "text_ids")
+    return rows.join(of, "node").select(key, "text_hash", "component_id", "component")
