@@ -70,9 +70,9 @@ _built: dict[Any, Any] = {}
 
 
 def built_once(key: Any, make) -> Any:
-    """What ``make`` builds, kept in this worker process for the tasks to come; the last few only."""
+    """What ``make`` builds, kept in this worker process for the tasks to come; the last two only, as a task uses two at most."""
     if key not in _built:
-        while len(_built) >= 4:
+        while len(_built) >= 2:
             _built.pop(next(iter(_built)))
         _built[key] = make()
     return _built[key]
@@ -96,10 +96,18 @@ def folder_uri(path: str) -> str:
 
 
 _shipped: set[str] = set()
+#: Rows of a batch between Spark and its Python workers at most: both hold whole batches of texts in memory.
+BATCH_ROWS = 2000
 
 
 def ship(spark: SparkSession) -> None:
-    """Give the executors this package, once per application; tasks import it rather than unpickle copies of it."""
+    """Give the executors this package, once per application; tasks import it rather than unpickle copies of it.
+
+    Lowers the session's rows of an Arrow batch to ``BATCH_ROWS``, which changes no result.
+    """
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(rows)) <= BATCH_ROWS:
+        spark.conf.set(rows, BATCH_ROWS)
     if (app := spark.sparkContext.applicationId) in _shipped:
         return
     packed, root = io.BytesIO(), Path(ledgerlens.__file__).parent

@@ -26,7 +26,8 @@ SEGMENTS, PLACES = 8, 8
 KEPT = 512
 #: Rounds in which the members of a bucket are held against its leader only.
 LEADER_ROUNDS = 2
-BLOCK = 1 << 13
+#: Hashes taken at a time, for all places.
+BLOCK = 1 << 9
 
 
 def _spread(x: np.ndarray) -> np.ndarray:
@@ -46,9 +47,9 @@ def sketch(data: bytes, size: int) -> tuple[list[int], np.ndarray]:
         return [], np.empty(0, np.int32)
     least = np.full(len(_SALT), np.iinfo(np.uint64).max, dtype=np.uint64)
     for i in range(0, len(hashes), BLOCK):
-        block = hashes[i : i + BLOCK]
-        for place, salt in enumerate(_SALT):
-            least[place] = min(least[place], ((block ^ salt) * (salt | np.uint64(1))).min())
+        block = hashes[i : i + BLOCK, None] ^ _SALT
+        block *= _SALT | np.uint64(1)
+        np.minimum(least, block.min(axis=0), out=least)
     places = _spread(least ^ _SALT).reshape(SEGMENTS, PLACES)
     others = places.sum(axis=1, keepdims=True, dtype=np.uint64) - places
     signatures = _spread(others ^ _SALT.reshape(SEGMENTS, PLACES)).view(np.int64).ravel()
