@@ -9,13 +9,15 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import AtomicType
 
 MAX_BROADCAST_ROWS = 1_000_000
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 SALTS = 16
+#: Values of the salt of rows without a key.
+NULL_SALTS = 1 << 30
 
 
 def measure(*frames: DataFrame) -> list[tuple[int, int]]:
@@ -42,10 +44,17 @@ def spread(df: DataFrame, salts: int, salt: str = "_salt") -> DataFrame:
     return df.withColumn(salt, F.pmod(F.xxhash64(*plain), F.lit(salts)).cast("int"))
 
 
+def spread_keys(left: DataFrame, on: Sequence[str], salts: int, salt: str = "_salt") -> DataFrame:
+    """Add a salt for a join: one of ``salts`` for rows with a key, any for rows with a NULL in it, which match nothing."""
+    missing = reduce(Column.__or__, [F.col(c).isNull() for c in on])
+    wide = spread(left, NULL_SALTS, salt)
+    return wide.withColumn(salt, F.when(missing, F.col(salt)).otherwise(F.pmod(salt, F.lit(salts))))
+
+
 def salted_left_join(left: DataFrame, right: DataFrame, on: Sequence[str], salts: int = SALTS) -> DataFrame:
     """Left join whose keys are split ``salts`` ways; the reference rows are repeated once per salt."""
     copies = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return spread(left, salts).join(copies, [*on, "_salt"], "left").drop("_salt")
+    return spread_keys(left, on, salts).join(copies, [*on, "_salt"], "left").drop("_salt")
 
 
 def lookup_join(

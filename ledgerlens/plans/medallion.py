@@ -77,6 +77,7 @@ def run_fx(
 def run_gold(store: Store, as_of: AsOf = None) -> None:
     """Recompute the gold tables and their audits from stored silver."""
     txn, fx = store.get("transactions_cleansed"), store.get("fx_rates_silver")
+    store.put("transactions_high_risk", silver.high_risk(txn))
     summary = store.put("daily_risk_summary", gold.daily_risk_summary(txn, as_of))
     flags = store.put("daily_anomaly_flags", gold.daily_anomaly_flags(txn, as_of=as_of))
     exposure = store.put("daily_fx_exposure", gold.daily_fx_exposure(txn, fx, as_of=as_of))
@@ -113,7 +114,9 @@ def run_batch(
     held = routed.filter(F.col("row_fate").isin("quarantine", "both")).drop("row_fate")
     held = held.withColumns({"quarantine_ts": query_time(as_of), "quarantine_status": F.lit(V.PENDING)})
     clean = routed.filter(F.col("row_fate").isin("clean", "both")).drop("row_fate", "failure_reasons")
-    clean = contracts.TXN_STAGE.enforce(clean)
+    # Stored: the time of quarantine is the run's from here on, and reviewers have a table to work on.
+    held = store.put("transactions_quarantine", held)
+    clean = store.put("transactions_cleansed_stage", contracts.TXN_STAGE.enforce(clean))
     store.add("transactions_data_audit", audits.txn_audit(routed, clean, held, as_of))
 
     levels = store.put("mcc_levels", silver.mcc_levels(mcc))

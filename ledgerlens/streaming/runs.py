@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlens import values as V
+from ledgerlens.operators.lookups import fits_broadcast
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -40,6 +41,8 @@ def late_rows(df: DataFrame, batch: str, ts: str = "event_ts", delay: str = V.WA
     so_far = Window.orderBy(batch).rowsBetween(Window.unboundedPreceding, -2)
     peaks = df.groupBy(batch).agg(F.date_trunc("MILLISECOND", F.max(ts)).alias("_peak"))
     marks = peaks.select(batch, (F.max("_peak").over(so_far) - F.expr(f"INTERVAL {delay}")).alias("_mark"))
+    if fits_broadcast(marks)[0]:
+        marks = F.broadcast(marks)
     return df.join(marks, batch).filter(F.col(ts) <= F.col("_mark")).drop("_mark")
 
 

@@ -45,6 +45,12 @@ def test_lookup_beyond_the_limit_is_salted_and_gives_the_same(spark, facts, list
     assert salted.count() == 300
 
 
+def test_rows_without_a_key_spread_beyond_the_salts(facts):
+    salted = lookups.spread_keys(facts, ["key"], 4)
+    used = {r["key"]: r["n"] for r in salted.groupBy("key").agg(F.count_distinct("_salt").alias("n")).collect()}
+    assert used[None] > 90 and used["hot"] == 4
+
+
 def test_lookup_measures_bytes_too(listed):
     assert lookups.measure(listed, listed.limit(1)) == [(4, 16), (1, 4)]
     assert lookups.fits_broadcast(listed, listed.limit(1)) == [True, True]

@@ -187,6 +187,8 @@ def test_incremental_run_equals_batch_run(spark, sf_dir, tmp_path):
     medallion.run_batch(
         batch, txn, stage, stream.get("mcc_codes_raw"), stream.get("sanctions_raw"), views.AS_OF, required=()
     )
+    for name in ("transactions_quarantine", "transactions_cleansed_stage", "transactions_high_risk"):
+        assert stream.get(name).count() == batch.get(name).count() > 0, name
     for name in GOLD:
         a, b = stream.get(name), batch.get(name)
         # Sums of doubles depend on their order in the last bit, so a rounded cent may differ.
