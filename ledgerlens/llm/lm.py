@@ -1,12 +1,13 @@
 """Language-model scoring with a weighted backoff automaton.
 
 The lowest order is a smoothed unigram distribution over every word of the training texts, however
-many these are.  Above it, discounted bigrams and trigrams of frequent words become arcs: a state is a
+many these are.  Above it, discounted bigrams and trigrams become arcs: a state is a
 context, an arc its predicted word with a weight and the next state, and a failure arc leads to
 the shorter context at the backoff weight.  A text is scored in one traversal that carries the
-state.  The automaton's size is bounded by parameters (counts below a threshold are left to the
-failure arcs, which keeps every distribution normalised), so it is broadcast; the words are not:
-what the broadcast table of frequent words lacks is joined.
+state.  The states of frequent words have bounds in number and arcs (counts below a threshold are left to
+the failure arcs, which keeps every distribution normalised), so they are broadcast.  Every other
+word is a state too, with all its arcs; these states grow with the texts, are a stored table, and the
+traversal only notes which of their arcs and failures it takes: their weights are joined.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,11 +28,16 @@ from ledgerlens.sources.tables import hand_over
 #: The end of a text; words have no white space.
 END = b"\n"
 FLUSH_WORDS, FLUSH_GRAMS = 200_000, 2_000_000
+#: Spark's ``xxhash64`` of one value.
+SEED = 42
 
 
 @dataclass(frozen=True)
 class Limits:
-    """Size of the model: words kept beside the automaton, words that n-grams are made of, arcs by order."""
+    """Size of the broadcast part: words kept beside the automaton, words that its n-grams are made of, arcs by order.
+
+    What has no bound: the words, and the arcs of all words outside the broadcast.
+    """
 
     frequent: int = 1 << 17
     words: tuple[int, int] = (4096, 512)
@@ -78,40 +85,64 @@ def threshold(counts: DataFrame, most: int) -> int:
     return at
 
 
+def hashes(tokens: list[bytes]) -> np.ndarray:
+    """Spark's ``xxhash64`` of each word."""
+    return np.array([xxhash.xxh64_intdigest(t, SEED) for t in tokens], dtype=np.uint64).view(np.int64)
+
+
+def arc_key(word, after, left=np.left_shift, right=lambda x, n: (x.view(np.uint64) >> np.uint64(n)).view(np.int64)):
+    """One value for the hashes of two words; of numpy arrays or, with Spark's shifts, of columns."""
+    mixed = [left(word, 1), right(word, 63), after]
+    if isinstance(after, Column):
+        return mixed[0].bitwiseXOR(mixed[1]).bitwiseXOR(mixed[2])
+    return mixed[0] ^ mixed[1] ^ mixed[2]
+
+
 def gram_counts(texts: DataFrame, ids: Shared, sizes: tuple[int, int]) -> DataFrame:
-    """``size``, ``code``, ``n`` of bigrams and trigrams whose words all have an id below ``sizes``."""
+    """``size``, ``code``, ``after``, ``n`` of n-grams.
+
+    Sizes 2 and 3: bigrams and trigrams whose words all have an id below ``sizes``, as a ``code`` of ids.
+    Size 0: every bigram that begins with a word without an id, as the hashes of its words.
+    """
     two, three = sizes
 
     def run(batches):
         known = ids.built(dict)
         held: list[np.ndarray] = []
-        found = lambda: _grams(np.concatenate(held), two, three)
+        begin: list[bytes] = []
+        end: list[bytes] = []
+        found = lambda: _grams(np.concatenate(held), two, three, hashes(begin), hashes(end))
         size = 0
         for batch in pieces(batches, "v"):
             for v in batch.column("v").to_pylist():
-                get = known.get
-                held.append(np.array([get(w, -1) for w in words(v)] + [get(END, -1), -1], dtype=np.int64))
+                tokens = [*words(v), END]
+                codes = [known.get(w, -1) for w in tokens]
+                rare = [i for i, c in enumerate(codes[:-1]) if c < 0]
+                begin += [tokens[i] for i in rare]
+                end += [tokens[i + 1] for i in rare]
+                held.append(np.array([*codes, -1], dtype=np.int64))
                 size += len(held[-1])
             if size >= FLUSH_GRAMS:
                 yield found()
-                held, size = [], 0
+                held, begin, end, size = [], [], [], 0
         if held:
             yield found()
 
-    made = texts.select("v").mapInArrow(run, "size int, code bigint, n bigint")
-    return made.groupBy("size", "code").agg(F.sum("n").alias("n"))
+    made = texts.select("v").mapInArrow(run, "size int, code bigint, after bigint, n bigint")
+    return made.groupBy("size", "code", "after").agg(F.sum("n").alias("n"))
 
 
-def _grams(at: np.ndarray, two: int, three: int) -> pa.RecordBatch:
-    columns: list[list[np.ndarray]] = [[], [], []]
+def _grams(at: np.ndarray, two: int, three: int, begin: np.ndarray, end: np.ndarray) -> pa.RecordBatch:
     a, b, c = at[:-2], at[1:-1], at[2:]
-    pairs = (at[:-1] >= 0) & (at[1:] >= 0)
+    x, y = at[:-1], at[1:]
+    pairs = (x >= 0) & (y >= 0) & (x < two) & (y < two)
     inside = (a >= 0) & (b >= 0) & (c >= 0) & (a < three) & (b < three) & (c < three)
-    for size, codes in ((2, at[:-1][pairs] * two + at[1:][pairs]), (3, (a[inside] * three + b[inside]) * three + c[inside])):
+    _, first, n = np.unique(arc_key(begin, end), return_index=True, return_counts=True)
+    parts = [(np.zeros(len(n), np.int32), begin[first], end[first], n)]
+    for size, codes in ((2, x[pairs] * two + y[pairs]), (3, (a[inside] * three + b[inside]) * three + c[inside])):
         code, n = np.unique(codes, return_counts=True)
-        for column, values in zip(columns, (np.full(len(code), size, np.int32), code, n)):
-            column.append(values)
-    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in columns], names=["size", "code", "n"])
+        parts.append((np.full(len(code), size, np.int32), code, np.zeros(len(code), np.int64), n))
+    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*parts)], names=["size", "code", "after", "n"])
 
 
 class Automaton:
@@ -186,14 +217,18 @@ class Scorer:
         floor = model["total"] + 0.5 * (model["types"] + 1)
         self.weights = {w: math.log10((n + 0.5) / floor) for w, n in zip(model["words"], model["counts"])}
 
-    def score(self, data: bytes) -> tuple[int, int, float, float, list[bytes], list[int]]:
-        """Tokens, those in the table, their unigram weight, what the automaton adds; the other words with their counts."""
+    def score(self, data: bytes) -> tuple[int, int, float, float, list[bytes], list[int], np.ndarray]:
+        """Tokens, those in the table, their unigram weight, what the automaton adds; of the other words the counts and arcs."""
         tokens = words(data)
         tokens.append(END)
         weights = list(map(self.weights.get, tokens))
-        others = Counter(t for t, x in zip(tokens, weights) if x is None)
+        rare = [i for i, x in enumerate(weights) if x is None]
+        others = Counter(tokens[i] for i in rare)
+        # The end of a text is no context.
+        rare = rare[:-1] if rare and rare[-1] == len(tokens) - 1 else rare
+        arcs = arc_key(hashes([tokens[i] for i in rare]), hashes([tokens[i + 1] for i in rare]))
         known = [x for x in weights if x is not None]
-        return len(tokens), len(known), sum(known), self.automaton.walk(tokens), list(others), list(others.values())
+        return len(tokens), len(known), sum(known), self.automaton.walk(tokens), list(others), list(others.values()), arcs
 
 
 def collected(df: DataFrame) -> list[tuple]:
@@ -201,15 +236,15 @@ def collected(df: DataFrame) -> list[tuple]:
     return list(zip(*(c.to_pylist() for c in df.toArrow().columns)))
 
 
-def fit(texts: DataFrame, limits: Limits = Limits()) -> tuple[dict, DataFrame]:
-    """Model for the broadcast, and ``token``, ``n`` of all words that it lacks; from all rows of ``v``."""
+def fit(texts: DataFrame, limits: Limits = Limits()) -> tuple[dict, DataFrame, DataFrame]:
+    """Model for the broadcast, and of all words that it lacks ``states`` and ``arcs``; from all rows of ``v``."""
     counts = hand_over(word_counts(texts), "word_counts")
     whole = counts.agg(F.sum("n").alias("total"), F.count("*").alias("types")).first()
     at = threshold(counts, limits.frequent)
     frequent = sorted(collected(counts.filter(level() >= at).select("token", "n")), key=lambda r: (-r[1], r[0]))
     two, three = min(limits.words[0], len(frequent)), min(limits.words[1], len(frequent))
     limits = Limits(limits.frequent, (two, three), limits.arcs, limits.least_count, limits.discount)
-    ids = Shared(texts.sparkSession, {w: i for i, (w, _) in enumerate(frequent[:two])})
+    ids = Shared(texts.sparkSession, {w: i for i, (w, _) in enumerate(frequent)})
     grams = hand_over(gram_counts(texts, ids, (two, three)).filter(F.col("n") >= limits.least_count), "gram_counts")
     kept = []
     for size, most in zip((2, 3), limits.arcs):
@@ -218,7 +253,31 @@ def fit(texts: DataFrame, limits: Limits = Limits()) -> tuple[dict, DataFrame]:
         kept.append(sorted(collected(mine)))
     model = {"words": [w for w, _ in frequent], "counts": [n for _, n in frequent], "grams": kept}
     model |= {"total": whole["total"] or 0, "types": whole["types"], "limits": limits}
-    return model, counts.filter(level() < at)
+    return model, *stored_states(model, counts, level() < at, grams.filter("size = 0").drop("size"))
+
+
+def stored_states(model: dict, counts: DataFrame, rare: Column, pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``states``: ``token``, ``n``, ``fails`` of every word outside the broadcast; ``arcs``: ``arc``, ``adds`` of their arcs.
+
+    A word after such a word has the probability (n - discount) / n(context), for an arc, plus the
+    failure weight times the unigram probability.  ``fails`` is the log10 of the failure weight, ``adds``
+    what an arc adds to it and to the unigram weight.  Words with equal hashes are one context.
+    """
+    mine = counts.filter(rare).withColumn("code", F.xxhash64("token"))
+    taken = pairs.groupBy("code").agg(F.sum(F.col("n") - model["limits"].discount).alias("taken"))
+    contexts = mine.groupBy("code").agg(F.sum("n").alias("size")).join(taken, "code", "left")
+    left = (F.col("size") - F.coalesce("taken", F.lit(0.0))) / F.col("size")
+    contexts = hand_over(contexts.select("code", "size", left.alias("left")), "contexts")
+    states = mine.join(contexts, "code").select("token", "n", F.log10("left").alias("fails"))
+    # A word that many contexts have in common is in the broadcast, whose number of words is bounded; no other is a hot key.
+    hashed = lambda df: df.groupBy(F.xxhash64("token").alias("after")).agg(F.sum("n").alias("times"))
+    common = F.broadcast(hashed(counts.filter(~rare)))
+    ends = pairs.join(common, "after").unionByName(pairs.join(common, "after", "left_anti").join(hashed(mine), "after"))
+    uni = (F.col("times") + 0.5) / F.lit(float(model["total"] + 0.5 * (model["types"] + 1)))
+    ratio = (F.col("n") - model["limits"].discount) / (F.col("size") * F.col("left") * uni)
+    arc = arc_key(F.col("code"), F.col("after"), F.shiftleft, F.shiftrightunsigned)
+    arcs = ends.join(contexts, "code").select(arc.alias("arc"), F.log10(1 + ratio).alias("adds"))
+    return hand_over(states, "states"), hand_over(arcs, "arcs")
 
 
 def score(df: DataFrame, learn: Column, text: str = "text", key: str = "doc_id", limits: Limits = Limits()) -> DataFrame:
@@ -230,10 +289,10 @@ def score(df: DataFrame, learn: Column, text: str = "text", key: str = "doc_id",
     table gives an empty result; other columns are not read.
     """
     rows = df.select(F.col(key).alias("k"), F.coalesce(learn, F.lit(False)).alias("learned"), text_bytes(F.col(text)).alias("v"))
-    model, rare = fit(rows.filter("learned"), limits)
+    model, states, arcs = fit(rows.filter("learned"), limits)
     shared = Shared(df.sparkSession, model)
-    names = ["row", "k", "learned", "n_tokens", "known", "base", "walked", "token", "times"]
-    kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.binary()), pa.list_(pa.int32())]
+    names = ["row", "k", "learned", "n_tokens", "known", "base", "walked", "token", "times", "arc"]
+    kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.binary()), pa.list_(pa.int32()), pa.list_(pa.int64())]
 
     def run(batches):
         scorer = shared.built(Scorer)
@@ -243,16 +302,20 @@ def score(df: DataFrame, learn: Column, text: str = "text", key: str = "doc_id",
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names[:3]), *arrays], names=names)
 
     kind = rows.schema["k"].dataType.simpleString()
-    schema = f"row bigint, k {kind}, learned boolean, n_tokens bigint, known bigint, base double, walked double, token array<binary>, times array<int>"
+    schema = f"row bigint, k {kind}, learned boolean, n_tokens bigint, known bigint, base double, walked double, token array<binary>, times array<int>, arc array<bigint>"
     walked = hand_over(rows.select(F.monotonically_increasing_id().alias("row"), "k", "learned", "v").mapInArrow(run, schema), "walked")
     others = walked.select("row", F.explode(F.arrays_zip("token", "times")).alias("o")).select("row", "o.token", "o.times")
     floor = model["total"] + 0.5 * (model["types"] + 1)
     weight = F.log10((F.coalesce("n", F.lit(0)) + 0.5) / F.lit(float(floor)))
-    added = others.join(rare, "token", "left").groupBy("row").agg(
-        F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("more"), F.sum(F.col("times") * weight).alias("rest")
+    added = others.join(states, "token", "left").groupBy("row").agg(
+        F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("more"),
+        F.sum(F.col("times") * weight).alias("rest"),
+        F.sum(F.col("times") * F.coalesce("fails", F.lit(0.0))).alias("failed"),
     )
+    followed = walked.select("row", F.explode("arc").alias("arc")).join(arcs, "arc").groupBy("row").agg(F.sum("adds").alias("adds"))
     base = F.col("base") + F.coalesce("rest", F.lit(0.0))
-    return walked.drop("token", "times").join(added, "row", "left").select(
+    steps = F.col("walked") + F.coalesce("failed", F.lit(0.0)) + F.coalesce("adds", F.lit(0.0))
+    return walked.drop("token", "times", "arc").join(added, "row", "left").join(followed, "row", "left").select(
         F.col("k").alias(key), "learned", "n_tokens", (F.col("known") + F.coalesce("more", F.lit(0))).alias("n_known"),
-        F.lit(model["total"]).cast("bigint").alias("train_tokens"), base.alias("base_score"), (base + F.col("walked")).alias("score"),
+        F.lit(model["total"]).cast("bigint").alias("train_tokens"), base.alias("base_score"), (base + steps).alias("score"),
     )

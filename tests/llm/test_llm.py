@@ -173,6 +173,30 @@ def test_language_model(spark, docs):
     assert lm.score(docs.limit(0), learn).count() == 0
 
 
+def test_states_outside_the_broadcast(spark):
+    """A seldom word is a state with every arc; scores equal those of plain dictionaries, and each distribution sums to one."""
+    pick = random.Random(3)
+    texts = [" ".join(pick.choice(["the", "of", *(f"w{i}" for i in range(40))]) for _ in range(60)) for _ in range(50)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    limits = lm.Limits(frequent=5, words=(5, 3), arcs=(50, 50))
+    model, states, arcs = lm.fit(df.select(F.col("text").cast("binary").alias("v")), limits)
+    tokens = [[*t.encode().split(), lm.END] for t in texts]
+    count = collections.Counter(w for t in tokens for w in t)
+    pairs = collections.Counter((v, w) for t in tokens for v, w in zip(t, t[1:]) if v not in model["words"])
+    pairs = {p: n for p, n in pairs.items() if n >= 2}
+    uni = lambda w: (count[w] + 0.5) / (sum(count.values()) + 0.5 * (len(count) + 1))
+    left = {v: 1 - sum(n - 0.5 for p, n in pairs.items() if p[0] == v) / count[v] for v in count}
+    p = lambda w, v: (pairs.get((v, w), 0.5) - 0.5) / count[v] + left[v] * uni(w)
+    assert len(model["words"]) <= 5 and states.count() == len(count) - len(model["words"]) and arcs.count() == len(pairs) > 100
+    for v in set(count) - set(model["words"]):
+        assert abs(sum(p(w, v) for w in count) + left[v] * uni(b"?") - 1) < 1e-9
+    scorer = lm.Scorer(model)
+    for r in lm.score(df, F.lit(True), limits=limits).collect():
+        t = tokens[r["doc_id"]]
+        steps = sum(math.log10(p(w, v) / uni(w)) for v, w in zip(t, t[1:]) if v not in model["words"])
+        assert abs(r["score"] - sum(math.log10(uni(w)) for w in t) - scorer.automaton.walk(t) - steps) < 1e-9
+
+
 def test_automaton_distributions_sum_to_one():
     names = [b"a", b"b", b"c", lm.END]
     model = {"words": names, "counts": [10, 6, 3, 5], "total": 24, "types": 4, "limits": lm.Limits(words=(4, 4))}
