@@ -546,6 +546,12 @@ BODIES = {
             round(coalesce(2 * hit / nullif(claimed + support, 0), 0.0), 4) AS f1, support
         FROM (SELECT 'legit' AS class, count_if(is_fraud = 0 AND guess = 0) AS hit, count_if(guess = 0) AS claimed, CAST(count_if(is_fraud = 0) AS BIGINT) AS support FROM scored
               UNION ALL SELECT 'fraud', count_if(is_fraud = 1 AND guess = 1), count_if(guess = 1), CAST(count_if(is_fraud = 1) AS BIGINT) FROM scored)""",
+    "report_averages": """SELECT average, round(precision, 4) AS precision, round(recall, 4) AS recall, round(f1, 4) AS f1, round(accuracy, 4) AS accuracy, CAST(support AS BIGINT) AS support
+        FROM (SELECT unnest(['macro', 'weighted']) AS average, unnest([avg(p), sum(p * support) / sum(support)]) AS precision, unnest([avg(r), sum(r * support) / sum(support)]) AS recall,
+                     unnest([avg(f), sum(f * support) / sum(support)]) AS f1, sum(hit) / sum(support) AS accuracy, sum(support) AS support
+              FROM (SELECT coalesce(hit / nullif(claimed, 0), 0.0) AS p, coalesce(hit / nullif(support, 0), 0.0) AS r, coalesce(2 * hit / nullif(claimed + support, 0), 0.0) AS f, hit, support
+                    FROM (SELECT count_if(is_fraud = k AND guess = k) AS hit, count_if(guess = k) AS claimed, count_if(is_fraud = k) AS support
+                          FROM scored CROSS JOIN (VALUES (0), (1)) v(k) GROUP BY k)))""",
     "auc": """SELECT round((sum(place) FILTER (is_fraud = 1) - p1 * (p1 + 1) / 2) / (p1 * p0), 4) AS auc
         FROM (SELECT is_fraud, rank() OVER (ORDER BY p) + (count(*) OVER (PARTITION BY p) - 1) / 2 AS place,
                      count_if(is_fraud = 1) OVER () AS p1, count_if(is_fraud = 0) OVER () AS p0 FROM scored)

@@ -622,6 +622,11 @@ def class_report(spark, sf_dir):
     return fraud.class_report(_hand_scored(spark, sf_dir))
 
 
+@query
+def report_averages(spark, sf_dir):
+    return fraud.report_averages(_hand_scored(spark, sf_dir))
+
+
 @query
 def auc(spark, sf_dir):
     return spark.createDataFrame([(fraud.auc(_hand_scored(spark, sf_dir)),)], "auc double")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from datetime import datetime
 
@@ -10,12 +11,13 @@ from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.columns import count_where, query_time, stddev
 from ledgerlens.operators.lookups import lookup_join
 from ledgerlens.operators.relational import latest
+from ledgerlens.sources.tables import append, hand_over, merge_into, read_table
 
 AsOf = Column | datetime | None
 
@@ -109,13 +111,8 @@ def confusion(scored: DataFrame, label: str = "is_fraud", prediction: str = "pre
     return pair.groupBy("actual", "predicted").agg(F.count("*").alias("row_count"))
 
 
-def class_report(
-    scored: DataFrame,
-    label: str = "is_fraud",
-    prediction: str = "prediction",
-    names: Mapping[int, str] | None = None,
-) -> DataFrame:
-    """Precision, recall, F1 and support per class.  Ratios without a denominator are 0."""
+def _class_rows(scored: DataFrame, label: str, prediction: str, names: Mapping[int, str] | None) -> DataFrame:
+    """Per class: precision, recall and F1 in full, support and hits."""
     names = {0: "legit", 1: "fraud"} if names is None else names
     cells = confusion(scored, label, prediction)
     n, none = F.col("row_count"), F.lit(0).cast("bigint")
@@ -135,18 +132,48 @@ def class_report(
         F.coalesce("class", F.col("c").cast("string")).alias("class"),
         *(F.coalesce(x, none).alias(x) for x in ("hit", "claimed", "support")),
     )
-
-    def ratio(top: Column, bottom: Column) -> Column:
-        return F.coalesce(top / F.nullif(bottom, F.lit(0)), F.lit(0.0))
-
     hit, claimed, support = F.col("hit"), F.col("claimed"), F.col("support")
     return rows.select(
         "class",
-        F.round(ratio(hit, claimed), 4).alias("precision"),
-        F.round(ratio(hit, support), 4).alias("recall"),
-        F.round(ratio(2 * hit, claimed + support), 4).alias("f1"),
+        _ratio(hit, claimed).alias("precision"),
+        _ratio(hit, support).alias("recall"),
+        _ratio(2 * hit, claimed + support).alias("f1"),
         "support",
+        "hit",
+    )
+
+
+def _ratio(top: Column, bottom: Column) -> Column:
+    return F.coalesce(top / F.nullif(bottom, F.lit(0)), F.lit(0.0))
+
+
+def class_report(
+    scored: DataFrame,
+    label: str = "is_fraud",
+    prediction: str = "prediction",
+    names: Mapping[int, str] | None = None,
+) -> DataFrame:
+    """Precision, recall, F1 and support per class.  Ratios without a denominator are 0."""
+    rows = _class_rows(scored, label, prediction, names)
+    return rows.select("class", *(F.round(x, 4).alias(x) for x in ("precision", "recall", "f1")), "support")
+
+
+def report_averages(
+    scored: DataFrame,
+    label: str = "is_fraud",
+    prediction: str = "prediction",
+    names: Mapping[int, str] | None = None,
+) -> DataFrame:
+    """The report's ``macro`` row (every class alike) and ``weighted`` row (by support), each with the accuracy."""
+    rows = _class_rows(scored, label, prediction, names)
+    metrics, total = ("precision", "recall", "f1"), F.sum("support")
+    macro = F.struct(F.lit("macro").alias("average"), *(F.round(F.avg(x), 4).alias(x) for x in metrics))
+    weighted = F.struct(
+        F.lit("weighted").alias("average"), *(F.round(_ratio(F.sum(F.col(x) * F.col("support")), total), 4).alias(x) for x in metrics)
     )
+    both = F.array(macro, weighted)
+    sums = rows.agg(both.alias("rows"), F.round(_ratio(F.sum("hit"), total), 4).alias("accuracy"), total.alias("support"))
+    return sums.select(F.inline("rows"), "accuracy", "support")
 
 
 def roc_points(
@@ -172,3 +199,24 @@ def roc_points(
 def latest_model(models: DataFrame, created: str = "created_ts") -> DataFrame:
     """The newest row of a table of trained models (path, metrics, creation time)."""
     return latest(models, created)
+
+
+# -- the whole flow -----------------------------------------------------------
+def run_fraud(spark: SparkSession, root: str, txns: DataFrame, params: Mapping | None = None) -> DataFrame:
+    """Features, training, evaluation, and the newest model's scores of the test rows.
+
+    Features are merged under their key into ``user_features`` (rows without a user have none), the model goes
+    to a folder of its own below ``models``, and a row with its path and AUCs is appended to ``model_metrics``;
+    the newest row there is the champion that scores.
+    """
+    features = hand_over(user_features(txns.filter("user_id IS NOT NULL")), "user_features")
+    features = merge_into(spark, f"{root}/user_features", features, ["user_id"])
+    training, test = stratified_split(hand_over(training_set(txns, features), "training_set"))
+    model, run = train(training, params=params), uuid.uuid4().hex
+    path = f"{root}/models/{run}"
+    model.write().save(path)
+    sides = {f"{name}_auc": F.lit(auc(score(model, side))) for name, side in (("train", training), ("test", test))}
+    row = spark.range(1).select(F.lit(run).alias("run"), F.lit(path).alias("path"), *(v.alias(k) for k, v in sides.items()))
+    append(row.withColumn("created_ts", F.current_timestamp()), f"{root}/model_metrics")
+    champion = latest_model(read_table(spark, f"{root}/model_metrics")).first()
+    return score(PipelineModel.load(champion["path"]), test)

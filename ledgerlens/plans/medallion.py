@@ -7,31 +7,43 @@ under ``root`` so that no step computes its inputs a second time.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens import schemas
 from ledgerlens import values as V
 from ledgerlens.functions.columns import query_time
+from ledgerlens.operators.quality import Contract, violation_counts
 from ledgerlens.operators.relational import dedupe
 from ledgerlens.plans import audits, bronze, contracts, gold, silver
 from ledgerlens.sources.files import mcc_ingest, sanctions_ingest
 from ledgerlens.sources.tables import append, overwrite, read_table, stream_table
-from ledgerlens.streaming.runs import dedupe_stream, run_stream, use_rocksdb_state
+from ledgerlens.streaming.runs import dedupe_stream, observed_totals, run_stream, use_rocksdb_state
 
 AsOf = Column | datetime | None
+#: One row per run, dataset and warn rule: how many rows met it and how many did not.
+METRICS = "expectation_metrics"
 
 
 @dataclass
 class Store:
-    """Stored datasets by name under one root folder."""
+    """Stored datasets by name under one root folder.
+
+    A dataset stored with its contract has the contract's warn rules counted while it is written, without a
+    scan of its own; the counts are appended to ``expectation_metrics`` under the current run's id.
+    """
 
     spark: SparkSession
     root: str
     schemas: dict = field(default_factory=dict)
+    run_id: str = field(default_factory=lambda: uuid.uuid4().hex)
+
+    def begin(self) -> None:
+        self.run_id = uuid.uuid4().hex
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -39,8 +51,15 @@ class Store:
     def checkpoint(self, name: str) -> str:
         return f"{self.root}/_checkpoints/{name}"
 
-    def put(self, name: str, df: DataFrame, partition_by: tuple[str, ...] = ()) -> DataFrame:
-        overwrite(df, self.path(name), partition_by)
+    def put(
+        self, name: str, df: DataFrame, partition_by: tuple[str, ...] = (), contract: Contract | None = None
+    ) -> DataFrame:
+        if contract is None:
+            overwrite(df, self.path(name), partition_by)
+            return self.get(name)
+        seen = Observation(name)
+        overwrite(df.observe(seen, *_counts(contract)), self.path(name), partition_by)
+        self._record(name, contract, seen.get)
         return self.get(name)
 
     def add(self, name: str, df: DataFrame) -> DataFrame:
@@ -54,20 +73,37 @@ class Store:
         """Incremental read of a stored dataset (its layout is the stored one)."""
         return stream_table(self.spark, self.path(name), schema or self.get(name).schema)
 
-    def run(self, name: str, df: DataFrame):
+    def run(self, name: str, df: DataFrame, contract: Contract | None = None):
         """Drain a stream into the dataset."""
-        return run_stream(df, self.path(name), self.checkpoint(name))
+        if contract is not None:
+            df = df.observe(name, *_counts(contract))
+        query = run_stream(df, self.path(name), self.checkpoint(name))
+        if contract is not None:
+            self._record(name, contract, observed_totals(query, name))
+        return query
+
+    def _record(self, name: str, contract: Contract, counts: dict[str, int]) -> None:
+        """Append the counts; a run that wrote no batch has none."""
+        if "_rows" not in counts:
+            return
+        rows = [(self.run_id, name, r, counts["_rows"] - counts[r], counts[r]) for r in contract.warn]
+        schema = "run string, dataset string, rule string, passed bigint, failed bigint"
+        self.add(METRICS, self.spark.createDataFrame(rows, schema).coalesce(1))
+
+
+def _counts(contract: Contract) -> list[Column]:
+    return [F.count("*").alias("_rows"), *violation_counts(contract.warn)]
 
 
 def run_fx(
     store: Store, stage: DataFrame, as_of: AsOf = None, required=("USD", "EUR"), rate_type: str = "double"
 ) -> DataFrame:
     """Bronze and silver FX with their audits; returns the day's rates."""
-    raw = store.put("market_data_raw", bronze.fx_raw(stage))
+    raw = store.put("market_data_raw", bronze.fx_raw(stage), contract=contracts.FX_RAW)
     parsed = store.put("market_data_parsed", bronze.fx_parse(raw))
     held = store.put("market_data_quarantine", bronze.fx_quarantine(raw, as_of))
     store.add("market_data_audit", audits.fx_audit(raw, parsed, held, as_of))
-    fx = store.put("fx_rates_silver", silver.fx_silver(parsed, as_of=as_of))
+    fx = store.put("fx_rates_silver", silver.fx_silver(parsed, as_of=as_of), contract=contracts.FX_SILVER)
     fx_held = store.put("fx_rates_silver_quarantine", silver.fx_silver_quarantine(parsed, as_of))
     store.add("fx_rates_silver_audit", audits.fx_silver_audit(fx, fx_held, as_of))
     pivoted = store.put("fx_rates_pivoted", silver.fx_pivot(fx, required=required, as_of=as_of))
@@ -78,12 +114,13 @@ def run_gold(store: Store, as_of: AsOf = None) -> None:
     """Recompute the gold tables and their audits from stored silver."""
     txn, fx = store.get("transactions_cleansed"), store.get("fx_rates_silver")
     store.put("transactions_high_risk", silver.high_risk(txn))
-    summary = store.put("daily_risk_summary", gold.daily_risk_summary(txn, as_of))
+    summary = store.put("daily_risk_summary", gold.daily_risk_summary(txn, as_of), contract=contracts.DAILY_RISK)
     flags = store.put("daily_anomaly_flags", gold.daily_anomaly_flags(txn, as_of=as_of))
-    exposure = store.put("daily_fx_exposure", gold.daily_fx_exposure(txn, fx, as_of=as_of))
+    exposure = store.put("daily_fx_exposure", gold.daily_fx_exposure(txn, fx, as_of=as_of), contract=contracts.FX_EXPOSURE)
     store.add("daily_risk_audit", audits.daily_risk_audit(summary, flags, exposure, as_of))
-    aml = store.put("aml_transaction_report", gold.aml_report(txn, as_of=as_of))
-    capital = store.put("basel3_exposure_report", gold.capital_exposure(txn, as_of=as_of))
+    aml = store.put("aml_transaction_report", gold.aml_report(txn, as_of=as_of), contract=contracts.AML_REPORT)
+    exposed = gold.capital_exposure(txn, as_of=as_of)
+    capital = store.put("basel3_exposure_report", exposed, contract=contracts.CAPITAL_EXPOSURE)
     log = store.add("regulatory_audit_log", audits.regulatory_log(aml, capital, as_of))
     store.add("regulatory_pipeline_audit", audits.regulatory_audit(aml, capital, log, as_of))
 
@@ -100,17 +137,18 @@ def run_batch(
     required=("USD", "EUR"),
 ) -> None:
     """All layers from batch inputs (``mcc`` and ``sanctions`` with their lineage columns)."""
+    store.begin()
     daily = run_fx(store, fx_stage, as_of, required, rate_type)
-    mcc = store.put("mcc_codes_raw", mcc)
+    mcc = store.put("mcc_codes_raw", mcc, contract=contracts.MCC_RAW)
     mcc_held = store.put("mcc_codes_quarantine", bronze.mcc_quarantine(mcc, as_of))
     store.add("mcc_files_audit", audits.mcc_audit(mcc, mcc_held, as_of))
-    listed = store.put("sanctions_raw", sanctions)
+    listed = store.put("sanctions_raw", sanctions, contract=contracts.SANCTIONS_RAW)
     listed_held = store.put("sanctions_quarantine", bronze.sanctions_quarantine(listed, as_of))
     store.add("sanction_files_audit", audits.sanctions_audit(listed, listed_held, as_of))
 
     # One scan labels every row; both sides then read their own partitions of it.
     raw = bronze.txn_raw(transactions, as_of)
-    routed = store.put("transactions_raw", bronze.txn_routed(raw), ("row_fate",))
+    routed = store.put("transactions_raw", bronze.txn_routed(raw), ("row_fate",), contracts.TXN_RAW)
     held = routed.filter(F.col("row_fate").isin("quarantine", "both")).drop("row_fate")
     held = held.withColumns({"quarantine_ts": query_time(as_of), "quarantine_status": F.lit(V.PENDING)})
     clean = routed.filter(F.col("row_fate").isin("clean", "both")).drop("row_fate", "failure_reasons")
@@ -123,7 +161,7 @@ def run_batch(
     active = store.put("active_sanctions", silver.active_sanctions(listed))
     unique = dedupe(clean, ["txn_id", "event_ts"])
     enriched = silver.txn_enrich(unique, daily, levels, active, as_of, money)
-    txn = store.put("transactions_cleansed", enriched)
+    txn = store.put("transactions_cleansed", enriched, contract=contracts.txn_silver_contract(as_of))
     txn_held = store.put("transactions_silver_quarantine", silver.txn_silver_quarantine(clean, as_of))
     store.add("transactions_silver_audit", audits.txn_silver_audit(txn, txn_held, as_of))
     run_gold(store, as_of)
@@ -139,19 +177,20 @@ def run_incremental(
     required=("USD", "EUR"),
 ) -> None:
     """Drain newly landed files and rows through bronze and silver, then recompute gold."""
+    store.begin()
     spark = store.spark
     use_rocksdb_state(spark)
     daily = run_fx(store, fx_stage, as_of, required)
-    store.run("mcc_codes_raw", mcc_ingest(spark, mcc_path, as_of))
+    store.run("mcc_codes_raw", mcc_ingest(spark, mcc_path, as_of), contracts.MCC_RAW)
     store.run("mcc_codes_quarantine", bronze.mcc_quarantine(store.stream("mcc_codes_raw"), as_of))
-    store.run("sanctions_raw", sanctions_ingest(spark, sanctions_path, as_of))
+    store.run("sanctions_raw", sanctions_ingest(spark, sanctions_path, as_of), contracts.SANCTIONS_RAW)
     store.run("sanctions_quarantine", bronze.sanctions_quarantine(store.stream("sanctions_raw"), as_of))
     mcc, listed = store.get("mcc_codes_raw"), store.get("sanctions_raw")
     store.add("mcc_files_audit", audits.mcc_audit(mcc, store.get("mcc_codes_quarantine"), as_of))
     store.add("sanction_files_audit", audits.sanctions_audit(listed, store.get("sanctions_quarantine"), as_of))
 
     source = stream_table(spark, transactions_path, schemas.TXN_SOURCE, V.MAX_FILES_PER_TRIGGER)
-    store.run("transactions_raw", bronze.txn_raw(source, as_of))
+    store.run("transactions_raw", bronze.txn_raw(source, as_of), contracts.TXN_RAW)
     store.run("transactions_quarantine", bronze.txn_quarantine(store.stream("transactions_raw"), as_of))
     store.run("transactions_cleansed_stage", bronze.txn_clean(store.stream("transactions_raw")))
     raw, clean = store.get("transactions_raw"), store.get("transactions_cleansed_stage")
@@ -160,7 +199,8 @@ def run_incremental(
     levels = store.put("mcc_levels", silver.mcc_levels(mcc))
     active = store.put("active_sanctions", silver.active_sanctions(listed))
     unique = dedupe_stream(store.stream("transactions_cleansed_stage"))
-    store.run("transactions_cleansed", silver.txn_enrich(unique, daily, levels, active, as_of))
+    enriched = silver.txn_enrich(unique, daily, levels, active, as_of)
+    store.run("transactions_cleansed", enriched, contracts.txn_silver_contract(as_of))
     staged = store.stream("transactions_cleansed_stage")
     store.run("transactions_silver_quarantine", silver.txn_silver_quarantine(staged, as_of))
     txn, held = store.get("transactions_cleansed"), store.get("transactions_silver_quarantine")

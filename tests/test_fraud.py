@@ -67,3 +67,22 @@ def test_roc_ends_at_one(raw):
 def test_latest_model(spark):
     df = spark.createDataFrame([("a", 1), ("b", 3), ("c", 2)], "path string, created_ts int")
     assert fraud.latest_model(df).first().path == "b"
+
+
+def test_whole_flow(spark, raw, tmp_path):
+    root = str(tmp_path / "fraud")
+    for n in (1, 2):
+        scored = fraud.run_fraud(spark, root, raw, {"maxIter": 3 * n})
+        metrics = spark.read.parquet(f"{root}/model_metrics")
+        assert metrics.count() == n and metrics.filter("train_auc > 0.9 and test_auc > 0.9").count() == n
+    champion = fraud.latest_model(metrics).first()
+    assert champion["created_ts"] == max(r["created_ts"] for r in metrics.collect())
+    assert scored.filter("fraud_probability between 0 and 1").count() == scored.count() > 0
+
+
+def test_report_averages(spark):
+    df = spark.createDataFrame([(0, 0.0), (0, 0.0), (0, 1.0), (1, 1.0), (2, 1.0)], "is_fraud int, prediction double")
+    got = {r["average"]: r for r in fraud.report_averages(df).collect()}
+    assert got["macro"].accuracy == got["weighted"].accuracy == 0.6 and got["macro"].support == 5
+    assert got["macro"].recall == round((2 / 3 + 1 + 0) / 3, 4) and got["weighted"].recall == 0.6
+    assert got["macro"].precision == round((1 + 1 / 3) / 3, 4) and got["weighted"].precision == round((3 + 1 / 3) / 5, 4)

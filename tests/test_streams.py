@@ -203,6 +203,13 @@ def test_incremental_run_equals_batch_run(spark, sf_dir, tmp_path):
         assert stream.get(name).first().asDict().keys() == batch.get(name).first().asDict().keys()
     mine, other = stream.get("transactions_data_audit").first(), batch.get("transactions_data_audit").first()
     assert mine == other and mine.good_rows + mine.quarantine_rows < mine.total_rows
+    for store in (stream, batch):
+        counted = store.get(medallion.METRICS)
+        assert counted.select("run").distinct().count() == 1 and counted.select("dataset").distinct().count() == 10
+        for name, contract in (("transactions_raw", contracts.TXN_RAW), ("transactions_cleansed", contracts.txn_silver_contract(views.AS_OF)),
+                               ("sanctions_raw", contracts.SANCTIONS_RAW), ("daily_risk_summary", contracts.DAILY_RISK)):
+            mine = counted.filter(F.col("dataset") == name).select("rule", "passed", "failed")
+            assert rows(mine) == rows(quality.expectation_profile(store.get(name), contract.warn)), name
     # Nothing new has landed: draining the source again adds nothing.
     source = tables.stream_table(spark, landed, schemas.TXN_SOURCE)
     before = stream.get("transactions_raw").count()
