@@ -90,9 +90,12 @@ class Members:
                 return True
         return False
 
-    def until(self, mark: bytes, most: int = 1 << 16) -> bytes:
-        while (at := self.plain.find(mark)) < 0:
-            if len(self.plain) > most or not self._more():
+    def until(self, mark: bytes) -> bytes:
+        """The bytes before ``mark``, however many: a URL has no greatest length."""
+        start = 0
+        while (at := self.plain.find(mark, start)) < 0:
+            start = max(0, len(self.plain) - len(mark) + 1)
+            if not self._more():
                 raise ValueError("a record without an end of its header")
         out = bytes(self.plain[:at])
         del self.plain[: at + len(mark)]
@@ -191,7 +194,7 @@ def read(archives: DataFrame) -> DataFrame:
                     refers = page_of(header["warc-refers-to"]) if revisit else None
                     page = page_of(header["warc-record-id"])
                     rows.append((page, int(header["x-payload-length"]), digest, header["warc-type"], refers, header["warc-target-uri"], None if revisit else content))
-                    held += len(content)
+                    held += len(content) + len(header["warc-target-uri"])
                     if held >= 4 * BLOCK or len(rows) >= 5000:
                         yield batch(rows)
                         rows, held = [], 0

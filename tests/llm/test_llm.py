@@ -1,10 +1,12 @@
 """Operators against brute force, and their defined results on nulls, empty and long texts, ties, repeats, empty tables."""
 
 import collections
+import gzip
 import hashlib
 import io
 import math
 import random
+import urllib.parse
 import zlib
 
 import numpy as np
@@ -88,6 +90,21 @@ def test_warc_reader_in_any_blocks(block):
         list(warc.read_records(io.BytesIO(packer.compress(plain) + packer.flush()), block))
 
 
+def test_warc_long_urls(spark):
+    """A header ends where it ends: URLs of 2 MB, percent-encoded or hard to compress, come back whole."""
+    noise = random.Random(1).randbytes(1 << 20).hex()
+    for url in (noise, "é" * (1 << 20)):
+        data = warc.record(1, url, b"x") + warc.record(2, "u", b"y")
+        for block in (4096, 1 << 20):
+            found = list(warc.read_records(io.BytesIO(data), block))
+            assert urllib.parse.unquote(found[0][0]["warc-target-uri"]) == url and [c for _, c in found] == [b"x", b"y"]
+    with pytest.raises(ValueError):
+        list(warc.read_records(io.BytesIO(gzip.compress(b"WARC/1.1\r\n" + noise.encode()))))
+    df = spark.createDataFrame([(1, noise, "a"), (2, "é" * (1 << 20), "a"), (3, "u", "b")], "page_id bigint, url string, html string")
+    got = sorted((r["page_id"], r["record_type"], r["refers_to"]) for r in warc.archive_round_trip(df).collect())
+    assert got == [(1, "revisit", 2), (2, "response", None), (3, "response", None)]
+
+
 # -- 3, 5 ---------------------------------------------------------------------
 @pytest.fixture(scope="module")
 def vectors(spark):
