@@ -310,6 +310,23 @@ def test_wide_simhash(spark, docs, sf_dir):
     assert wide_simhash.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_wide_simhash_settles_long_texts(spark):
+    """Texts of 2,996 shingles just above and just below the similarity of 0.8, which a sample of 512 cannot tell apart."""
+    rng, made, want = random.Random(6), [], {}
+    for base in range(24):
+        tokens = [f"b{base}x{i}" for i in range(3000)]
+        copy = list(tokens)
+        for i in rng.sample(range(5, 2990, 10), 66 + base % 2):
+            copy[i] = "other"
+        x, y = (shingle_set(" ".join(t)) for t in (tokens, copy))
+        like = len(x & y) >= 0.8 * len(x | y)
+        assert like == (base % 2 == 0) and abs(len(x & y) / len(x | y) - 0.8) < 0.002
+        made += [(2 * base, " ".join(tokens)), (2 * base + 1, " ".join(copy))]
+        want |= {2 * base: 2 * base, 2 * base + 1: 2 * base + (not like)}
+    df = spark.createDataFrame(made, "doc_id bigint, text string")
+    assert {r["doc_id"]: r["component_id"] for r in wide_simhash.near_duplicates(df).collect()} == want
+
+
 def test_near_pairs_finds_all(spark):
     rng = random.Random(2)
     base = [rng.getrandbits(64) for _ in range(40)]
