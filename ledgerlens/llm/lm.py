@@ -4,7 +4,13 @@ The lowest order is a smoothed unigram distribution over every word of the train
 many these are.  Above it, discounted bigrams and trigrams become arcs: a state is a
 context, an arc its predicted word with a weight and the next state, and a failure arc leads to
 the shorter context at the backoff weight.  A text is scored in one traversal that carries the
-state.  The states of frequent words have bounds in number and arcs (counts below a threshold are left to
+state.
+
+``score`` with ``whole`` holds every n-gram of the texts: each order is interpolated with the next, so
+the weight of an arc and of a context adds up along the orders.  All bigrams and trigrams are stored
+and joined with those of a text; only the weights of frequent words, as words and as contexts, are broadcast.
+
+Without ``whole`` the model is bounded.  The states of frequent words have bounds in number and arcs (counts below a threshold are left to
 the failure arcs, which keeps every distribution normalised), so they are broadcast.  Every other
 word is a state too, with all its arcs; these states grow with the texts, are a stored table, and the
 traversal only notes which of their arcs and failures it takes: their weights are joined.
@@ -14,6 +20,7 @@ from __future__ import annotations
 
 import math
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -28,6 +35,8 @@ from ledgerlens.sources.tables import hand_over
 #: The end of a text; words have no white space.
 END = b"\n"
 FLUSH_WORDS, FLUSH_GRAMS = 200_000, 2_000_000
+#: Words whose n-grams are counted together when all are kept, and rows of a batch of these.
+FLUSH_WHOLE, GRAM_ROWS = 1_000_000, 1 << 17
 #: Spark's ``xxhash64`` of one value.
 SEED = 42
 
@@ -145,6 +154,44 @@ def _grams(at: np.ndarray, two: int, three: int, begin: np.ndarray, end: np.ndar
     return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*parts)], names=["size", "code", "after", "n"])
 
 
+def triple_key(first, second, left=np.left_shift, right=lambda x, n: (x.view(np.uint64) >> np.uint64(n)).view(np.int64)):
+    """One value for the keys of the two bigrams of a trigram; turned so that the word in common does not cancel out."""
+    turned = [left(first, 23), right(first, 41), second]
+    if isinstance(second, Column):
+        return turned[0].bitwiseXOR(turned[1]).bitwiseXOR(turned[2])
+    return turned[0] ^ turned[1] ^ turned[2]
+
+
+def all_grams(texts: DataFrame) -> DataFrame:
+    """``size``, ``code``, ``after``, ``n`` of every bigram, as hashes of its words, and trigram, as keys of its bigrams."""
+
+    def found(held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        bigrams = [arc_key(h[:-1], h[1:]) for h in held]
+        ends = {2: [(h[:-1], h[1:]) for h in held], 3: [(x[:-1], x[1:]) for x in bigrams]}
+        for size, parts in ends.items():
+            code, after = (np.concatenate(c) for c in zip(*parts))
+            _, first, n = np.unique((arc_key, triple_key)[size - 2](code, after), return_index=True, return_counts=True)
+            for i in range(0, len(n), GRAM_ROWS):
+                at = first[i : i + GRAM_ROWS]
+                columns = [np.full(len(at), size, np.int32), code[at], after[at], n[i : i + GRAM_ROWS]]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["size", "code", "after", "n"])
+
+    def run(batches):
+        held, size = [], 0
+        for batch in pieces(batches, "v"):
+            for v in batch.column("v").to_pylist():
+                held.append(hashes([*words(v), END]))
+                size += len(held[-1])
+                if size >= FLUSH_WHOLE:
+                    yield from found(held)
+                    held, size = [], 0
+        if held:
+            yield from found(held)
+
+    made = texts.select("v").mapInArrow(run, "size int, code bigint, after bigint, n bigint")
+    return made.groupBy("size", "code", "after").agg(F.sum("n").alias("n"))
+
+
 class Automaton:
     """States with arcs, failure arcs and backoff weights; weights are log10.
 
@@ -231,6 +278,25 @@ class Scorer:
         return len(tokens), len(known), sum(known), self.automaton.walk(tokens), list(others), list(others.values()), arcs
 
 
+class WholeScorer(Scorer):
+    """Every bigram and trigram of a text is looked up in the stored arcs."""
+
+    def __init__(self, model: dict):
+        super().__init__(model)
+        self.fails = dict(zip(model["words"], model["fails"]))
+
+    def score(self, data: bytes) -> tuple[int, int, float, float, list[bytes], list[int], np.ndarray]:
+        tokens = words(data)
+        tokens.append(END)
+        known = [x for x in map(self.weights.get, tokens) if x is not None]
+        others = Counter(t for t in tokens if t not in self.weights)
+        at = hashes(tokens)
+        two = arc_key(at[:-1], at[1:])
+        arcs = np.concatenate([two, triple_key(two[:-1], two[1:])])
+        failed = sum(self.fails.get(t, 0.0) for t in tokens)
+        return len(tokens), len(known), sum(known), failed, list(others), list(others.values()), arcs
+
+
 def collected(df: DataFrame) -> list[tuple]:
     """Rows of a table of bounded size, without an object for each on the way."""
     return list(zip(*(c.to_pylist() for c in df.toArrow().columns)))
@@ -280,22 +346,73 @@ def stored_states(model: dict, counts: DataFrame, rare: Column, pairs: DataFrame
     return hand_over(states, "states"), hand_over(arcs, "arcs")
 
 
-def score(df: DataFrame, learn: Column, text: str = "text", key: str = "doc_id", limits: Limits = Limits()) -> DataFrame:
+def joined(df: DataFrame, side: DataFrame, on: str) -> DataFrame:
+    """Equality join with a row for each word; those of frequent words (``held``) are broadcast, so no key is hot."""
+    most = F.broadcast(side.filter("held").drop("held"))
+    rest = df.join(most.select(on), on, "left_anti").join(side.filter("not held").drop("held"), on)
+    return df.join(most, on).unionByName(rest)
+
+
+def fit_whole(texts: DataFrame, limits: Limits) -> tuple[dict, DataFrame, DataFrame]:
+    """Weights of frequent words; ``states`` (``token``, ``n``, ``fails``) of all others; ``arcs`` (``arc``, ``adds``) of all n-grams.
+
+    p(w | b) = (n(bw) - discount) / n(b) + left(b) p(w) and p(w | ab) = (n(abw) - discount) / n(ab) + left(ab) p(w | b),
+    ``left`` being what the discounts leave of a context.  The log10 of p(w | ab) is that of p(w) plus what the context b,
+    the bigram bw, the context ab and the trigram abw add.  A bigram is followed by a word unless it ends its text, so
+    what it adds as a context is part of its row.
+    """
+    counts = hand_over(word_counts(texts), "word_counts")
+    total, types = counts.agg(F.sum("n"), F.count("*")).first()
+    total, frequent = total or 0, level() >= threshold(counts, limits.frequent)
+    grams = hand_over(all_grams(texts), "all_grams")
+    reduced = F.col("n") - limits.discount
+    uni = (F.col("times") + 0.5) / F.lit(float(total + 0.5 * (types + 1)))
+    left = lambda size: (F.col(size) - F.coalesce("taken", F.lit(0.0))) / F.col(size)
+    pairs, triples = grams.filter("size = 2").drop("size"), grams.filter("size = 3").drop("size")
+    taken = lambda df: df.groupBy("code").agg(F.sum(reduced).alias("taken"))
+    tokens = counts.withColumn("code", F.xxhash64("token"))
+    contexts = tokens.groupBy("code").agg(F.sum("n").alias("times"), F.bool_or(frequent).alias("held"))
+    contexts = hand_over(contexts.join(taken(pairs), "code", "left").select("code", "times", left("times").alias("left"), "held"), "contexts")
+    states = hand_over(tokens.join(contexts.drop("times", "held"), "code").select("token", "n", F.log10("left").alias("fails")), "states")
+
+    ends = joined(pairs, contexts.select(F.col("code").alias("after"), "times", "held"), "after").withColumn("uni", uni).drop("times")
+    both = joined(ends, contexts.withColumnRenamed("times", "of"), "code")
+    arc = arc_key(F.col("code"), F.col("after"), F.shiftleft, F.shiftrightunsigned)
+    p = reduced / F.col("of") + F.col("left") * F.col("uni")
+    two = both.select(arc.alias("code"), "n", p.alias("p"), F.log10(p / (F.col("left") * F.col("uni"))).alias("adds"))
+    two = two.join(taken(triples), "code", "left").select("code", F.col("n").alias("of"), "p", "adds", left("n").alias("left"))
+    two = hand_over(two, "bigrams")
+    lower = triples.join(two.select(F.col("code").alias("after"), "p"), "after")
+    three = lower.join(two.select("code", "of", "left"), "code").select(
+        triple_key(F.col("code"), F.col("after"), F.shiftleft, F.shiftrightunsigned).alias("arc"),
+        F.log10(1 + reduced / (F.col("of") * F.col("left") * F.col("p"))).alias("adds"),
+    )
+    arcs = two.select(F.col("code").alias("arc"), (F.col("adds") + F.log10("left")).alias("adds")).unionByName(three)
+    most = collected(states.filter(frequent))
+    model = {name: [r[i] for r in most] for i, name in enumerate(("words", "counts", "fails"))}
+    model |= {"grams": [[], []], "total": total, "types": types, "limits": limits}
+    return model, states.filter(~frequent), hand_over(arcs, "arcs")
+
+
+def score(
+    df: DataFrame, learn: Column, text: str = "text", key: str = "doc_id", limits: Limits = Limits(), whole: bool = False
+) -> DataFrame:
     """One row per input row: ``key``, ``learned``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``, ``score``.
 
-    Learned from the rows where ``learn`` holds.  ``base_score`` is the unigram log10 probability of
+    Learned from the rows where ``learn`` holds; ``whole`` keeps every n-gram of these, and of ``limits`` only the number of
+    frequent words and the discount count then.  ``base_score`` is the unigram log10 probability of
     the text and its end, ``score`` the automaton's.  NULL and empty texts have the end as only token;
     repeated rows are scored each for itself; without training rows every token is unknown; an empty
     table gives an empty result; other columns are not read.
     """
     rows = df.select(F.col(key).alias("k"), F.coalesce(learn, F.lit(False)).alias("learned"), text_bytes(F.col(text)).alias("v"))
-    model, states, arcs = fit(rows.filter("learned"), limits)
+    model, states, arcs = (fit_whole if whole else fit)(rows.filter("learned"), limits)
     shared = Shared(df.sparkSession, model)
     names = ["row", "k", "learned", "n_tokens", "known", "base", "walked", "token", "times", "arc"]
     kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.binary()), pa.list_(pa.int32()), pa.list_(pa.int64())]
 
     def run(batches):
-        scorer = shared.built(Scorer)
+        scorer = shared.built(WholeScorer if whole else Scorer)
         for batch in pieces(batches, "v"):
             made = zip(*(scorer.score(v) for v in batch.column("v").to_pylist()))
             arrays = [pa.array(list(c), t) for c, t in zip(made, kinds)]

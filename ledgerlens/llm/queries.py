@@ -51,7 +51,7 @@ def op3_ann(spark, sf_dir):
 def op4_lm_score(spark, sf_dir):
     """Every document under the language model of four fifths of them."""
     learn = remainder(F.col("doc_id"), 5) != 1
-    scored = lm.score(table(spark, sf_dir, "documents"), learn)
+    scored = lm.score(table(spark, sf_dir, "documents"), learn, whole=True)
     return scored.select("doc_id", (~F.col("learned")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 

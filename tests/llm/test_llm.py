@@ -214,6 +214,36 @@ def test_states_outside_the_broadcast(spark):
         assert abs(r["score"] - sum(math.log10(uni(w)) for w in t) - scorer.automaton.walk(t) - steps) < 1e-9
 
 
+@pytest.mark.parametrize("frequent", [0, 6, 1 << 17])
+def test_whole_language_model(spark, frequent):
+    """Every n-gram counts, wherever it is held: scores equal plain dictionaries, whose distributions sum to one."""
+    pick = random.Random(3)
+    texts = [" ".join(pick.choice(["the", "of", *(f"w{i}" for i in range(40))]) for _ in range(60)) for _ in range(30)] + ["", "the", "once seen"]
+    tokens = [[*t.encode().split(), lm.END] for t in texts]
+    train = [t for i, t in enumerate(tokens) if i % 3]
+    one, two, three = (collections.Counter(tuple(t[i : i + k]) for t in train for i in range(len(t) - k + 1)) for k in (1, 2, 3))
+    norm = sum(one.values()) + 0.5 * (len(one) + 1)
+    followers = collections.defaultdict(dict)
+    for gram, n in [*two.items(), *three.items()]:
+        followers[gram[:-1]][gram[-1]] = n
+
+    def p(w, context):
+        if not context:
+            return (one[(w,)] + 0.5) / norm
+        of, size = followers[context], (one, two)[len(context) - 1][context]
+        below = p(w, context[1:])
+        return (max(of.get(w, 0) - 0.5, 0) + 0.5 * len(of) * below) / size if of else below
+
+    for context in list(followers)[:200]:
+        assert abs(sum(p(w, context) for (w,) in one) + p(b"?", context) - 1) < 1e-9
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = lm.score(df, F.col("doc_id") % 3 != 0, limits=lm.Limits(frequent=frequent), whole=True).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        t = tokens[r["doc_id"]]
+        assert abs(r["score"] - sum(math.log10(p(w, tuple(t[max(0, i - 2) : i]))) for i, w in enumerate(t))) < 1e-9
+
+
 def test_automaton_distributions_sum_to_one():
     names = [b"a", b"b", b"c", lm.END]
     model = {"words": names, "counts": [10, 6, 3, 5], "total": 24, "types": 4, "limits": lm.Limits(words=(4, 4))}
