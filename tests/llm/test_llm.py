@@ -244,6 +244,17 @@ def test_whole_language_model(spark, frequent):
         assert abs(r["score"] - sum(math.log10(p(w, tuple(t[max(0, i - 2) : i]))) for i, w in enumerate(t))) < 1e-9
 
 
+def test_level_decides_only_where_a_word_is_held(spark):
+    """All counts are equal, so that one level passes the bound of the broadcast: scores are the same, and n-grams seen once count."""
+    df = spark.createDataFrame([(i, " ".join(f"{i}w{k}" for k in range(30))) for i in range(4)], "doc_id bigint, text string")
+    few, all_ = ({r["doc_id"]: r["score"] for r in lm.score(df, F.lit(True), limits=lm.Limits(frequent=n), whole=True).collect()} for n in (3, 1 << 17))
+    base = {r["doc_id"]: r["base_score"] for r in lm.score(df, F.lit(True), whole=True).collect()}
+    assert all(abs(few[i] - all_[i]) < 1e-9 and few[i] > base[i] + 10 for i in base) and len(few) == 4
+    model, states, arcs = lm.fit_whole(df.select(F.col("text").cast("binary").alias("v")), lm.Limits(frequent=3))
+    assert len(model["words"]) == 1 and states.count() == 120 and arcs.count() == 4 * (30 + 29)
+    assert lm.score(df.limit(0), F.lit(True), whole=True).count() == 0
+
+
 def test_automaton_distributions_sum_to_one():
     names = [b"a", b"b", b"c", lm.END]
     model = {"words": names, "counts": [10, 6, 3, 5], "total": 24, "types": 4, "limits": lm.Limits(words=(4, 4))}
