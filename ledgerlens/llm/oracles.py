@@ -58,4 +58,53 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
   CAST(3 + sum(size) AS BIGINT) AS formatted_chars
 FROM written GROUP BY conv_id"""
 
-ORACLES: dict[str, str] = {"op1_url_filter": _url_filter(), "op2_warc": WARC, "op6_chat": CHAT}
+
+
+def _centroids(clusters: int = 8, rounds: int = 10) -> str:
+    """Vectors and centroids as one row per component; each round is a pair of tables."""
+    steps = [
+        "raw AS (SELECT vec_id, unnest(embedding) AS v, generate_subscripts(embedding, 1) AS i FROM embeddings WHERE len(embedding) = 64)",
+        "kept AS (SELECT vec_id FROM raw GROUP BY vec_id HAVING count(v) = 64 AND bool_and(isfinite(v)))",
+        "x AS MATERIALIZED (SELECT vec_id, i, CAST(floor(1024 * CAST(v AS DOUBLE)) AS BIGINT) AS v FROM raw SEMI JOIN kept USING (vec_id))",
+        f"first AS (SELECT vec_id, row_number() OVER (ORDER BY sha256('3:' || vec_id)) - 1 AS c FROM kept ORDER BY c LIMIT {clusters})",
+        "c0 AS MATERIALIZED (SELECT c, i, v FROM x JOIN first USING (vec_id))",
+    ]
+    for r in range(rounds + 1):
+        far = f"SELECT x.vec_id, c.c, CAST(sum((x.v - c.v) * (x.v - c.v)) AS BIGINT) AS d FROM x JOIN c{r} c USING (i) GROUP BY ALL"
+        steps.append(f"a{r} AS MATERIALIZED (SELECT vec_id, arg_min(c, (d, c)) AS c, min(d) AS d FROM ({far}) GROUP BY vec_id)")
+        if r < rounds:
+            steps.append(f"m{r} AS (SELECT c, i, sum(v) AS s, count(*) AS n FROM x JOIN a{r} USING (vec_id) GROUP BY ALL)")
+            # An integer division that rounds down whatever the sign.
+            mean = "CAST((s - ((s % n) + n) % n) // n AS BIGINT)"
+            steps.append(f"c{r + 1} AS MATERIALIZED (SELECT o.c, o.i, coalesce({mean}, o.v) AS v FROM c{r} o LEFT JOIN m{r} m ON m.c = o.c AND m.i = o.i)")
+    return f"""
+WITH {", ".join(steps)},
+told AS (SELECT c, sha256(string_agg(CAST(v AS VARCHAR), ',' ORDER BY i)) AS centroid_sha256 FROM c{rounds} GROUP BY c)
+SELECT vec_id, CAST(c AS INT) AS cluster, d AS distance, CAST(sum(d) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia,
+  CAST(sum(d) OVER () AS BIGINT) AS inertia, centroid_sha256
+FROM a{rounds} JOIN told USING (c)"""
+
+
+HARD_NEGATIVES = """
+WITH raw AS (
+  SELECT vec_id, unnest(embedding) AS v, generate_subscripts(embedding, 1) AS i,
+    CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL
+), kept AS (SELECT vec_id FROM raw GROUP BY vec_id HAVING count(v) = count(*) AND bool_and(isfinite(v))),
+x AS MATERIALIZED (SELECT vec_id, label, i, CAST(floor(256 * CAST(v AS DOUBLE)) AS BIGINT) AS v FROM raw SEMI JOIN kept USING (vec_id)),
+scores AS MATERIALIZED (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, CAST(sum(a.v * b.v) AS BIGINT) AS score
+  FROM x a JOIN x b ON a.i = b.i AND a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0 GROUP BY ALL
+), positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scores WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id, CAST(row_number() OVER w AS INT) AS rank, vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scores USING (anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)
+QUALIFY row_number() OVER w <= 10"""
+
+ORACLES: dict[str, str] = {
+    "op1_url_filter": _url_filter(), "op2_warc": WARC, "op6_chat": CHAT, "op11_centroids": _centroids(), "op12_hard_negatives": HARD_NEGATIVES,
+}

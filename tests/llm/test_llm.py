@@ -17,7 +17,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from checks.compare import compare, connect
-from ledgerlens.llm import ann, bpe, chat, components, embed_dedup, langid, lm, mixing, simhash, url_filter, warc, wide_simhash
+from ledgerlens.llm import ann, bpe, chat, components, embed_dedup, langid, lm, mixing, simhash, url_filter, warc
 from ledgerlens.llm.common import remainder, ship
 from ledgerlens.llm.oracles import ORACLES
 from ledgerlens.llm.queries import REGISTRY, VOCABULARY
@@ -311,63 +311,6 @@ def test_simhash(spark, docs, sf_dir):
     assert simhash.near_duplicates(docs.limit(0)).count() == 0
 
 
-def shingle_set(text, size=5):
-    tokens = (text or "").encode().lower().split()
-    return frozenset(b" ".join(tokens[i : i + size]) for i in range(max(1, len(tokens) - size + 1))) if tokens else frozenset()
-
-
-def test_wide_simhash(spark, docs, sf_dir):
-    """Components by shingle similarity, against all pairs of texts; longer texts than are kept whole are near or far here."""
-    rng = random.Random(4)
-    made = [(r["doc_id"], r["text"]) for r in docs.collect()]
-    for base in range(8):
-        tokens = [f"w{rng.randrange(5000)}" for _ in range((30, 60, 200, 400, 60, 60, 3000, 5)[base])]
-        for k in range(40 if base == 4 else 5):
-            copy = list(tokens)
-            for _ in range(rng.randrange(1 + len(tokens) // 60)):
-                copy[rng.randrange(len(copy))] = "x"
-            made.append((100 * base + k + 100, " ".join(copy).upper() if k == 1 else "\t".join(copy)))
-    given = spark.createDataFrame(made, "doc_id bigint, text string").withColumn("node", F.lit("clash")).withColumn("component", F.lit(1))
-    for df in (given, spark.read.parquet(f"{sf_dir}/documents.parquet")):
-        texts = [(r["doc_id"], r["text"]) for r in df.select("doc_id", "text").collect()]
-        sets = list({shingle_set(t) for _, t in texts})
-        top = list(range(len(sets)))
-        for i, x in enumerate(sets):
-            for j in range(i):
-                y = sets[j]
-                if top[i] != top[j] and min(len(x), len(y)) >= 0.8 * max(len(x), len(y)) and (x == y or len(x & y) >= 0.8 * len(x | y)):
-                    old, new = top[j], top[i]
-                    top = [new if t == old else t for t in top]
-        of = dict(zip(sets, top))
-        least = {}
-        for i, t in texts:
-            if i is not None:
-                c = of[shingle_set(t)]
-                least[c] = min(least.get(c, i), i)
-        found = wide_simhash.near_duplicates(df).cache()
-        assert sorted(((r["doc_id"], r["component_id"]) for r in found.collect()), key=str) == sorted(((i, least.get(of[shingle_set(t)])) for i, t in texts), key=str)
-        assert found.select("component").distinct().count() == len(set(top))
-        assert simhash.keepers(found).count() == len(set(top))
-    assert wide_simhash.near_duplicates(docs.limit(0)).count() == 0
-
-
-def test_wide_simhash_settles_long_texts(spark):
-    """Texts of 2,996 shingles just above and just below the similarity of 0.8, which a sample of 512 cannot tell apart."""
-    rng, made, want = random.Random(6), [], {}
-    for base in range(24):
-        tokens = [f"b{base}x{i}" for i in range(3000)]
-        copy = list(tokens)
-        for i in rng.sample(range(5, 2990, 10), 66 + base % 2):
-            copy[i] = "other"
-        x, y = (shingle_set(" ".join(t)) for t in (tokens, copy))
-        like = len(x & y) >= 0.8 * len(x | y)
-        assert like == (base % 2 == 0) and abs(len(x & y) / len(x | y) - 0.8) < 0.002
-        made += [(2 * base, " ".join(tokens)), (2 * base + 1, " ".join(copy))]
-        want |= {2 * base: 2 * base, 2 * base + 1: 2 * base + (not like)}
-    df = spark.createDataFrame(made, "doc_id bigint, text string")
-    assert {r["doc_id"]: r["component_id"] for r in wide_simhash.near_duplicates(df).collect()} == want
-
-
 def test_near_pairs_finds_all(spark):
     rng = random.Random(2)
     base = [rng.getrandbits(64) for _ in range(40)]
@@ -474,7 +417,7 @@ def test_stages(spark, docs, sf_dir, tmp_path):
                 assert df.columns == corpus_pipeline.COLUMNS
             if i == 1:
                 ids = [r[0] for r in df.select("doc_id").collect()]
-                found = wide_simhash.near_duplicates(before).select("component").distinct().count()
+                found = simhash.near_duplicates(before, size=3, bits=2).select("component").distinct().count()
                 assert len(ids) == found
         assert df.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
         assert df.count() >= (0 if start is not whole else 100)
