@@ -12,9 +12,11 @@ therefore sends at most ``fan`` + 1 bins up, whatever its size, and no merge is
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import zlib
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -23,6 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlens.llm.bpe import byte_symbols
 from ledgerlens.llm.common import built_once, pieces, text_bytes
 from ledgerlens.operators.lookups import fits_broadcast
 from ledgerlens.sources.tables import hand_over
@@ -40,42 +43,143 @@ class Settings:
 
 
 # -- tokens -------------------------------------------------------------------
+#: The split of the vocabulary's file.
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: The same for lower-cased texts of code points below 256: white space, letters, numbers (each alone), others.
+WHITE, LETTERS, NUMBERS = b" \t\n\x0b\x0c\r\x85\xa0", b"abcdefghijklmnopqrstuvwxyz\xaa\xb5\xba", b"0123456789\xb2\xb3\xb9\xbc\xbd\xbe"
+CLASS = np.full(256, 3, dtype=np.uint8)
+CLASS[list(WHITE)], CLASS[list(LETTERS)], CLASS[list(NUMBERS)] = 0, 1, 2
+CLASS[0xDF:0xF7] = CLASS[0xF8:] = 1
+BLANK = re.compile(rb"[ \x09-\x0d]")
+
+
+class Kept:
+    """Values by key, at most twice ``most``: the last ``most`` new ones and those asked for again since."""
+
+    def __init__(self, most: int, make: Callable[[bytes], bytes], longest: int = 64):
+        self.most, self.make, self.longest = most, make, longest
+        self.young: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+
+    def _add(self, key: bytes) -> bytes:
+        if len(key) > self.longest:
+            return self.make(key)
+        if (value := self.old.get(key)) is None:
+            value = self.make(key)
+        if len(self.young) >= self.most:
+            self.young, self.old = {}, self.young
+        self.young[key] = value
+        return value
+
+    def all(self, keys: list[bytes]) -> list[bytes]:
+        found = list(map(self.young.get, keys))
+        if None in found:
+            return [self._add(k) if x is None else x for k, x in zip(keys, found)]
+        return found
+
+
 class WordEncoder:
-    """Ids of a text by a tokenizer that never joins what ASCII white space separates.
+    """Ids of texts by a tokenizer that never joins what ASCII white space separates: those of its words, one after the other.
 
-    Such a text's ids are those of its white-space separated words, one after the other.  Words seen
-    are kept as packed ids, at most ``keep`` of them; long ones are never kept.
+    A text of code points below 256 without special tokens is lower-cased and split here, in arrays over many
+    texts, and each different part is given to the tokenizer's model once; that saves most of the library's time.  The words of
+    every other text are the library's.  Ids of parts and words are kept, a bounded number of each, without long ones.
     """
 
-    def __init__(self, path: str, keep: int = 200_000, longest: int = 64):
+    def __init__(self, path: str, keep: int = 200_000, longest: int = 64, window: int = 4 << 20):
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.keep, self.longest = keep, longest
-        self.known: dict[bytes, bytes] = {}
-
-    def _ids(self, words: Sequence[bytes]) -> Iterator[bytes]:
-        for i in range(0, len(words), 4096):
-            texts = [w.decode("utf-8", "replace") for w in words[i : i + 4096]]
-            for e in self.tokenizer.encode_batch(texts, add_special_tokens=False):
-                yield np.array(e.ids, dtype="<u4").tobytes()
-
-    def encode(self, text: bytes) -> bytes:
-        """Little-endian unsigned 32-bit ids."""
-        words = text.split()
-        new = list({w for w in words if w not in self.known})
-        if len(self.known) + len(new) > self.keep:
-            self.known = {}
-            new = list(set(words))
-        fresh = dict(zip(new, self._ids(new)))
-        ids = b"".join([self.known.get(w) or fresh.get(w, b"") for w in words])
-        self.known.update((w, x) for w, x in fresh.items() if len(w) <= self.longest)
-        if len(self.known) > self.keep:
-            self.known = {}
-        return ids
+        self.window, self.model = window, self.tokenizer.model
+        self.parts, self.words = Kept(keep, self._part, longest), Kept(keep, self._word, longest)
+        self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.split_known = SPLIT in json.loads(self.tokenizer.pre_tokenizer.__getstate__())["pretokenizers"][0]["pattern"].values()
+        symbols = {b: c for c, b in byte_symbols().items()}
+        self.symbols = {i: "".join(symbols[b] for b in chr(i).encode()) for i in range(256)}
+        self.packed = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size())]
+
+    def _part(self, part: bytes) -> bytes:
+        packed = self.packed
+        return b"".join([packed[t.id] for t in self.model.tokenize(part.decode("latin-1").translate(self.symbols))])
+
+    def _word(self, word: bytes) -> bytes:
+        return np.array(self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids, dtype="<u4").tobytes()
+
+    def _narrow(self, text: bytes) -> bytes | None:
+        """The text in lower case, a byte per character; None if it has wider ones, is no UTF-8, or holds a special token."""
+        if not self.split_known or any(t in text for t in self.special):
+            return None
+        if text.isascii():
+            return text.lower()
+        try:
+            return text.decode().lower().encode("latin-1")
+        except UnicodeError:
+            return None
+
+    def _together(self, texts: list[bytes]) -> list[np.ndarray]:
+        """Ids of each of the texts that ``_narrow`` gives."""
+        ends = np.cumsum([len(t) + 1 for t in texts])
+        data = np.frombuffer(b"\n".join(texts) + b"\n\n\n\n", dtype=np.uint8)
+        kind = CLASS[data]
+        first = kind != 0
+        first[1:] &= (kind[1:] != kind[:-1]) | (kind[1:] == 2)
+        # An apostrophe that begins a part takes the letters of a contraction with it; the rest is a part of its own.
+        at = np.flatnonzero((data == ord("'")) & first)
+        a, b = data[at + 1], data[at + 2]
+        two = np.isin(a, list(b"stmd"))
+        three = ((a == ord("r")) | (a == ord("v"))) & (b == ord("e")) | (a == ord("l")) & (b == ord("l"))
+        at, size = at[two | three], np.where(two, 2, 3)[two | three]
+        first[at + 1] = False
+        first[at + size] = first[at + size] | (kind[at + size] == 1)
+        solid = kind != 0
+        starts = np.flatnonzero(first)
+        offsets = np.append((np.cumsum(solid) - 1)[starts], solid.sum()).astype(np.int32)
+        parts = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(data[solid])]).dictionary_encode()
+        known = self.parts.all(parts.dictionary.to_pylist())
+        sizes = np.array([len(x) // 4 for x in known], dtype=np.int64)
+        table, where = np.frombuffer(b"".join(known), dtype="<u4"), np.cumsum(sizes) - sizes
+        which = parts.indices.to_numpy()
+        n = sizes[which]
+        last = np.cumsum(n)
+        ids = table[np.repeat(where[which] - (last - n), n) + np.arange(last[-1] if len(last) else 0)]
+        return np.split(ids, np.append(0, last)[np.searchsorted(starts, ends)][:-1])
+
+    def _windows(self, text: bytes) -> Iterator[bytes]:
+        """The text cut at white space, so that a long text needs no more memory than its ids."""
+        start = 0
+        while len(text) - start > self.window:
+            space = BLANK.search(text, start + self.window)
+            end = space.end() if space else len(text)
+            yield text[start:end]
+            start = end
+        yield text[start:] if start else text
+
+    def encode(self, texts: list[bytes]) -> list[np.ndarray]:
+        """The ids of each text."""
+        out: list[list[np.ndarray]] = [[] for _ in texts]
+        waiting: list[tuple[int, int, bytes]] = []
+
+        def flush() -> None:
+            for (i, place, _), ids in zip(waiting, self._together([t for *_, t in waiting]) if waiting else ()):
+                out[i][place] = ids
+            waiting.clear()
+
+        size = 0
+        for i, text in enumerate(texts):
+            for part in self._windows(text):
+                if (low := self._narrow(part)) is None:
+                    out[i].append(np.frombuffer(b"".join(self.words.all(part.split())), dtype="<u4"))
+                    continue
+                waiting.append((i, len(out[i]), low))
+                out[i].append(np.zeros(0, dtype="<u4"))
+                if (size := size + len(low)) >= self.window:
+                    flush()
+                    size = 0
+        flush()
+        return [parts[0] if len(parts) == 1 else np.concatenate(parts) for parts in out]
 
 
 def encoded(df: DataFrame, vocabulary: str, key: str = "doc_id", text: str = "text", settings: Settings = Settings()) -> DataFrame:
@@ -87,22 +191,22 @@ def encoded(df: DataFrame, vocabulary: str, key: str = "doc_id", text: str = "te
     s = settings
     rows = df.select(F.col(key).alias("k"), text_bytes(F.col(text)).alias("v"))
     kind = rows.schema["k"].dataType.simpleString()
-    end = np.array([s.end], dtype="<u4").tobytes()
+    end = np.array([s.end], dtype="<u4")
 
     def run(batches):
         encoder = built_once(("words", vocabulary), lambda: WordEncoder(vocabulary))
         row = TaskContext.get().partitionId() << 40
-        for batch in pieces(batches, "v", 1 << 20):
+        for batch in pieces(batches, "v"):
             keys, piece, ids = [], [], []
-            for at, v in enumerate(batch.column("v").to_pylist()):
-                data, step = encoder.encode(v) + end, 4 * s.capacity
-                cut = [data[i : i + step] for i in range(0, len(data), step)]
+            for at, found in enumerate(encoder.encode(batch.column("v").to_pylist())):
+                found = np.concatenate([found, end])
+                cut = [found[i : i + s.capacity] for i in range(0, len(found), s.capacity)]
                 keys += [at] * len(cut)
                 piece += range(len(cut))
                 ids += cut
-            lengths = np.array([len(x) // 4 for x in ids], dtype=np.int64)
+            lengths = np.array([len(x) for x in ids], dtype=np.int64)
             offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
-            flat = np.frombuffer(b"".join(ids), dtype="<i4")
+            flat = np.concatenate(ids).view("<i4")
             piece = np.array(piece, dtype=np.int32)
             yield pa.RecordBatch.from_arrays(
                 [

@@ -201,12 +201,26 @@ def test_packing_of_texts(spark):
 
 
 def test_words_alone_equal_the_library():
-    library, encoder, rng = Tokenizer.from_file(WORDS), packing.WordEncoder(WORDS, keep=50, longest=5), random.Random(4)
+    library, encoder, rng = Tokenizer.from_file(WORDS), packing.WordEncoder(WORDS, keep=50, longest=5, window=9), random.Random(4)
     everything = [chr(i) for i in range(0x110000) if not 0xD800 <= i < 0xE000]
+    narrow = [chr(i) for i in range(256)]
+    assert encoder.split_known
+    encode = lambda text: encoder.encode([text.encode()])[0].tolist()
+    for a in narrow:  # every pair of characters that is split here
+        text = " ".join(a + b for b in narrow) + " " + "".join(a + b for b in narrow)
+        assert encode(text) == library.encode(text, add_special_tokens=False).ids, repr(a)
     parts = ["'s", "'LL", " ", "  ", "The", "É", "é", "\n", "́", "\x1c", "\x85", "　", "<|endoftext|>", "Σ", "İ", "½", "1", "_-", "가"]
+    made = []
     for _ in range(3000):
-        text = "".join(rng.choice(everything if rng.random() < 0.1 else parts) for _ in range(rng.choice([0, 1, 3, 20])))
-        assert np.frombuffer(encoder.encode(text.encode()), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids, repr(text)
+        text = "".join(rng.choice(everything if rng.random() < 0.05 else narrow if rng.random() < 0.3 else parts) for _ in range(rng.choice([0, 1, 3, 20])))
+        assert encode(text) == library.encode(text, add_special_tokens=False).ids, repr(text)
+        made.append(text)
+    for some in (made, made[:7], [], [""], ["", "a", "", "b\u3000c"]):  # many at once, in windows of any size
+        for window in (9, 1 << 20):
+            encoder.window = window
+            got = encoder.encode([t.encode() for t in some])
+            assert [x.tolist() for x in got] == [library.encode(t, add_special_tokens=False).ids for t in some]
+    assert encoder.encode([b"a\xff b"])[0].tolist() == library.encode("a\ufffd b", add_special_tokens=False).ids
 
 
 def plain_best_fit(lengths, capacity):
