@@ -7,8 +7,9 @@ from __future__ import annotations
 
 import re
 
-AS_OF = "TIMESTAMP '2024-01-28 12:00:00'"
-TODAY = "DATE '2024-01-28'"
+AS_OF = "TIMESTAMP '2024-01-31 12:00:00'"
+TODAY = "DATE '2024-01-31'"
+INSIDE = "TIMESTAMP '2024-01-28 12:00:00'"
 CCY = ("USD", "EUR", "AED", "NGN", "CNY", "CHF", "JPY", "SGD")
 QUOTES = "(" + ", ".join(f"'{c}'" for c in CCY) + ")"
 BRONZE_CCY = "('GBP', 'USD', 'EUR', 'AED', 'NGN', 'CNY')"
@@ -446,6 +447,7 @@ BODIES = {
     "fx_silver": "SELECT * FROM fx_silver",
     "fx_silver_without_stale": silver_from("fx_parsed", "NOT coalesce(is_stale, FALSE)"),
     "fx_pivot": "SELECT * FROM fx_pivot",
+    "fx_pivot_required": "SELECT * FROM fx_pivot WHERE GBP_USD IS NOT NULL AND GBP_EUR IS NOT NULL",
     "fx_silver_quarantine": f"SELECT *, 'silver' AS quarantine_layer, {STAMP} FROM fx_silver_held",
     "fx_silver_audit": f"""SELECT {AS_OF} AS run_ts, *, CASE WHEN total_rows = 0 OR quarantine_pct > 5.0 OR currency_pairs < 8 THEN 'FAIL' ELSE 'PASS' END AS audit_status
         FROM (SELECT *, {share("quarantine_rows", "total_rows")} AS quarantine_pct
@@ -562,3 +564,8 @@ BODIES = {
 }
 
 ORACLES = {name: _sql(body) for name, body in BODIES.items()}
+# These run inside the data, so that the rules on future events find some.
+for _name in ("expect_or_drop", "txn_silver"):
+    ORACLES[_name] = ORACLES[_name].replace(AS_OF, INSIDE)
+for _text in (f"event_ts > {AS_OF}", f"{AS_OF} AS quarantine_ts"):
+    ORACLES["txn_silver_quarantine"] = ORACLES["txn_silver_quarantine"].replace(_text, _text.replace(AS_OF, INSIDE))

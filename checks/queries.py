@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampType
 
 from checks import views as D
-from checks.views import AS_OF
+from checks.views import AS_OF, INSIDE
 from ledgerlens import schemas
 from ledgerlens import values as V
 from ledgerlens.functions import columns as fc
@@ -68,7 +68,7 @@ def expectation_profile_sanctions(spark, sf_dir):
 
 @query
 def expect_or_drop(spark, sf_dir):
-    rules = contracts.txn_silver_contract(AS_OF).drop
+    rules = contracts.txn_silver_contract(INSIDE).drop
     return quality.expect_or_drop(D.txn_source(spark, sf_dir), rules).select("txn_id", "amount", "currency", "event_ts")
 
 
@@ -249,7 +249,7 @@ def txn_silver(spark, sf_dir):
     """Enriched transactions from a source that delivers every row twice."""
     clean = D.txn_clean(spark, sf_dir)
     twice = runs.dedupe_stream(clean.unionByName(clean))
-    return _as_double(D.enrich(spark, sf_dir, twice))
+    return _as_double(D.enrich(spark, sf_dir, twice, INSIDE))
 
 
 def _as_double(txn: DataFrame) -> DataFrame:
@@ -273,7 +273,7 @@ def txn_high_risk(spark, sf_dir):
 
 @query
 def txn_silver_quarantine(spark, sf_dir):
-    return silver.txn_silver_quarantine(D.txn_clean(spark, sf_dir), AS_OF)
+    return silver.txn_silver_quarantine(D.txn_clean(spark, sf_dir), INSIDE)
 
 
 @query
@@ -297,6 +297,13 @@ def fx_pivot(spark, sf_dir):
     return silver.fx_pivot(D.fx_silver(spark, sf_dir), required=(), as_of=AS_OF)
 
 
+@query
+def fx_pivot_required(spark, sf_dir):
+    """Fetches that have both required currencies, with the fail rules on them in force."""
+    required = ("USD", "EUR")
+    return silver.fx_pivot(silver.fx_complete(D.fx_silver(spark, sf_dir), required), required=required, as_of=AS_OF)
+
+
 @query
 def fx_silver_quarantine(spark, sf_dir):
     parsed = bronze.fx_parse(D.fx_stage_faulty(spark, sf_dir), fail=False)

@@ -15,7 +15,9 @@ from ledgerlens import values as V
 from ledgerlens.plans import bronze, silver
 from ledgerlens.sources.tables import hand_over
 
-AS_OF = datetime(2024, 1, 28, 12, tzinfo=UTC)
+#: The time of a run, after the last event, so that every event counts; and one inside the data, for the rules on future events.
+AS_OF = datetime(2024, 1, 31, 12, tzinfo=UTC)
+INSIDE = datetime(2024, 1, 28, 12, tzinfo=UTC)
 MONEY = "decimal(18,2)"
 RATE = "decimal(18,6)"
 
@@ -199,19 +201,19 @@ def sanction_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # -- silver -------------------------------------------------------------------
-def enrich(spark: SparkSession, sf_dir: str, clean: DataFrame) -> DataFrame:
+def enrich(spark: SparkSession, sf_dir: str, clean: DataFrame, as_of: datetime = AS_OF) -> DataFrame:
     return silver.txn_enrich(
         clean,
         fx_daily(spark, sf_dir),
         silver.mcc_levels(mcc(spark, sf_dir)),
         silver.active_sanctions(sanctions(spark, sf_dir)),
-        as_of=AS_OF,
+        as_of=as_of,
         money=MONEY,
     )
 
 
-def txn_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return enrich(spark, sf_dir, txn_clean(spark, sf_dir))
+def txn_silver(spark: SparkSession, sf_dir: str, as_of: datetime = AS_OF) -> DataFrame:
+    return enrich(spark, sf_dir, txn_clean(spark, sf_dir), as_of)
 
 
 # -- fraud --------------------------------------------------------------------

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -66,6 +67,14 @@ def fx_pivot(
     )
 
 
+def fx_complete(fx: DataFrame, required: Sequence[str] = ("USD", "EUR")) -> DataFrame:
+    """Rows of the fetches that have a rate of every required currency: what the pivot's fail rules let pass."""
+    fetch = ["fetch_ts", "rate_date", "base_currency"]
+    has = [F.max(F.col("quote_currency") == c) for c in required]
+    whole = fx.filter(F.col("rate").isNotNull()).groupBy(*fetch).agg(reduce(Column.__and__, has, F.lit(True)).alias("_whole"))
+    return fx.join(whole.filter("_whole").drop("_whole"), fetch, "left_semi")
+
+
 def fx_silver_quarantine(parsed: DataFrame, as_of: AsOf = None) -> DataFrame:
     return quarantine(parsed, C.FX_SILVER_REASONS, layer="silver", as_of=as_of)
 
