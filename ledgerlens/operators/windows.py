@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
 from ledgerlens.functions.columns import ColumnLike, col, count_where
+from ledgerlens.sources.tables import hand_over
 
 DAY_SECONDS = 86_400
 
@@ -131,3 +132,26 @@ def rolling_sum(
     rows = df.withColumn("_at", F.unix_seconds(F.col(ts).cast("timestamp")))
     same = F.col(key).eqNullSafe(F.col("_key")) & F.col("_at").eqNullSafe(F.col("_second"))
     return rows.join(totals, same, "left").drop("_key", "_second", "_at").withColumnRenamed("_rolling", alias)
+
+
+def prefix_sums(df: DataFrame, by: str, values: Sequence[str], descending: bool = False) -> DataFrame:
+    """Add ``<value>_so_far`` and ``<value>_all``: the sum up to and including the row in the order of ``by``, and over all rows.
+
+    ``by`` must be unique.  A window without a partition would move everything into one task: the rows are sorted into
+    ranges instead and stored with the number of their range, the ranges' totals (one row each) become
+    offsets, and a running sum goes on inside each range from its offset.
+    """
+    order = F.col(by).desc() if descending else F.col(by).asc()
+    ranged = hand_over(df.repartitionByRange(order).withColumn("_range", F.spark_partition_id()), "ranges")
+    totals = ranged.groupBy("_range").agg(*(F.sum(v).alias(v) for v in values)).orderBy("_range").collect()
+    so_far, offsets = dict.fromkeys(values, 0), []
+    for r in totals:
+        offsets.append((r["_range"], *(so_far[v] for v in values)))
+        so_far = {v: so_far[v] + (r[v] or 0) for v in values}
+    kinds = ", ".join(f"`_before_{v}` {ranged.schema[v].dataType.simpleString()}" for v in values)
+    before = ranged.sparkSession.createDataFrame(offsets, f"_range int, {kinds}")
+    inside = Window.partitionBy("_range").orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    summed = ranged.join(F.broadcast(before), "_range")  # a row per range
+    added = {f"{v}_so_far": F.col(f"_before_{v}") + F.coalesce(F.sum(v).over(inside), F.lit(0)) for v in values}
+    summed = summed.withColumns(added).withColumns({f"{v}_all": F.lit(so_far[v]) for v in values})
+    return summed.drop("_range", *(f"_before_{v}" for v in values))

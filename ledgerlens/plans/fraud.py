@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Mapping, Sequence
 from datetime import datetime
+from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
@@ -17,7 +18,9 @@ from pyspark.sql import functions as F
 from ledgerlens.functions.columns import count_where, query_time, stddev
 from ledgerlens.operators.lookups import lookup_join
 from ledgerlens.operators.relational import latest
+from ledgerlens.operators.windows import prefix_sums
 from ledgerlens.sources.tables import append, hand_over, merge_into, read_table
+from ledgerlens.streaming.runs import drain
 
 AsOf = Column | datetime | None
 
@@ -78,6 +81,59 @@ def stratified_split(
     return marked.filter(F.col("_slot") < cut).drop("_slot"), marked.filter(F.col("_slot") >= cut).drop("_slot")
 
 
+#: Hashes of the exact split have so many bits; a round of the selection decides ``SPLIT_STEP`` of them.
+SPLIT_BITS, SPLIT_STEP = 60, 12
+
+
+def exact_split(
+    df: DataFrame, label: str = "is_fraud", test_share: float = TEST_SHARE, seed: int = 42, row_id: str = "txn_id"
+) -> tuple[DataFrame, DataFrame]:
+    """(train, test): of each label's ``n`` rows exactly ``round(test_share * n)`` (half up) are tested, those with the smallest hashes.
+
+    The hash at that rank is found by refining histograms: each round counts, per label, the rows in the
+    4,096 parts of the part that holds the rank, until that part is small enough to be sorted.  Rows stay where they are; the
+    driver sees bounded counts and one boundary per label.  Equal hashes go by ``row_id``; repeated ids are on one side, so
+    that the share is exact where ids are unique.  NULL labels are a class; NULL ids come first.
+    """
+    text = F.concat_ws("|", F.coalesce(F.col(label).cast("string"), F.lit("")), F.coalesce(F.col(row_id).cast("string"), F.lit("")), F.lit(str(seed)))
+    marked = df.withColumns({"_class": F.col(label).cast("string"), "_h": F.conv(F.substring(F.md5(text), 1, SPLIT_BITS // 4), 16, 10).cast("bigint")})
+    sizes = {r["_class"]: r["n"] for r in marked.groupBy("_class").agg(F.count("*").alias("n")).collect()}
+    # Per label: the prefix that holds the rank, and how many rows of it belong to the test side.
+    at = {c: (0, int(test_share * n + 0.5)) for c, n in sizes.items()}
+    ends: dict[str | None, tuple[int, str | None]] = {c: (-1, None) for c, (_, k) in at.items() if k == 0}
+    at = {c: v for c, v in at.items() if c not in ends}
+
+    def inside(bits: int) -> Column:
+        same = [F.col("_class").eqNullSafe(F.lit(c)) & (F.shiftright("_h", SPLIT_BITS - bits) == prefix) for c, (prefix, _) in at.items()]
+        return reduce(Column.__or__, same, F.lit(False))
+
+    bits = 0
+    while at and bits < SPLIT_BITS:
+        part = F.shiftright("_h", SPLIT_BITS - bits - SPLIT_STEP)
+        counts = marked.filter(inside(bits)).groupBy("_class", part.alias("part")).agg(F.count("*").alias("n")).collect()
+        bits, largest = bits + SPLIT_STEP, 0
+        for c, (_, rank) in list(at.items()):
+            for r in sorted((r for r in counts if r["_class"] == c), key=lambda r: r["part"]):
+                if rank <= r["n"]:
+                    at[c], largest = (r["part"], rank), max(largest, r["n"])
+                    break
+                rank -= r["n"]
+        if largest <= 1 << SPLIT_STEP:
+            break
+    w = Window.partitionBy("_class").orderBy("_h", F.col(row_id).cast("string"))
+    near = marked.filter(inside(bits)).select("_class", "_h", F.col(row_id).cast("string").alias("_id"), F.row_number().over(w).alias("_rank")) if at else None
+    wanted = reduce(Column.__or__, [F.col("_class").eqNullSafe(F.lit(c)) & (F.col("_rank") == k) for c, (_, k) in at.items()], F.lit(False))
+    ends |= {r["_class"]: (r["_h"], r["_id"]) for r in near.filter(wanted).collect()} if at else {}
+
+    def up_to(h: int, last: str | None) -> Column:
+        rid = F.col(row_id).cast("string")
+        tie = rid.isNull() if last is None else rid.isNull() | (rid <= last)
+        return (F.col("_h") < h) | ((F.col("_h") == h) & tie)
+
+    test = reduce(Column.__or__, [F.col("_class").eqNullSafe(F.lit(c)) & up_to(h, last) for c, (h, last) in ends.items()], F.lit(False))
+    return marked.filter(~test).drop("_class", "_h"), marked.filter(test).drop("_class", "_h")
+
+
 # -- model --------------------------------------------------------------------
 def train(
     df: DataFrame, label: str = "is_fraud", features: Sequence[str] = FEATURES, params: Mapping | None = None
@@ -196,6 +252,22 @@ def roc_points(
     )
 
 
+def roc_curve(scored: DataFrame, label: str = "is_fraud", probability: str = "fraud_probability") -> DataFrame:
+    """The exact ROC curve: one row per different score, ``threshold``, ``tp``, ``fp``, ``tpr``, ``fpr`` of calling that score and all above it fraud.
+
+    Equal scores are one point.  Rows without a score or label take no part, NaN is the highest score; without a row of a class its
+    rate is NULL.  Counts are summed up per score, then over sorted ranges of scores; no task holds them all.
+    """
+    counted = scored.filter(F.col(probability).isNotNull() & F.col(label).isNotNull()).groupBy((F.col(probability).cast("double") + F.lit(0.0)).alias("threshold")).agg(
+        count_where(F.col(label) == 1).alias("pos"), count_where(F.col(label) == 0).alias("neg")
+    )
+    summed = prefix_sums(counted, "threshold", ["pos", "neg"], descending=True)
+    rate = lambda v: F.col(f"{v}_so_far") / F.nullif(F.col(f"{v}_all"), F.lit(0))
+    return summed.select(
+        "threshold", F.col("pos_so_far").alias("tp"), F.col("neg_so_far").alias("fp"), rate("pos").alias("tpr"), rate("neg").alias("fpr")
+    )
+
+
 def latest_model(models: DataFrame, created: str = "created_ts") -> DataFrame:
     """The newest row of a table of trained models (path, metrics, creation time)."""
     return latest(models, created)
@@ -211,7 +283,7 @@ def run_fraud(spark: SparkSession, root: str, txns: DataFrame, params: Mapping |
     """
     features = hand_over(user_features(txns.filter("user_id IS NOT NULL")), "user_features")
     features = merge_into(spark, f"{root}/user_features", features, ["user_id"])
-    training, test = stratified_split(hand_over(training_set(txns, features), "training_set"))
+    training, test = exact_split(hand_over(training_set(txns, features), "training_set"))
     model, run = train(training, params=params), uuid.uuid4().hex
     path = f"{root}/models/{run}"
     model.write().save(path)
@@ -220,3 +292,23 @@ def run_fraud(spark: SparkSession, root: str, txns: DataFrame, params: Mapping |
     append(row.withColumn("created_ts", F.current_timestamp()), f"{root}/model_metrics")
     champion = latest_model(read_table(spark, f"{root}/model_metrics")).first()
     return score(PipelineModel.load(champion["path"]), test)
+
+
+def score_stream(spark: SparkSession, root: str, rows: DataFrame, path: str, checkpoint: str) -> DataFrame:
+    """Score a stream of feature rows by the newest model of ``model_metrics`` below ``root``; returns the stored scores.
+
+    Each micro-batch takes the model that is newest when it starts, and replaces the folder ``batch=<id>`` of ``path``: a batch that is
+    repeated after a failure adds nothing.  ``model`` names the model's run.  Processes what has arrived and stops.
+    """
+    models: dict[str, PipelineModel] = {}
+
+    def write(batch: DataFrame, number: int) -> None:
+        newest = latest_model(read_table(spark, f"{root}/model_metrics")).first()
+        if newest["path"] not in models:
+            models.clear()
+            models[newest["path"]] = PipelineModel.load(newest["path"])
+        scored = score(models[newest["path"]], batch).withColumn("model", F.lit(newest["run"]))
+        scored.write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    drain(rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint))
+    return spark.read.parquet(path)

@@ -22,7 +22,7 @@ from ledgerlens.operators.relational import dedupe
 from ledgerlens.plans import audits, bronze, contracts, gold, silver
 from ledgerlens.sources.files import mcc_ingest, sanctions_ingest
 from ledgerlens.sources.tables import append, overwrite, read_table, stream_table
-from ledgerlens.streaming.runs import dedupe_stream, observed_totals, run_stream, use_rocksdb_state
+from ledgerlens.streaming.runs import dedupe_stream, run_counted, run_stream, use_rocksdb_state
 
 AsOf = Column | datetime | None
 #: One row per run, dataset and warn rule: how many rows met it and how many did not.
@@ -75,11 +75,11 @@ class Store:
 
     def run(self, name: str, df: DataFrame, contract: Contract | None = None):
         """Drain a stream into the dataset."""
-        if contract is not None:
-            df = df.observe(name, *_counts(contract))
-        query = run_stream(df, self.path(name), self.checkpoint(name))
-        if contract is not None:
-            self._record(name, contract, observed_totals(query, name))
+        if contract is None:
+            return run_stream(df, self.path(name), self.checkpoint(name))
+        observed = df.observe(name, *_counts(contract))
+        query, counts = run_counted(self.spark, observed, self.path(name), self.checkpoint(name), name)
+        self._record(name, contract, counts)
         return query
 
     def _record(self, name: str, contract: Contract, counts: dict[str, int]) -> None:

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ledgerlens.operators.relational import check_key, upsert
@@ -42,11 +41,12 @@ def overwrite(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> N
 def merge_into(spark: SparkSession, path: str, updates: DataFrame, keys: list[str]) -> DataFrame:
     """Keyed upsert of a stored table.
 
-    The merged rows go to a new folder, which is then recorded as the newest version: a reader
-    never sees a half-written version, and a failed attempt leaves the current one in place.
+    The merged rows go to a new folder, which is then published as the next version by a file that must not exist yet: a reader
+    never sees a half-written version or the rows of a writer that is refused, and a failed attempt leaves the current
+    version in place.
 
-    Updates with a repeated or NULL key are refused.  So is a merge whose version number another
-    writer has taken meanwhile; the table then has to be merged again.
+    Updates with a repeated or NULL key are refused.  So is a merge whose version another writer has published
+    meanwhile; the table then has to be merged again.
     """
     if not check_key(updates, keys).isEmpty():
         raise ValueError(f"updates of {path} repeat a key of {keys} or leave it NULL")
@@ -54,23 +54,51 @@ def merge_into(spark: SparkSession, path: str, updates: DataFrame, keys: list[st
     merged = updates if current is None else upsert(spark.read.parquet(current), updates, keys)
     target = f"{path}/data/{uuid.uuid4().hex}"
     merged.write.parquet(target)
-    append(spark.range(1).select(F.lit(number + 1).alias("version"), F.lit(target).alias("folder")), f"{path}/versions")
-    versions = spark.read.schema("version int, folder string").parquet(f"{path}/versions")
-    if versions.filter(F.col("version") == number + 1).count() > 1:
-        raise RuntimeError(f"two writers merged into version {number + 1} of {path}")
+    if not _publish(spark, f"{path}/versions", number + 1, target):
+        raise RuntimeError(f"another writer has merged into version {number + 1} of {path}")
     return spark.read.parquet(target)
 
 
-def latest_version(spark: SparkSession, path: str) -> tuple[int, str | None]:
-    """Number and folder of the newest recorded version; (-1, None) before the first."""
+def _publish(spark: SparkSession, folder: str, number: int, target: str) -> bool:
+    """Whether ``target`` became version ``number``; exactly one of several writers succeeds.
+
+    The file is written in full under another name first and then given its own, so that it is never seen empty.  Giving a name that is
+    taken fails: a hard link on a local disk, a rename elsewhere (stores whose rename replaces files need a lock).
+    """
+    files, draft = _file_system(spark, folder), f"{folder}/.{uuid.uuid4().hex}"
+    of = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    out = files.create(of(draft), False)
+    out.write(bytearray(target.encode()))
+    out.close()
+    final = f"{folder}/{number:012d}"
+    if files.getScheme() != "file":
+        return not files.exists(of(final)) and files.rename(of(draft), of(final))
     try:
-        versions = spark.read.schema("version int, folder string").parquet(f"{path}/versions")
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
+        os.link(of(draft).toUri().getPath(), of(final).toUri().getPath())
+    except FileExistsError:
+        return False
+    return True
+
+
+def latest_version(spark: SparkSession, path: str) -> tuple[int, str | None]:
+    """Number and folder of the newest published version; (-1, None) before the first."""
+    folder = f"{path}/versions"
+    files, of = _file_system(spark, folder), spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    if not files.exists(of(folder)):
+        return -1, None
+    names = [f.getPath().getName() for f in files.listStatus(of(folder))]
+    numbers = [int(n) for n in names if n.isdigit()]
+    if not numbers:
         return -1, None
-    row = versions.agg(F.max("version").alias("n"), F.max_by("folder", "version").alias("folder")).first()
-    return (-1, None) if row["n"] is None else (row["n"], row["folder"])
+    newest = max(numbers)
+    data = files.open(of(f"{folder}/{newest:012d}"))
+    text = bytes(data.readAllBytes()).decode()
+    data.close()
+    return newest, text
+
+
+def _file_system(spark: SparkSession, path: str):
+    return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
 # -- hand-over ----------------------------------------------------------------

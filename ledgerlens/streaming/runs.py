@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 
 from ledgerlens import values as V
 from ledgerlens.operators.lookups import fits_broadcast
@@ -46,32 +48,85 @@ def late_rows(df: DataFrame, batch: str, ts: str = "event_ts", delay: str = V.WA
     return df.join(marks, batch).filter(F.col(ts) <= F.col("_mark")).drop("_mark")
 
 
+def drain(writer, timeout: float | None = None, path: str | None = None):
+    """Start a stream writer, process everything that has arrived, and stop; returns the finished query."""
+    query = writer.trigger(availableNow=True).start(*([path] if path else []))
+    done = query.awaitTermination(timeout)
+    if timeout is not None and not done:
+        query.stop()
+        raise TimeoutError(f"not all input was processed within {timeout} s; the next run goes on from its checkpoint")
+    if query.exception() is not None:
+        raise query.exception()
+    return query
+
+
 def run_stream(
     df: DataFrame, path: str, checkpoint: str, partition_by: Sequence[str] = (), timeout: float | None = None
 ):
     """Process everything that has arrived since the last run, append it to ``path`` and stop.
 
-    Progress is in ``checkpoint``: running again picks up only new input.  Returns the finished
-    query (its ``recentProgress`` holds the expectation counts).
+    Progress is in ``checkpoint``: running again picks up only new input.
     """
-    writer = df.writeStream.format("parquet").outputMode("append").trigger(availableNow=True)
+    writer = df.writeStream.format("parquet").outputMode("append")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    query = writer.option("checkpointLocation", checkpoint).start(path)
-    done = query.awaitTermination(timeout)
-    if timeout is not None and not done:
-        query.stop()
-        raise TimeoutError(f"not all input was processed within {timeout} s; the next run goes on from {checkpoint}")
-    if query.exception() is not None:
-        raise query.exception()
-    return query
+    return drain(writer.option("checkpointLocation", checkpoint), timeout, path)
 
 
-def observed_totals(query, name: str) -> dict[str, int]:
-    """Sum of a named observation's counts over the micro-batches of a finished run."""
-    totals: dict[str, int] = {}
-    for progress in query.recentProgress:
-        row = progress.observedMetrics.get(name)
-        for metric, n in (row.asDict() if row is not None else {}).items():
-            totals[metric] = totals.get(metric, 0) + n
-    return totals
+def run_counted(
+    spark: SparkSession, df: DataFrame, path: str, checkpoint: str, name: str, partition_by: Sequence[str] = (), timeout: float | None = None
+) -> tuple[object, dict[str, int]]:
+    """``run_stream`` of a frame observed as ``name``; the finished query and the sums of its counts over all its batches.
+
+    A query keeps its last progress reports only, so every report is taken as it comes.  A batch that is reported again
+    counts once.  If a report was lost the counts would be short: that raises instead.
+    """
+    seen = _Reports(name)
+    spark.streams.addListener(seen)
+    try:
+        query = run_stream(df, path, checkpoint, partition_by, timeout)
+        return query, seen.totals(str(query.runId), query.lastProgress)
+    finally:
+        spark.streams.removeListener(seen)
+
+
+class _Reports(StreamingQueryListener):
+    """A named observation's counts by run and batch."""
+
+    def __init__(self, name: str):
+        self.name = name
+        self.batches: dict[str, dict[int, dict[str, int]]] = {}
+        self.ended: dict[str, threading.Event] = {}
+
+    def _end(self, run: str) -> threading.Event:
+        return self.ended.setdefault(run, threading.Event())
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        progress = event.progress
+        row = progress.observedMetrics.get(self.name)
+        self.batches.setdefault(str(progress.runId), {})[progress.batchId] = row.asDict() if row is not None else {}
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self._end(str(event.runId)).set()
+
+    def totals(self, run: str, last, patience: float = 120) -> dict[str, int]:
+        # Reports come in order, the end after all of them.
+        if not self._end(run).wait(patience):
+            raise TimeoutError(f"the end of {run} was not reported within {patience} s")
+        batches = self.batches.get(run, {})
+        # A last report without input stands for no batch.
+        if last is not None and (batches or last.numInputRows):
+            end = last.batchId + (1 if last.numInputRows else 0)
+            if missing := set(range(min(batches, default=last.batchId), end)) - set(batches):
+                raise RuntimeError(f"counts of {self.name} are incomplete: {len(missing)} batches were not reported")
+        totals: dict[str, int] = {}
+        for counts in batches.values():
+            for metric, n in counts.items():
+                totals[metric] = totals.get(metric, 0) + n
+        return totals

@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerlens.plans import fraud
+from ledgerlens.sources import tables
 
 
 @pytest.fixture(scope="module")
@@ -86,3 +87,52 @@ def test_report_averages(spark):
     assert got["macro"].accuracy == got["weighted"].accuracy == 0.6 and got["macro"].support == 5
     assert got["macro"].recall == round((2 / 3 + 1 + 0) / 3, 4) and got["weighted"].recall == 0.6
     assert got["macro"].precision == round((1 + 1 / 3) / 3, 4) and got["weighted"].precision == round((3 + 1 / 3) / 5, 4)
+
+
+def test_exact_split(spark, monkeypatch):
+    """Every label's test side has round(0.2 n) rows, the same in any order and however many rounds the selection takes."""
+    rows = [(str(i), i % 7 == 0 if i % 13 else None) for i in range(3000)] + [("lone", False)]
+    rows = [(i, None if b is None else int(b)) for i, b in rows]
+    df = spark.createDataFrame(rows, "txn_id string, is_fraud int")
+    sides = []
+    for step in (12, 4):
+        monkeypatch.setattr(fraud, "SPLIT_STEP", step)
+        train, test = fraud.exact_split(df.repartition(step))
+        got = {r["txn_id"] for r in test.collect()}
+        assert got.isdisjoint(r["txn_id"] for r in train.collect()) and train.count() + test.count() == len(rows)
+        sides.append(got)
+    assert sides[0] == sides[1]
+    for label in (0, 1, None):
+        mine = {i for i, b in rows if b == label}
+        assert len(mine & sides[0]) == int(0.2 * len(mine) + 0.5)
+    train, test = fraud.exact_split(df.limit(0))
+    assert train.count() == test.count() == 0
+    train, test = fraud.exact_split(df.limit(2))
+    assert train.count() == 2 and test.count() == 0
+
+
+def test_roc_curve_joins_ties_and_leaves_out_missing_scores(spark):
+    rows = [(1, 0.9), (0, 0.9), (1, 0.5), (0, 0.1), (1, 0.1), (0, 0.0), (0, -0.0), (1, None), (None, 0.7)]
+    got = [tuple(r) for r in fraud.roc_curve(spark.createDataFrame(rows, "is_fraud int, fraud_probability double")).orderBy(F.desc("threshold")).collect()]
+    assert got == [(0.9, 1, 1, 1 / 3, 0.25), (0.5, 2, 1, 2 / 3, 0.25), (0.1, 3, 2, 1.0, 0.5), (0.0, 3, 4, 1.0, 1.0)]
+    one = fraud.roc_curve(spark.createDataFrame([(1, 0.5)], "is_fraud int, fraud_probability double")).collect()
+    assert [tuple(r) for r in one] == [(0.5, 1, 0, 1.0, None)]
+    plan = fraud.roc_curve(spark.createDataFrame(rows, "is_fraud int, fraud_probability double"))._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan
+
+
+def test_scores_of_a_repeated_batch_replace_themselves(spark, tmp_path):
+    """The two sample records come out in order, and a batch that is run again adds nothing."""
+    names = ["amount", "hour", "txn_count_7d", "avg_amount_7d", "max_amount_7d", "std_amount_7d", "unknown_merchant_count"]
+    schema = "txn_id string, " + ", ".join(f"{n} double" for n in names) + ", is_fraud int"
+    usual = [(f"u{i}", 40.0 + i % 9, 12.0, 10.0, 45.0, 60.0, 5.0, 0.0, 0) for i in range(40)]
+    odd = [(f"o{i}", 900.0 + i, 3.0, 2.0, 700.0, 950.0, 90.0, 4.0, 1) for i in range(20)]
+    root = str(tmp_path)
+    fraud.train(spark.createDataFrame(usual + odd, schema), params={"maxIter": 2}).write().save(f"{root}/m")
+    tables.append(spark.sql(f"SELECT 'r' AS run, '{root}/m' AS path, current_timestamp() AS created_ts"), f"{root}/model_metrics")
+    sample = spark.createDataFrame([("low", 45.0, 14.0, 8.0, 44.0, 58.0, 6.0, 0.0, 0), ("high", 950.0, 2.0, 1.0, 800.0, 950.0, 80.0, 5.0, 1)], schema)
+    tables.append(sample, f"{root}/rows")
+    for checkpoint in ("a", "b"):  # the second run has lost its checkpoint and repeats batch 0
+        out = fraud.score_stream(spark, root, tables.stream_table(spark, f"{root}/rows", sample.schema), f"{root}/scores", f"{root}/{checkpoint}")
+        p = {r["txn_id"]: r["fraud_probability"] for r in out.collect()}
+        assert out.count() == 2 and p["low"] < 0.5 < p["high"]

@@ -290,3 +290,35 @@ def test_class_report_has_every_class(spark):
     rows = [(0, 0.0), (2, 2.0), (2, 0.0)]
     got = {r["class"]: (r["recall"], r["support"]) for r in fraud.class_report(spark.createDataFrame(rows, "is_fraud int, prediction double")).collect()}
     assert got == {"legit": (1.0, 1), "fraud": (0.0, 0), "2": (0.5, 2)}
+
+
+def test_refused_writer_leaves_the_other_ones_rows(spark, tmp_path, monkeypatch):
+    """A writer that is overtaken between reading the version and publishing its own raises, and readers see the other's rows."""
+    path, schema = str(tmp_path / "raced"), "k int, v string"
+    tables.merge_into(spark, path, spark.createDataFrame([(1, "a")], schema), ["k"])
+    real = tables._publish
+
+    def overtaken(spark_, folder, number, target):
+        monkeypatch.setattr(tables, "_publish", real)
+        tables.merge_into(spark, path, spark.createDataFrame([(2, "other")], schema), ["k"])
+        return real(spark_, folder, number, target)
+
+    monkeypatch.setattr(tables, "_publish", overtaken)
+    with pytest.raises(RuntimeError, match="another writer"):
+        tables.merge_into(spark, path, spark.createDataFrame([(3, "refused")], schema), ["k"])
+    number, folder = tables.latest_version(spark, path)
+    assert number == 1 and sorted(map(tuple, spark.read.parquet(folder).collect())) == [(1, "a"), (2, "other")]
+    merged = tables.merge_into(spark, path, spark.createDataFrame([(3, "again")], schema), ["k"])
+    assert sorted(map(tuple, merged.collect())) == [(1, "a"), (2, "other"), (3, "again")]
+
+
+def test_prefix_sums_equal_a_loop(spark):
+    rows = [(i * 7 % 501, (i % 5) if i % 11 else None) for i in range(501)]
+    for descending in (False, True):
+        got = windows.prefix_sums(spark.createDataFrame(rows, "k int, n bigint").repartition(9), "k", ["n"], descending)
+        total, want = 0, []
+        for k, n in sorted(rows, reverse=descending):
+            total += n or 0
+            want.append((k, total))
+        assert sorted((r["k"], r["n_so_far"]) for r in got.collect()) == sorted(want) and {r["n_all"] for r in got.collect()} == {total}
+    assert windows.prefix_sums(spark.createDataFrame([], "k int, n bigint"), "k", ["n"]).count() == 0

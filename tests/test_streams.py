@@ -82,8 +82,18 @@ def test_stream_expectation_counts(spark, batches):
     schema = spark.read.parquet(str(batches / "in")).schema
     source = tables.stream_table(spark, str(batches / "in"), schema, max_files=2)
     watched, name = quality.expect(source, {"is_b": "txn_id = 'b'", "known": "txn_id IS NOT NULL"}, "seen")
-    query = runs.run_stream(watched, str(batches / "out3"), str(batches / "cp3"))
-    assert runs.observed_totals(query, name) == {"is_b": 5, "known": 0}
+    _, counts = runs.run_counted(spark, watched, str(batches / "out3"), str(batches / "cp3"), name)
+    assert counts == {"is_b": 5, "known": 0}
+
+
+def test_counts_of_more_batches_than_a_query_remembers(spark, tmp_path):
+    spark.range(1040).repartition(104).write.parquet(str(tmp_path / "in"))
+    source = tables.stream_table(spark, str(tmp_path / "in"), spark.range(0).schema, max_files=1)
+    watched, name = quality.expect(source, {"even": "id % 2 = 0"}, "many")
+    query, counts = runs.run_counted(spark, watched, str(tmp_path / "out"), str(tmp_path / "cp"), name)
+    assert counts == {"even": 520} and len(query.recentProgress) <= 100 < query.lastProgress.batchId + 1
+    _, again = runs.run_counted(spark, watched, str(tmp_path / "out"), str(tmp_path / "cp"), name)
+    assert again == {}  # nothing new
 
 
 def test_fail_expectation_stops_a_stream(spark, batches):
