@@ -399,6 +399,11 @@ BODIES = {
     "expectation_metrics": profile("txn_source", {
         "valid_txn_id": "txn_id IS NOT NULL", "valid_account_id": "account_id IS NOT NULL", "positive_amount": "amount > 0",
         "valid_event_ts": "event_ts IS NOT NULL", "known_currency": f"currency IN {BRONZE_CCY}", "known_txn_type": f"txn_type IN {TYPES}"}),
+    "merchant_distribution_bounded": """SELECT CASE WHEN r <= 3 THEN m ELSE '(others)' END AS merchant_name, CAST(sum(n) AS BIGINT) AS count
+        FROM (SELECT *, row_number() OVER (ORDER BY n DESC, m) AS r
+              FROM (SELECT coalesce(merchant_name, 'NULL') AS m, count(*) AS n FROM txn_source GROUP BY 1)) GROUP BY 1""",
+    "distinct_sketches": """SELECT CAST(date_trunc('week', event_ts) AS DATE) AS week, count(DISTINCT customer_id) AS customers,
+        count(DISTINCT txn_id) AS txns, TRUE AS within_bound FROM txn_source GROUP BY 1""",
     "expect_or_drop": f"""SELECT txn_id, amount, currency, event_ts FROM txn_source
         WHERE amount > 0 AND event_ts <= {AS_OF} AND currency IN {SILVER_CCY} AND account_id IS NOT NULL""",
     "expect_or_fail": "SELECT txn_id, account_id, amount FROM txn_clean",

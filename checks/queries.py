@@ -111,6 +111,23 @@ def currency_distribution(spark, sf_dir):
     return oa.distribution(D.txn_source(spark, sf_dir), "currency")
 
 
+@query
+def merchant_distribution_bounded(spark, sf_dir):
+    """The three most frequent merchants and all others, as the audits' cells have them."""
+    return oa.bounded(oa.distribution(D.txn_source(spark, sf_dir), "merchant_name"), "merchant_name", "count", entries=3)
+
+
+@query
+def distinct_sketches(spark, sf_dir):
+    """Customers per ISO week from the union of stored daily sketches, against the exact count."""
+    txn = D.txn_source(spark, sf_dir).select(F.to_date("event_ts").alias("day"), F.date_trunc("week", "event_ts").cast("date").alias("week"), "customer_id", "txn_id")
+    days = tables.hand_over(txn.groupBy("week", "day").agg(fc.distinct_sketch("customer_id").alias("customers"), fc.distinct_sketch("txn_id").alias("txns")), "day_sketches")
+    about = days.groupBy("week").agg(fc.distinct_of("customers").alias("about"), fc.distinct_of("txns").alias("about_txns"))
+    exact = txn.groupBy("week").agg(fc.distinct("customer_id").alias("customers"), fc.distinct("txn_id").alias("txns"))
+    near = lambda a, b: F.abs(F.col(a) - F.col(b)) <= 0.04 * F.col(b) + 0.5
+    return about.join(exact, "week").select("week", "customers", "txns", (near("about", "customers") & near("about_txns", "txns")).alias("within_bound"))
+
+
 @query
 def quarantine_share_by_channel(spark, sf_dir):
     held = quality.any_holds(contracts.txn_reasons().values())
@@ -350,9 +367,9 @@ def flag_sanctioned(spark, sf_dir):
 
 @query
 def flag_sanctioned_large_list(spark, sf_dir):
-    """The same beyond the broadcast limit: the salted shuffle join."""
+    """The same beyond the broadcast limit: a shuffle join that splits the keys of more than a few rows."""
     txn = D.txn_clean(spark, sf_dir).select("txn_id", "counterparty_id")
-    return silver.flag_sanctioned(txn, silver.active_sanctions(D.sanctions(spark, sf_dir)), max_rows=0)
+    return silver.flag_sanctioned(txn, silver.active_sanctions(D.sanctions(spark, sf_dir)), max_rows=0, heavy_rows=8)
 
 
 @query

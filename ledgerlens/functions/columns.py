@@ -131,6 +131,17 @@ def content_hash(parts: Mapping[str, ColumnLike], sep: str = "|") -> Column:
     return F.sha2(F.concat_ws(sep, *rendered), 256)
 
 
+# -- mergeable distinct counts -------------------------------------------------
+def distinct_sketch(value: ColumnLike, lg_k: int = 14) -> Column:
+    """Aggregate: a sketch of the distinct values, a few KB whatever their number; sketches of parts can be merged."""
+    return F.hll_sketch_agg(col(value), lg_k)
+
+
+def distinct_of(sketch: ColumnLike) -> Column:
+    """Aggregate: about how many distinct values the sketches have seen together (relative standard error about 0.8 % at ``lg_k`` 14)."""
+    return F.coalesce(F.hll_sketch_estimate(F.hll_union_agg(col(sketch))), F.lit(0).cast("bigint"))
+
+
 # -- JSON cells ---------------------------------------------------------------
 def json_list(order: ColumnLike, *fields: Column, limit: int | None = None) -> Column:
     """Aggregate: the group's (first ``limit``) rows as a JSON array, sorted by ``order`` whatever

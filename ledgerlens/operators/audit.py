@@ -57,12 +57,32 @@ def distribution(df: DataFrame, column: str, count_name: str = "count") -> DataF
     return count_rows(df.select(key), [column], count_name)
 
 
-def distribution_json(df: DataFrame, column: str, alias: str, rows: str | None = None) -> DataFrame:
+#: Entries of a JSON cell, characters of a value in it, and the entry for all values that have none.
+CELL_ENTRIES, CELL_CHARS, OTHERS = 1000, 100, "(others)"
+
+
+def bounded(counted: DataFrame, key: str, count: str, entries: int = CELL_ENTRIES, sums: Sequence[str] = ()) -> DataFrame:
+    """At most ``entries`` + 1 rows of a table with a row per value: the most frequent ones (of equally frequent ones the smaller values),
+    and one row ``OTHERS`` with the sums of all others.
+
+    Values are cut to ``CELL_CHARS`` characters and NULL is written ``NULL``; values that are then alike are one row.  The counts of the
+    rows add up to those of the table.  The choice is a distributed top-k; the table is scanned once, as both uses
+    share its exchange.
+    """
+    added = [F.sum(c).alias(c) for c in dict.fromkeys((count, *sums))]
+    short = F.substring(F.coalesce(F.col(key).cast("string"), F.lit("NULL")), 1, CELL_CHARS)
+    rows = counted.select(short.alias(key), *dict.fromkeys((count, *sums))).groupBy(key).agg(*added)
+    most = rows.orderBy(F.desc(count), key).limit(entries).select(F.col(key).alias("_kept"))
+    named = rows.join(F.broadcast(most), F.col(key) == F.col("_kept"), "left")
+    return named.groupBy(F.coalesce("_kept", F.lit(OTHERS)).alias(key)).agg(*added)
+
+
+def distribution_json(df: DataFrame, column: str, alias: str, rows: str | None = None, entries: int = CELL_ENTRIES) -> DataFrame:
     """``distribution`` as one JSON cell and, if ``rows`` is given, the row total; in one scan.
 
-    Meant for category columns: the cell has one entry per value.
+    The cell has the ``entries`` most frequent values and one entry for all others, so that its size does not depend on the data.
     """
-    counted = distribution(df, column)
+    counted = bounded(distribution(df, column), column, "count", entries)
     total = {rows: F.coalesce(F.sum("count"), F.lit(0))} if rows else {}
     return scalars(counted, **{alias: json_map(column, "count"), **total})
 

@@ -16,14 +16,17 @@ from ledgerlens import schemas
 from ledgerlens import values as V
 from ledgerlens.functions.columns import content_hash, count_where, distinct, json_map, query_time, ratio0, sum0
 from ledgerlens.operators.audit import (
+    CELL_CHARS,
+    CELL_ENTRIES,
     audit_status,
+    bounded,
     combine_scalars,
     distribution_json,
     held_summary,
     scalars,
 )
 from ledgerlens.operators.quality import quarantine_pct
-from ledgerlens.operators.relational import conform
+from ledgerlens.operators.relational import conform, top_k
 
 AsOf = Column | datetime | None
 
@@ -47,10 +50,21 @@ def named(column: str) -> Column:
 
 
 # -- bronze -------------------------------------------------------------------
+def _snapshot(parsed: DataFrame) -> DataFrame:
+    newest = F.max_by("rate", F.struct("fetch_ts", "rate_id"))
+    currency = F.substring(named("quote_currency"), 1, CELL_CHARS).alias("quote_currency")
+    return parsed.groupBy(currency).agg(F.round(newest, 6).alias("rate"), F.count("*").alias("n"))
+
+
 def rate_snapshot(parsed: DataFrame) -> DataFrame:
     """Latest rate per quote currency, as rows."""
-    newest = F.max_by("rate", F.struct("fetch_ts", "rate_id"))
-    return parsed.groupBy(named("quote_currency")).agg(F.round(newest, 6).alias("rate"))
+    return _snapshot(parsed).drop("n")
+
+
+def snapshot_json(parsed: DataFrame, entries: int = CELL_ENTRIES) -> DataFrame:
+    """``rate_snapshot`` as one cell, with the ``entries`` currencies that have most rows; the others are in the rows only."""
+    top = top_k(_snapshot(parsed), [F.desc("n"), F.asc("quote_currency")], entries)
+    return top.agg(json_map("quote_currency", "rate").alias("rate_snapshot"))
 
 
 def fx_audit(
@@ -70,7 +84,7 @@ def fx_audit(
             max_rate_age_mins=F.coalesce(F.max("rate_age_minutes"), F.lit(0.0)),
             stale_rate_count=count_where("is_stale"),
         ),
-        rate_snapshot(parsed).agg(json_map("quote_currency", "rate").alias("rate_snapshot")),
+        snapshot_json(parsed),
         held_summary(held),
     ).withColumns(
         {
@@ -132,13 +146,13 @@ def txn_audit(
 # -- silver -------------------------------------------------------------------
 def txn_silver_audit(txn: DataFrame, held: DataFrame, as_of: AsOf = None, max_quarantine_pct: float = 5.0) -> DataFrame:
     """FAIL if empty, too much is quarantined, or any counterparty is sanctioned."""
-    channels = txn.groupBy(named("channel")).agg(
+    channels = bounded(txn.groupBy(named("channel")).agg(
         F.count("*").alias("n"),
         F.sum("gbp_amount").alias("gbp"),
         count_where("counterparty_sanctioned").alias("sanctioned"),
         count_where("is_high_risk_merchant").alias("high_risk"),
         count_where("is_cross_border").alias("cross_border"),
-    )
+    ), "channel", "n", sums=("gbp", "sanctioned", "high_risk", "cross_border"))
     parts = combine_scalars(
         scalars(
             channels,

@@ -15,7 +15,7 @@ from ledgerlens.functions.columns import age_minutes, parse_rfc1123
 from ledgerlens.operators.quality import clean, failure_reasons, quarantine, with_fate
 from ledgerlens.operators.relational import dedupe
 from ledgerlens.plans import contracts as C
-from ledgerlens.sources.files import with_ingestion
+from ledgerlens.sources.files import BROKEN, with_ingestion
 
 AsOf = Column | datetime | None
 
@@ -47,12 +47,17 @@ def fx_quarantine(raw: DataFrame, as_of: AsOf = None) -> DataFrame:
 
 
 # -- reference files ----------------------------------------------------------
+def with_broken(reasons: dict, raw: DataFrame) -> dict:
+    """The reasons and, where the raw table keeps broken lines or files, one for them."""
+    return reasons | ({"malformed_record": F.col(BROKEN).isNotNull()} if BROKEN in raw.columns else {})
+
+
 def mcc_quarantine(raw: DataFrame, as_of: AsOf = None) -> DataFrame:
-    return quarantine(raw, C.MCC_REASONS, as_of=as_of)
+    return quarantine(raw, with_broken(C.MCC_REASONS, raw), as_of=as_of)
 
 
 def sanctions_quarantine(raw: DataFrame, as_of: AsOf = None) -> DataFrame:
-    return quarantine(raw, C.SANCTIONS_REASONS, as_of=as_of)
+    return quarantine(raw, with_broken(C.SANCTIONS_REASONS, raw), as_of=as_of)
 
 
 # -- transactions -------------------------------------------------------------

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ledgerlens import schemas
 from ledgerlens import values as V
 from ledgerlens.functions.columns import query_time
+from ledgerlens.operators.audit import distribution
 from ledgerlens.operators.quality import Contract, violation_counts
 from ledgerlens.operators.relational import dedupe
 from ledgerlens.plans import audits, bronze, contracts, gold, silver
@@ -113,6 +114,7 @@ def run_fx(
 def run_gold(store: Store, as_of: AsOf = None) -> None:
     """Recompute the gold tables and their audits from stored silver."""
     txn, fx = store.get("transactions_cleansed"), store.get("fx_rates_silver")
+    store.put("transactions_channel_counts", distribution(txn, "channel"))
     store.put("transactions_high_risk", silver.high_risk(txn))
     summary = store.put("daily_risk_summary", gold.daily_risk_summary(txn, as_of), contract=contracts.DAILY_RISK)
     flags = store.put("daily_anomaly_flags", gold.daily_anomaly_flags(txn, as_of=as_of))
@@ -156,6 +158,7 @@ def run_batch(
     held = store.put("transactions_quarantine", held)
     clean = store.put("transactions_cleansed_stage", contracts.TXN_STAGE.enforce(clean))
     store.add("transactions_data_audit", audits.txn_audit(routed, clean, held, as_of))
+    store.put("transactions_currency_counts", distribution(routed, "currency"))
 
     levels = store.put("mcc_levels", silver.mcc_levels(mcc))
     active = store.put("active_sanctions", silver.active_sanctions(listed))
@@ -181,9 +184,9 @@ def run_incremental(
     spark = store.spark
     use_rocksdb_state(spark)
     daily = run_fx(store, fx_stage, as_of, required)
-    store.run("mcc_codes_raw", mcc_ingest(spark, mcc_path, as_of), contracts.MCC_RAW)
+    store.run("mcc_codes_raw", mcc_ingest(spark, mcc_path, as_of, keep_broken=True), contracts.MCC_RAW)
     store.run("mcc_codes_quarantine", bronze.mcc_quarantine(store.stream("mcc_codes_raw"), as_of))
-    store.run("sanctions_raw", sanctions_ingest(spark, sanctions_path, as_of), contracts.SANCTIONS_RAW)
+    store.run("sanctions_raw", sanctions_ingest(spark, sanctions_path, as_of, keep_broken=True), contracts.SANCTIONS_RAW)
     store.run("sanctions_quarantine", bronze.sanctions_quarantine(store.stream("sanctions_raw"), as_of))
     mcc, listed = store.get("mcc_codes_raw"), store.get("sanctions_raw")
     store.add("mcc_files_audit", audits.mcc_audit(mcc, store.get("mcc_codes_quarantine"), as_of))
@@ -195,6 +198,7 @@ def run_incremental(
     store.run("transactions_cleansed_stage", bronze.txn_clean(store.stream("transactions_raw")))
     raw, clean = store.get("transactions_raw"), store.get("transactions_cleansed_stage")
     store.add("transactions_data_audit", audits.txn_audit(raw, clean, store.get("transactions_quarantine"), as_of))
+    store.put("transactions_currency_counts", distribution(raw, "currency"))
 
     levels = store.put("mcc_levels", silver.mcc_levels(mcc))
     active = store.put("active_sanctions", silver.active_sanctions(listed))

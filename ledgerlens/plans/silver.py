@@ -18,6 +18,7 @@ from ledgerlens.operators.quality import quarantine
 from ledgerlens.operators.relational import conform, dedupe, latest_per, pivot_wide
 from ledgerlens.operators.windows import daily_average, rate_change
 from ledgerlens.plans import contracts as C
+from ledgerlens.sources.files import BROKEN
 
 AsOf = Column | datetime | None
 
@@ -110,7 +111,10 @@ def mcc_levels(mcc: DataFrame, order: Sequence[Column] | None = None) -> DataFra
     """One risk level per code, keyed by ``merchant_mcc``.
 
     Default order: newest file first.  Pass another where the lineage columns are missing.
+    Broken lines, where the table keeps them, name no code.
     """
+    if BROKEN in mcc.columns:
+        mcc = mcc.filter(F.col(BROKEN).isNull())
     order = order or [F.desc_nulls_last("source_file_modified_ts"), F.desc_nulls_last("source_file"), F.asc("risk_level")]
     one = dedupe(mcc.filter("mcc_code IS NOT NULL"), ["mcc_code"], order)
     return one.select(F.col("mcc_code").alias("merchant_mcc"), F.col("risk_level").alias("merchant_risk_level"))

@@ -1,3 +1,4 @@
+import json
 import random
 import re
 from datetime import datetime, timedelta
@@ -7,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.functions import columns as fc
 from ledgerlens.functions import domain
-from ledgerlens.operators import lookups, relational, windows
+from ledgerlens.operators import audit, lookups, relational, windows
 from ledgerlens.plans import bronze, silver
 from ledgerlens.sources import tables
 
@@ -45,6 +46,38 @@ def test_lookup_beyond_the_limit_is_salted_and_gives_the_same(spark, facts, list
     assert salted.count() == 300
 
 
+def test_only_heavy_keys_are_split(spark, facts, listed):
+    """By their number of rows: the reference rows of light keys go once."""
+    heavy = {r["key"]: r["_splits"] for r in lookups.heavy_keys(facts, ["key"], 30).collect()}
+    assert heavy == {"hot": 4}
+    joined = lookups.split_left_join(facts, listed, ["key"], 30)
+    small = lookups.lookup_join(facts, listed, ["key"])
+    assert joined.columns == small.columns and joined.orderBy("id").collect() == small.orderBy("id").collect()
+    copies = listed.join(lookups.heavy_keys(facts, ["key"], 30), "key", "left").selectExpr("sum(coalesce(_splits, 1)) AS n").first()["n"]
+    assert copies == listed.count() + 3
+    two = [facts.withColumn("day", F.col("id") % 2), listed.withColumn("day", F.lit(0))]
+    assert lookups.split_left_join(*two, ["key", "day"], 30).filter("v IS NOT NULL").count() == 51
+
+
+def test_bounded_cells_add_up(spark):
+    """One entry per frequent value and one for all others, however many values there are and however long they are."""
+    rows = [(None,)] * 7 + [("a",)] * 5 + [("x" * 5000 + str(i),) for i in range(50)] + [(f"v{i}",) for i in range(400)]
+    df = spark.createDataFrame(rows, "c string")
+    got = audit.distribution_json(df, "c", "cell", rows="n", entries=3).first()
+    cell = json.loads(got["cell"])
+    assert cell == {"NULL": 7, "x" * 100: 50, "a": 5, "(others)": 400} and got["n"] == sum(cell.values()) == len(rows)
+    empty = audit.distribution_json(df.limit(0), "c", "cell", rows="n").first()
+    assert (empty["cell"], empty["n"]) == ("{}", 0)
+
+
+def test_sketches_merge(spark):
+    days = spark.range(60_000).groupBy((F.col("id") % 7).alias("d")).agg(fc.distinct_sketch(F.col("id") % 20_000).alias("s"))
+    about = days.agg(fc.distinct_of("s").alias("n")).first()["n"]
+    once = spark.range(60_000).agg(fc.distinct_sketch(F.col("id") % 20_000).alias("s")).agg(fc.distinct_of("s").alias("n")).first()["n"]
+    assert abs(about - 20_000) <= 0.03 * 20_000 and abs(about - once) <= 0.03 * once
+    assert days.limit(0).agg(fc.distinct_of("s").alias("n")).first()["n"] == 0
+
+
 def test_rows_without_a_key_spread_beyond_the_salts(facts):
     salted = lookups.spread_keys(facts, ["key"], 4)
     used = {r["key"]: r["n"] for r in salted.groupBy("key").agg(F.count_distinct("_salt").alias("n")).collect()}

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from checks import views
 from ledgerlens import schemas
 from ledgerlens.operators import quality
-from ledgerlens.plans import audits, bronze, contracts, medallion
+from ledgerlens.plans import audits, bronze, contracts, medallion, silver
 from ledgerlens.sources import files, fx_payload, tables
 from ledgerlens.streaming import runs
 
@@ -155,6 +155,35 @@ def test_sanctions_feed_with_bad_files(spark, tmp_path):
     assert flags == {"good.json": False, "empty.json": False, "short.json": True, "broken.json": True}
 
 
+def test_broken_lines_and_files_end_in_quarantine(spark, tmp_path):
+    """With their file, text and reason, in a stream and in a batch; what can be read is unchanged."""
+    at = datetime(2024, 1, 1)
+    (tmp_path / "mcc").mkdir()
+    (tmp_path / "mcc" / "a.csv").write_text(CSV + "1000,Inns,Hotels,LOW,Y,2024-01-01,2024-01-02\n1001,cut off\n1002,a,b,LOW,N,c,d,too,many\n")
+    source = files.mcc_ingest(spark, str(tmp_path / "mcc"), at, keep_broken=True)
+    runs.run_stream(source, str(tmp_path / "raw"), str(tmp_path / "cp"))
+    stored = tables.read_table(spark, str(tmp_path / "raw"))
+    batch = files.with_ingestion(files.with_lineage(files.read_csv(spark, str(tmp_path / "mcc"), schemas.MCC_FILE, keep_broken=True)), as_of=at)
+    for raw in (stored, batch):
+        held = {r.broken_record: r for r in bronze.mcc_quarantine(raw.cache(), at).collect()}
+        assert raw.count() == 3 and held.keys() == {"1001,cut off", "1002,a,b,LOW,N,c,d,too,many"}
+        assert all(r.source_file.endswith("a.csv") and "malformed_record" in r.failure_reasons for r in held.values())
+    assert [r.merchant_mcc for r in silver.mcc_levels(stored).collect()] == ["1000"]
+    (tmp_path / "san").mkdir()
+    record = {"entity_id": "E1", "entity_type": "VESSEL", "full_name": "X", "risk_score": 0.5, "sanctions_program": "OFAC_SDN"}
+    docs = {"good.json": json.dumps({"record_count": 1, "records": [record]}), "empty.json": '{"record_count": 0, "records": []}', "broken.json": '{"record_count": 1, "records": ['}
+    for name, text in docs.items():
+        (tmp_path / "san" / name).write_text(text)
+    source = files.sanctions_ingest(spark, str(tmp_path / "san"), at, keep_broken=True)
+    runs.run_stream(source, str(tmp_path / "sraw"), str(tmp_path / "cp2"))
+    texts = files.with_lineage(spark.read.text(str(tmp_path / "san"), wholetext=True))
+    batch = files.sanctions_records(files.explode_envelopes(texts, schemas.SANCTION_ENVELOPE, keep_broken=True), at)
+    for raw in (tables.read_table(spark, str(tmp_path / "sraw")), batch):
+        (held,) = bronze.sanctions_quarantine(raw, at).collect()
+        assert held.broken_record == docs["broken.json"] and held.source_file.endswith("broken.json") and "malformed_record" in held.failure_reasons
+        assert raw.count() == 2
+
+
 def test_fx_payload_rows(spark):
     ok = {"result": "success", "base_code": "GBP", "time_last_update_utc": "Fri, 27 Mar 2020 00:00:01 +0000",
           "conversion_rates": {"USD": 1.25, "EUR": 2, "ZZZ": 9.0}}
