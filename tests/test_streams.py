@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from checks import views
 from ledgerlens import schemas
-from ledgerlens.operators import quality
+from ledgerlens.operators import quality, relational
 from ledgerlens.plans import audits, bronze, contracts, medallion, silver
 from ledgerlens.sources import files, fx_payload, tables
 from ledgerlens.streaming import runs
@@ -256,6 +256,54 @@ def test_incremental_run_equals_batch_run(spark, sf_dir, tmp_path):
     assert stream.get("transactions_raw").count() == before
 
 
+def test_late_file_rewrites_only_the_days_it_touches(spark, tmp_path):
+    """Gold after a second file equals gold computed anew, and days out of its reach keep their files."""
+    ids = F.col("id").cast("int")
+    silver_rows = spark.range(4000).select(
+        F.col("id").cast("string").alias("txn_id"), (ids % 20).cast("string").alias("account_id"), (ids % 15).cast("string").alias("customer_id"),
+        F.lit(None).cast("string").alias("counterparty_id"), F.lit("PURCHASE").alias("txn_type"), F.lit("atm").alias("channel"),
+        (ids % 900 + 1000.0).alias("amount"), F.when(ids % 2 == 0, "USD").otherwise("GBP").alias("currency"), (ids % 900 + 1000.0).alias("gbp_amount"),
+        F.timestamp_seconds(1_704_067_200 + ids * 400).alias("event_ts"),
+    )
+    full = silver_rows.withColumns({
+        "merchant_name": F.lit("m"), "merchant_mcc": F.lit("6051"), "merchant_risk_level": F.lit("LOW"), "country_code": F.lit("US"),
+        "is_international": F.lit(True), "is_cross_border": F.lit(True), "is_high_risk_merchant": F.lit(True), "counterparty_sanctioned": F.lit(False),
+        "device_id": F.lit("d"), "ip_address": F.lit("i"), "event_date": F.to_date("event_ts"), "txn_hour": F.hour("event_ts"),
+        "txn_day_of_week": F.dayofweek("event_ts"), "silver_processed_ts": F.lit(views.AS_OF), "pipeline_version": F.lit("1"),
+    })
+    full = relational.conform(full, schemas.TXN_SILVER)
+    late = (F.col("event_date") == "2024-01-08") & (F.col("txn_id").cast("int") % 7 == 0)
+    fx = spark.createDataFrame([("USD", datetime(2024, 1, d).date(), 1.0 + d, False) for d in range(1, 20)], "quote_currency string, rate_date date, rate double, significant_move boolean")
+
+    store = medallion.Store(spark, str(tmp_path / "lake"))
+    store.put("fx_rates_silver", fx)
+    full.filter(~late).write.partitionBy("event_date").parquet(store.path("transactions_cleansed"))
+    medallion.run_gold_incremental(store, views.AS_OF)
+
+    def files_of(name):
+        return {str(f.relative_to(tmp_path)): f.stat().st_mtime_ns for f in (tmp_path / "lake" / name).glob("event_date=*/*.parquet")}
+
+    names = (*medallion.GOLD_BY_DAY, medallion.AML)
+    before = {n: files_of(n) for n in names}
+    full.filter(late).write.mode("append").partitionBy("event_date").parquet(store.path("transactions_cleansed"))
+    medallion.run_gold_incremental(store, views.AS_OF)
+    whole = medallion.Store(spark, str(tmp_path / "whole"))
+    whole.put("fx_rates_silver", fx)
+    whole.put("transactions_cleansed", full, ("event_date",))
+    medallion.run_gold(whole, views.AS_OF)
+    for name in names:
+        touched = {f.split("event_date=")[1][:10] for f in files_of(name).items() - before[name].items() for f in [f[0]]}
+        assert touched == ({f"2024-01-{d:02d}" for d in (8, 9, 10, 11)} if name == medallion.AML else {"2024-01-08"}), name
+        got = store.get(name)
+        assert rows(got) == rows(whole.get(name).select(*got.columns)) and got.count() > 0, name
+    # A changed rate alone refreshes that day's exposure.
+    store.put("fx_rates_silver", fx.withColumn("rate", F.when(F.dayofmonth("rate_date") == 3, 9.0).otherwise(F.col("rate"))))
+    before = files_of("daily_fx_exposure")
+    medallion.run_gold_incremental(store, views.AS_OF)
+    assert {f.split("event_date=")[1][:10] for f, _ in files_of("daily_fx_exposure").items() - before.items()} == {"2024-01-03"}
+    assert store.get("daily_fx_exposure").filter("event_date = '2024-01-03'").first().daily_avg_rate == 9.0
+
+
 def test_pivot_stops_without_a_required_pair(spark):
     from ledgerlens.plans import silver
 
