@@ -9,7 +9,7 @@ is reached.  Inner products become distances by one more component (the gap to t
 from __future__ import annotations
 
 import heapq
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
 import numpy as np
@@ -77,14 +77,15 @@ class Tree:
                         todo.append((child, mine))
         return out
 
-    def visits(self, query: np.ndarray, most: int) -> list[int]:
-        """The first ``most`` leaves, best bin first."""
+    def visits(self, query: np.ndarray, most: int, held: Mapping[int, int] = {}, least: int = 0) -> list[int]:  # noqa: B006
+        """The first ``most`` leaves, best bin first, and as many more as it takes to see ``least`` vectors, of which leaf i holds ``held[i]``."""
         q = np.append(query, 0.0)[None]
-        queue, out = [(0.0, 0)], []
-        while queue and len(out) < most:
+        queue, out, seen = [(0.0, 0)], [], 0
+        while queue and (len(out) < most or seen < least):
             _, node = heapq.heappop(queue)
             if node < 0:
                 out.append(-1 - node)
+                seen += held.get(-1 - node, 0)
                 continue
             for d, child in zip(distances(q, self.centres[node])[0], self.children[node]):
                 heapq.heappush(queue, (float(d), child))
@@ -180,19 +181,20 @@ def search(df: DataFrame, queries: Callable[[Column], Column], key: str = "vec_i
     trial = distinct.orderBy(F.xxhash64("rep", F.lit(1)), "rep").limit(settings.calibration).toArrow()
     most = calibrated(placed, tree, matrix(trial["v"]), k, settings) if trial.num_rows else 1
 
-    parts = packed({r["leaf"]: r["n"] for r in placed.groupBy("leaf").agg(F.count("*").alias("n")).collect()}, settings.rows)
+    counts = placed.groupBy("leaf").agg(F.count("*").alias("n"), F.sum(F.size("ids")).alias("ids")).collect()  # a row per leaf
+    parts, ids_in = packed({r["leaf"]: r["n"] for r in counts}, settings.rows), {r["leaf"]: r["ids"] for r in counts}
     holds = spark.createDataFrame(sorted(parts.items()), "leaf int, parts array<int>")  # a row per leaf
     asked_for = distinct.count()
     slices = max(1, -(-asked_for // settings.queries))
-    groups_of = Shared(spark, parts)
+    groups_of = Shared(spark, (parts, ids_in))
 
     def ask(batches):
-        t, p = tree.built(lambda x: x), groups_of.built(lambda x: x)
+        t, (p, held_in) = tree.built(lambda x: x), groups_of.built(lambda x: x)
         for batch in batches:
             x, reps, out = matrix(batch.column("v")), batch.column("rep").to_pylist(), []
             for i, q in enumerate(x):
                 by: dict[int, list[int]] = {}
-                for leaf in t.visits(q, most):
+                for leaf in t.visits(q, most, held_in, k + 1):  # so that k others are seen where there are as many
                     for part in p.get(leaf, ()):
                         by.setdefault(part, []).append(leaf)
                 out += [(reps[i], i, part, found) for part, found in by.items()]

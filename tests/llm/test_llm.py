@@ -169,6 +169,19 @@ def test_components(spark):
     assert components.components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
 
 
+def test_ann_gives_k_rows_to_outliers(spark):
+    """Most queries need one tight leaf, but single vectors in tiny leaves get their 20 rows too."""
+    rng = np.random.default_rng(8)
+    centres = rng.normal(size=(250, 16))
+    tight = np.repeat(centres, 40, axis=0) + rng.normal(scale=0.002, size=(10_000, 16))
+    x = np.concatenate([tight, rng.normal(size=(40, 16)) * 3])
+    # Single vectors are queries as well.
+    ids = np.concatenate([np.arange(10_000), 20 * np.arange(500, 540)])
+    df = spark.createDataFrame([(int(i), v.tolist()) for i, v in zip(ids, x)], "vec_id bigint, embedding array<double>")
+    got = ann.search(df, lambda key: key % 20 == 0).groupBy("query_id").count().collect()
+    assert len(got) == int((ids % 20 == 0).sum()) and {r["count"] for r in got} == {20}
+
+
 # -- 4 ------------------------------------------------------------------------
 def test_language_model(spark, docs):
     learn = remainder(F.col("doc_id"), 5) != 1
