@@ -404,6 +404,9 @@ BODIES = {
               FROM (SELECT coalesce(merchant_name, 'NULL') AS m, count(*) AS n FROM txn_source GROUP BY 1)) GROUP BY 1""",
     "distinct_sketches": """SELECT CAST(date_trunc('week', event_ts) AS DATE) AS week, count(DISTINCT customer_id) AS customers,
         count(DISTINCT txn_id) AS txns, TRUE AS within_bound FROM txn_source GROUP BY 1""",
+    "mcc_malformed": f"""SELECT 'c' || p_partkey AS mcc_code, CAST(p_size AS VARCHAR) AS description, NULL AS category, NULL AS risk_level,
+        NULL AS requires_enhanced_dd, NULL AS effective_date, NULL AS last_updated, 'c' || p_partkey || ',' || p_size AS broken_record,
+        'malformed_record' AS failure_reasons, {STAMP} FROM part WHERE p_partkey % 41 = 0""",
     "expect_or_drop": f"""SELECT txn_id, amount, currency, event_ts FROM txn_source
         WHERE amount > 0 AND event_ts <= {AS_OF} AND currency IN {SILVER_CCY} AND account_id IS NOT NULL""",
     "expect_or_fail": "SELECT txn_id, account_id, amount FROM txn_clean",

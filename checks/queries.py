@@ -201,6 +201,20 @@ def mcc_ingest(spark, sf_dir):
     return tables.read_table(spark, stored).drop("source_file", "source_file_modified_ts")
 
 
+@query
+def mcc_malformed(spark, sf_dir):
+    """Landed MCC lines of which every 41st is cut off: kept by a stream with their text, and held for it."""
+    names = [f.name for f in schemas.MCC_FILE.fields]
+    key = D.table(spark, sf_dir, "part").select(F.col("p_partkey").cast("string").alias("k"), F.col("p_size").cast("string").alias("size"))
+    line = F.concat_ws(",", F.concat(F.lit("c"), "k"), "size", F.lit("Hotels"), F.lit("LOW"), F.lit("N"), F.lit("2024-01-01"), F.lit("2024-02-01"))
+    landing = tables.fresh_path(spark, "mcc_landing")
+    key.select(F.when(F.col("k").cast("bigint") % 41 == 0, F.concat_ws(",", F.concat(F.lit("c"), "k"), "size")).otherwise(line)).write.text(landing)
+    stored = tables.fresh_path(spark, "mcc_raw")
+    runs.run_stream(files.mcc_ingest(spark, landing, AS_OF, keep_broken=True, header="false"), stored, f"{stored}_checkpoint")
+    held = bronze.mcc_quarantine(tables.read_table(spark, stored), AS_OF)
+    return held.select(*names, files.BROKEN, "failure_reasons", "quarantine_ts", "quarantine_status")
+
+
 @query
 def mcc_quarantine(spark, sf_dir):
     return bronze.mcc_quarantine(D.mcc(spark, sf_dir), AS_OF)
