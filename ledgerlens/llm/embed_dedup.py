@@ -15,7 +15,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.llm.common import Shared
@@ -68,7 +68,7 @@ class Grid:
 
 
 def enough_visits(groups: DataFrame, grid: Shared, trial: pa.Table, least: float, settings: Settings) -> int:
-    """Cells to visit for the recall asked for, by all links of the calibration vectors.
+    """Cells to visit for the recall asked for: the average share of a calibration vector's links that is found.
 
     What is collected is a count for each place in the order of the cells.
     """
@@ -85,10 +85,13 @@ def enough_visits(groups: DataFrame, grid: Shared, trial: pa.Table, least: float
             keep = reps[i] != own[j]
             pairs, n = np.unique(np.stack([i[keep], cells[0][j[keep]], cells[1][j[keep]]]), axis=1, return_counts=True)
             places = [int(((first[a][:, None] + second[a][None]) < first[a][u] + second[a][v]).sum()) for a, u, v in pairs.T]
-            yield pa.RecordBatch.from_pydict({"place": pa.array(places, pa.int32()), "n": pa.array(n, pa.int64())})
+            yield pa.RecordBatch.from_pydict({"q": pa.array(pairs[0], pa.int32()), "place": pa.array(places, pa.int32()), "n": pa.array(n, pa.int64())})
 
-    found = sorted((r["place"], r["n"]) for r in groups.select("x", "rep").mapInArrow(run, "place int, n bigint").groupBy("place").agg(F.sum("n").alias("n")).collect())
-    wanted, so_far = settings.recall * sum(n for _, n in found), 0
+    # Every calibration vector with links counts alike, however many it has: a large group of near copies is one voice per vector.
+    near = groups.select("x", "rep").mapInArrow(run, "q int, place int, n bigint").groupBy("q", "place").agg(F.sum("n").alias("n"))
+    shares = near.withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy("q")))
+    found = sorted((r["place"], r["share"]) for r in shares.groupBy("place").agg(F.sum("share").alias("share")).collect())
+    wanted, so_far = settings.recall * sum(n for _, n in found) - 1e-9, 0.0
     for place, n in found:
         so_far += n
         if so_far >= wanted:

@@ -280,6 +280,22 @@ def test_automaton_distributions_sum_to_one():
         assert abs(sum(10**x for x in each) - 1) < 1e-9
 
 
+def test_calibration_hears_every_vector_alike(spark):
+    """A large tight group must not decide alone how many cells are visited: ordinary pairs are found as well."""
+    rng = np.random.default_rng(3)
+    base = rng.normal(size=(700, 32))
+    pair = base / np.linalg.norm(base, axis=1)[:, None] + rng.normal(scale=0.38 / 32**0.5, size=base.shape)
+    group = rng.normal(size=32) + rng.normal(scale=0.001, size=(300, 32))
+    x = np.concatenate([base / np.linalg.norm(base, axis=1)[:, None], pair, group])
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id bigint, embedding array<double>")
+    got = {r["vec_id"]: r["n_links"] for r in embed_dedup.near_duplicates(df).collect()}
+    unit = x / np.linalg.norm(x, axis=1)[:, None]
+    true = (unit @ unit.T >= 0.9).sum(axis=1) - 1
+    ordinary = [i for i in range(1400) if true[i]]
+    assert len(ordinary) > 600 and sum(got[i] for i in ordinary) >= 0.95 * true[ordinary].sum()
+    assert all(got[i] <= true[i] for i in got)
+
+
 # -- 6 ------------------------------------------------------------------------
 def test_chat(spark):
     texts = ["</s>[INST] ok [/INST]", "<\\s>", "<\\\\/s> [\\INST] \\", "<s><s>", "", None, "é" * 9000 + "<|endoftext|>"]
@@ -348,6 +364,63 @@ def test_language_id(spark, docs, sf_dir):
     assert sum(r["lang"] == r["lang_pred"] for r in said) >= 0.95 * len(said) > 0
 
 
+def plain_slots(text):
+    """Slot counts of a text's byte trigrams, A-Z folded, other ASCII as spaces; slot 0 counts nothing."""
+    folded = [32, *(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in text.encode()), 32]
+    slots = collections.Counter()
+    for a, b, c in zip(folded, folded[1:], folded[2:]):
+        slots[((((a << 16 | b << 8 | c) - 0x202020) * 0x9E3779B1) & 0xFFFFFFFF) >> 16] += 1
+    del slots[0]
+    return slots
+
+
+def plain_languages(learned, texts):
+    """(language, score) of each text by loops over dictionaries: one classifier per codeword bit, loss-weighted decoding."""
+    counts = collections.defaultdict(collections.Counter)
+    for text, lang in learned:
+        counts[lang] += plain_slots(text or "")
+    names = sorted(x for x in counts if counts[x])
+    code = langid.codewords(len(names)).tolist()
+    share = {x: {s: n / sum(counts[x].values()) for s, n in counts[x].items()} for x in names}
+    bits = range(len(code[0]))
+    weight, scale, middle, spread = [], [], [], []
+    for b in bits:
+        ones, zeros = ([x for x, row in zip(names, code) if row[b] == side] for side in (1, -1))
+        w, high, low = {}, 0.0, 0.0
+        for s in range(1 << 16):
+            p = sum(share[x].get(s, 0) for x in ones) / len(ones) + 1e-7
+            q = sum(share[x].get(s, 0) for x in zeros) / len(zeros) + 1e-7
+            w[s] = math.log(p / q) if s else 0.0
+            high, low = high + p * w[s], low + q * w[s]
+        weight.append(w)
+        scale.append(2 / (high - low))
+        middle.append((high + low) / 2)
+        spread.append(high - low)
+    out = []
+    for text in texts:
+        if not text or not any(c.isalpha() for c in text):
+            out.append(("und", 0.0))
+            continue
+        slots = plain_slots(text)
+        margin = [(sum(weight[b][s] * n for s, n in slots.items()) / max(1, slots.total()) - middle[b]) * scale[b] for b in bits]
+        loss = [sum(math.log1p(math.exp(-4 * row[b] * margin[b])) * spread[b] for b in bits) / sum(spread) for row in code]
+        best = min(range(len(names)), key=lambda i: loss[i])
+        out.append((names[best], 1 / sum(math.exp(-8 * (x - loss[best])) for x in loss)))
+    return out
+
+
+def test_language_id_equals_plain_loops(spark, docs):
+    learned = [("the cat and the dog", "en"), ("A small house by the river", "en"), ("le chat et le chien", "fr"), ("une maison près de la rivière", "fr"),
+               ("der hund und die katze", "de"), ("ein kleines haus am fluß", "de"), (None, "de"), ("no label", None)]
+    asked = ["the river", "LA RIVIÈRE", "das haus und der fluß", "zzz", "", None, "123 !", "é", "the cat et le chien"]
+    rows = [(i, t, x, True) for i, (t, x) in enumerate(learned)] + [(100 + i, t, "xx", False) for i, t in enumerate(asked)]
+    df = spark.createDataFrame(rows, "doc_id int, text string, lang string, learn boolean")
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in langid.identify(df, F.col("learn")).collect()}
+    want = plain_languages([r[1:3] for r in rows if r[3] and r[2]], [r[1] for r in rows])
+    for (i, *_), (lang, score) in zip(rows, want):
+        assert got[i][0] == lang and got[i][1] == pytest.approx(score, abs=1e-4), i
+
+
 @pytest.mark.parametrize("n", [2, 4, 7, 9, 40])
 def test_codewords_differ(n):
     code = langid.codewords(n).astype(int)
@@ -388,6 +461,29 @@ def test_mixing(spark, docs, sf_dir):
     assert mixing.mix(docs.limit(0)).count() == 0
 
 
+def test_mixing_rates_equal_a_solver(spark):
+    """The rates behind the copies, against bisection on each source's target, and the copies rounded as a plain loop does."""
+    rng = random.Random(12)
+    rows = [(i, " ".join(["w"] * rng.choice([0, 1, 5, 40, 300])), "abc"[i % 3]) for i in range(900)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    got = mixing.mix(df).collect()
+    sizes = {i: len(t.split()) for i, t, _ in rows}
+    for s in "abc":
+        mine = [r for r in got if rows[r["doc_id"]][2] == s]
+        n, target = [sizes[r["doc_id"]] for r in mine], mine[0]["target"]
+        mean = sum(n) / len(n)
+        # Exponential tilts exp(t * size / mean), three copies at most; their sum of words grows with t.
+        low, high = -60.0, 60.0
+        for _ in range(200):
+            t = (low + high) / 2
+            total = sum(min(3.0, math.exp(min(50.0, t * x / mean))) * x for x in n)
+            low, high = (t, high) if total < target else (low, t)
+        for r in mine:
+            wanted = min(3.0, math.exp(min(50.0, low * sizes[r["doc_id"]] / mean)))
+            assert math.floor(wanted - 1e-6) <= r["copies"] <= math.ceil(wanted + 1e-6), (s, r)
+        assert abs(sum(r["taken"] for r in mine) - target) <= max(n)
+
+
 # -- 10 -----------------------------------------------------------------------
 def test_bpe_equals_library(spark, docs, model, monkeypatch):
     library, codec, rng = Tokenizer.from_file(VOCABULARY), bpe.Codec(model), random.Random(4)
