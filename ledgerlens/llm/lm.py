@@ -1,24 +1,22 @@
 """Language-model scoring with a weighted backoff automaton.
 
-The lowest order is a smoothed unigram distribution over every word of the training texts, however
-many these are.  Above it, discounted bigrams and trigrams become arcs: a state is a
-context, an arc its predicted word with a weight and the next state, and a failure arc leads to
-the shorter context at the backoff weight.  A text is scored in one traversal that carries the
-state.
-
-``score`` with ``whole`` holds every n-gram of the texts: each order is interpolated with the next, so
-the weight of an arc and of a context adds up along the orders.  All bigrams and trigrams are stored
-and joined with those of a text; only the weights of frequent words, as words and as contexts, are broadcast.
-
-Without ``whole`` the model is bounded.  The states of frequent words have bounds in number and arcs (counts below a threshold are left to
-the failure arcs, which keeps every distribution normalised), so they are broadcast.  Every other
-word is a state too, with all its arcs; these states grow with the texts, are a stored table, and the
-traversal only notes which of their arcs and failures it takes: their weights are joined.
+States are the contexts of the training texts: the empty one, words, and pairs of words.  An arc leads from a context by a word
+to the longest context that is left, at the log10 of the word's probability; a failure arc leads to the context without its
+first word, at the log10 of the backoff weight.  A text is scored in one traversal from left to right that carries the state.
+
+The probabilities are smoothed by a prior: p(w | ab) = (n(abw) + m p(w | b)) / (n(ab) + m), and so on down to single words,
+whose probability is the base score's.  So m / (n(ab) + m) is the backoff weight, and an automaton needs nothing but counts.
+
+No n-gram of the texts is left out, and no task holds them all.  Texts are cut into blocks.  A block sends each of its
+different n-grams once, with its count in the block's training texts, to the part that the n-gram belongs to; a part adds up
+and answers each block in the order of its questions; a block then has all counts that its texts can touch, and builds the
+states and arcs of the automaton that they can reach.  Parts are chosen by an n-gram's rarest word, and by all its words if that
+one is frequent, so that no word and no context is a hot key.  Numbers of the most frequent words are broadcast; other words
+are told apart by 62 bits of their hash.
 """
 
 from __future__ import annotations
 
-import math
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -34,25 +32,20 @@ from ledgerlens.sources.tables import hand_over
 
 #: The end of a text; words have no white space.
 END = b"\n"
-FLUSH_WORDS, FLUSH_GRAMS = 200_000, 2_000_000
-#: Words whose n-grams are counted together when all are kept, and rows of a batch of these.
-FLUSH_WHOLE, GRAM_ROWS = 1_000_000, 1 << 17
-#: Spark's ``xxhash64`` of one value.
+FLUSH_WORDS = 200_000
 SEED = 42
 
 
 @dataclass(frozen=True)
-class Limits:
-    """Size of the broadcast part: words kept beside the automaton, words that its n-grams are made of, arcs by order.
+class Settings:
+    """``prior`` of pairs and of triples; words with a number at most; tokens of a block and bytes of text of a part, about."""
 
-    What has no bound: the words, and the arcs of all words outside the broadcast.
-    """
-
-    frequent: int = 1 << 17
-    words: tuple[int, int] = (4096, 512)
-    arcs: tuple[int, int] = (1 << 17, 1 << 16)
-    least_count: int = 2
-    discount: float = 0.5
+    prior: tuple[float, float] = (64.0, 8.0)
+    named: int = 1 << 17
+    block: int = 400_000
+    part: int = 8 << 20
+    #: An n-gram whose words all have lower numbers than this, or than the parts, belongs to a part by all its words.
+    spread: int = 4096
 
 
 def word_counts(texts: DataFrame) -> DataFrame:
@@ -94,345 +87,265 @@ def threshold(counts: DataFrame, most: int) -> int:
     return at
 
 
-def hashes(tokens: list[bytes]) -> np.ndarray:
-    """Spark's ``xxhash64`` of each word."""
-    return np.array([xxhash.xxh64_intdigest(t, SEED) for t in tokens], dtype=np.uint64).view(np.int64)
+def fit_words(texts: DataFrame, settings: Settings) -> dict:
+    """The frequent words in order of their counts, their counts, and of all words the total and the number of types."""
+    counts = hand_over(word_counts(texts), "word_counts")
+    total, types = counts.agg(F.sum("n"), F.count("*")).first()
+    most = counts.filter(level() >= threshold(counts, settings.named)).select("token", "n").toArrow()
+    rows = sorted(zip(*(c.to_pylist() for c in most.columns)), key=lambda r: (-r[1], r[0]))
+    return {"words": [w for w, _ in rows], "counts": [n for _, n in rows], "total": total or 0, "types": types}
 
 
-def arc_key(word, after, left=np.left_shift, right=lambda x, n: (x.view(np.uint64) >> np.uint64(n)).view(np.int64)):
-    """One value for the hashes of two words; of numpy arrays or, with Spark's shifts, of columns."""
-    mixed = [left(word, 1), right(word, 63), after]
-    if isinstance(after, Column):
-        return mixed[0].bitwiseXOR(mixed[1]).bitwiseXOR(mixed[2])
-    return mixed[0] ^ mixed[1] ^ mixed[2]
+# -- arrays as bytes -------------------------------------------------------------
+_ZSTD = pa.Codec("zstd", compression_level=3)
 
 
-def gram_counts(texts: DataFrame, ids: Shared, sizes: tuple[int, int]) -> DataFrame:
-    """``size``, ``code``, ``after``, ``n`` of n-grams.
+def pack(arrays: list[np.ndarray]) -> bytes:
+    """Arrays of numbers not below zero; bytes of one place value lie together, and the whole is compressed."""
+    wide = [max(1, (int(a.max()).bit_length() + 7) // 8) if len(a) else 1 for a in arrays]
+    planes = [np.ascontiguousarray(a.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :w].T).tobytes() for a, w in zip(arrays, wide)]
+    head = np.array([len(arrays), *(x for a, w in zip(arrays, wide) for x in (len(a), w))], dtype="<i8").tobytes()
+    body = head + b"".join(planes)
+    return len(body).to_bytes(8, "little") + _ZSTD.compress(body, asbytes=True)
 
-    Sizes 2 and 3: bigrams and trigrams whose words all have an id below ``sizes``, as a ``code`` of ids.
-    Size 0: every bigram that begins with a word without an id, as the hashes of its words.
-    """
-    two, three = sizes
 
-    def run(batches):
-        known = ids.built(dict)
-        held: list[np.ndarray] = []
-        begin: list[bytes] = []
-        end: list[bytes] = []
-        found = lambda: _grams(np.concatenate(held), two, three, hashes(begin), hashes(end))
-        size = 0
-        for batch in pieces(batches, "v"):
-            for v in batch.column("v").to_pylist():
-                tokens = [*words(v), END]
-                codes = [known.get(w, -1) for w in tokens]
-                rare = [i for i, c in enumerate(codes[:-1]) if c < 0]
-                begin += [tokens[i] for i in rare]
-                end += [tokens[i + 1] for i in rare]
-                held.append(np.array([*codes, -1], dtype=np.int64))
-                size += len(held[-1])
-            if size >= FLUSH_GRAMS:
-                yield found()
-                held, begin, end, size = [], [], [], 0
-        if held:
-            yield found()
-
-    made = texts.select("v").mapInArrow(run, "size int, code bigint, after bigint, n bigint")
-    return made.groupBy("size", "code", "after").agg(F.sum("n").alias("n"))
-
-
-def _grams(at: np.ndarray, two: int, three: int, begin: np.ndarray, end: np.ndarray) -> pa.RecordBatch:
-    a, b, c = at[:-2], at[1:-1], at[2:]
-    x, y = at[:-1], at[1:]
-    pairs = (x >= 0) & (y >= 0) & (x < two) & (y < two)
-    inside = (a >= 0) & (b >= 0) & (c >= 0) & (a < three) & (b < three) & (c < three)
-    _, first, n = np.unique(arc_key(begin, end), return_index=True, return_counts=True)
-    parts = [(np.zeros(len(n), np.int32), begin[first], end[first], n)]
-    for size, codes in ((2, x[pairs] * two + y[pairs]), (3, (a[inside] * three + b[inside]) * three + c[inside])):
-        code, n = np.unique(codes, return_counts=True)
-        parts.append((np.full(len(code), size, np.int32), code, np.zeros(len(code), np.int64), n))
-    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*parts)], names=["size", "code", "after", "n"])
-
-
-def triple_key(first, second, left=np.left_shift, right=lambda x, n: (x.view(np.uint64) >> np.uint64(n)).view(np.int64)):
-    """One value for the keys of the two bigrams of a trigram; turned so that the word in common does not cancel out."""
-    turned = [left(first, 23), right(first, 41), second]
-    if isinstance(second, Column):
-        return turned[0].bitwiseXOR(turned[1]).bitwiseXOR(turned[2])
-    return turned[0] ^ turned[1] ^ turned[2]
-
-
-def all_grams(texts: DataFrame) -> DataFrame:
-    """``size``, ``code``, ``after``, ``n`` of every bigram, as hashes of its words, and trigram, as keys of its bigrams."""
-
-    def found(held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        bigrams = [arc_key(h[:-1], h[1:]) for h in held]
-        ends = {2: [(h[:-1], h[1:]) for h in held], 3: [(x[:-1], x[1:]) for x in bigrams]}
-        for size, parts in ends.items():
-            code, after = (np.concatenate(c) for c in zip(*parts))
-            _, first, n = np.unique((arc_key, triple_key)[size - 2](code, after), return_index=True, return_counts=True)
-            for i in range(0, len(n), GRAM_ROWS):
-                at = first[i : i + GRAM_ROWS]
-                columns = [np.full(len(at), size, np.int32), code[at], after[at], n[i : i + GRAM_ROWS]]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["size", "code", "after", "n"])
+def unpack(data: bytes) -> list[np.ndarray]:
+    body = _ZSTD.decompress(data[8:], int.from_bytes(data[:8], "little"), asbytes=True)
+    head = np.frombuffer(body, "<i8", 1 + 2 * int.from_bytes(body[:8], "little"))
+    out, at = [], 8 * len(head)
+    for n, w in head[1:].reshape(-1, 2).tolist():
+        full = np.zeros((n, 8), np.uint8)
+        full[:, :w] = np.frombuffer(body, np.uint8, n * w, at).reshape(w, n).T
+        out.append(full.reshape(-1).view("<i8"))
+        at += n * w
+    return out
 
-    def run(batches):
-        held, size = [], 0
-        for batch in pieces(batches, "v"):
-            for v in batch.column("v").to_pylist():
-                held.append(hashes([*words(v), END]))
-                size += len(held[-1])
-                if size >= FLUSH_WHOLE:
-                    yield from found(held)
-                    held, size = [], 0
-        if held:
-            yield from found(held)
 
-    made = texts.select("v").mapInArrow(run, "size int, code bigint, after bigint, n bigint")
-    return made.groupBy("size", "code", "after").agg(F.sum("n").alias("n"))
+def steps(a: np.ndarray) -> np.ndarray:
+    """Differences of a rising array, the first from zero."""
+    return np.diff(a, prepend=0)
+
+
+# -- blocks ----------------------------------------------------------------------
+class Block:
+    """Texts as word codes, and their different n-grams: words, then pairs, then triples, each kind in rising order.
+
+    ``first``, ``second``, ``third`` are words of the block (-1: none).  A text's n-grams lie within the text and its end.
+    """
+
+    def __init__(self, names: np.ndarray, at: np.ndarray, lengths: np.ndarray):
+        self.names, self.at, self.lengths = names, at, lengths
+        w, ends = len(names), np.cumsum(lengths)
+        room = np.repeat(ends, lengths) - np.arange(len(at))
+        x, y = np.flatnonzero(room > 1), np.flatnonzero(room > 2)
+        self.pairs, pair = np.unique(at[x] * w + at[x + 1], return_inverse=True)
+        pair_at = np.full(len(at), -1)
+        pair_at[x] = pair
+        triples, where, triple = np.unique(pair_at[y] * w + at[y + 2], return_index=True, return_inverse=True)
+        #: Of each triple its first pair, and its last.
+        self.before, self.after = triples // max(w, 1), pair_at[y[where] + 1]
+        a, b = self.pairs // max(w, 1), self.pairs % max(w, 1)
+        self.first = np.concatenate([np.arange(w), a, a[self.before]])
+        self.second = np.concatenate([np.full(w, -1), b, b[self.before]])
+        self.third = np.concatenate([np.full(w + len(a), -1), triples % max(w, 1)])
+        self.places = [(np.arange(len(at)), at), (x, w + pair), (y, w + len(a) + triple)]
+
+    def counts(self, learned: np.ndarray) -> np.ndarray:
+        """How often each n-gram stands in the texts that are learned from."""
+        of = np.repeat(learned, self.lengths)
+        return sum(np.bincount(gram[of[x]], minlength=len(self.first)) for x, gram in self.places)
+
+    def asked(self, named: int, spread: int, parts: int) -> list[tuple[int, np.ndarray]]:
+        """Parts, and the n-grams each is asked for; words with a number are known."""
+        code = lambda i: np.where(i < 0, -1, self.names[i])
+        rarest = code(np.maximum(np.maximum(self.first, self.second), self.third))
+        whole = mixed(code(self.third), mixed(code(self.second), mixed(code(self.first))))
+        part = (np.where(rarest < spread, whole, mixed(rarest)) % np.uint64(parts)).astype(np.int64)
+        part[: len(self.names)][self.names < named] = -1
+        order = np.argsort(part, kind="stable")
+        cuts = np.searchsorted(part[order], np.arange(parts + 1))
+        return [(p, order[cuts[p] : cuts[p + 1]]) for p in range(parts) if cuts[p] < cuts[p + 1]]
+
+    def question(self, grams: np.ndarray, n: np.ndarray, named: int) -> bytes:
+        """N-grams with their counts as a part reads them."""
+        columns = [c[grams] for c in (self.first, self.second, self.third)]
+        used = np.unique(np.concatenate(columns))
+        rare = used[(used >= 0) & (self.names[used] >= named)]
+        number = lambda i: np.where(self.names[i] < named, self.names[i], named + np.searchsorted(rare, i))
+        first, second, third = columns
+        kinds = [(second < 0), (second >= 0) & (third < 0), third >= 0]
+        firsts = [steps(number(first[k])) for k in kinds]
+        return pack([steps(self.names[rare]), *firsts, number(second[second >= 0]), number(third[third >= 0]), n[grams]])
+
+
+def mixed(code: np.ndarray, seed: np.ndarray | np.uint64 = np.uint64(0)) -> np.ndarray:
+    """A 64-bit hash of whole numbers, on top of another."""
+    x = (code.astype(np.int64).view(np.uint64) + np.uint64(0x9E3779B97F4A7C15)) ^ seed
+    for shift, by in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        x = (x ^ (x >> np.uint64(shift))) * np.uint64(by)
+    return x ^ (x >> np.uint64(31))
+
+
+def read_question(data: bytes, named: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """``first``, ``second``, ``third`` as codes (-1: none) and counts."""
+    rare, *firsts, second, third, n = unpack(data)
+    names = np.concatenate([np.arange(named), np.cumsum(rare)])
+    first = np.concatenate([np.cumsum(f) for f in firsts])
+    one, two, three = map(len, firsts)
+    none = lambda k: np.full(k, -1)
+    return names[first], np.concatenate([none(one), names[second]]), np.concatenate([none(one + two), names[third]]), n
+
+
+def totals(questions: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]) -> list[np.ndarray]:
+    """For each question the sums of its n-grams' counts over all of them."""
+    first, second, third, n = (np.concatenate(c) for c in zip(*questions))
+    names, at = np.unique(np.concatenate([first, second, third]), return_inverse=True)
+    a, b, c = at.reshape(3, -1)
+    _, pair = np.unique(a * len(names) + b, return_inverse=True)
+    _, gram = np.unique(pair * len(names) + c, return_inverse=True)
+    total = np.bincount(gram, weights=n).astype(np.int64)[gram]
+    return np.split(total, np.cumsum([len(q[0]) for q in questions])[:-1])
 
 
 class Automaton:
-    """States with arcs, failure arcs and backoff weights; weights are log10.
+    """The states and arcs that the texts of a block can reach, from the counts ``n`` of its n-grams; weights are log10.
 
-    An arc's weight is relative to the word's unigram weight, which the caller adds for every word:
-    so words without any arc need no place here.
+    State 0 is the empty context; then the words, then the pairs.  Only contexts and n-grams of the training texts have arcs
+    that lead to them; the empty context has an arc for every word, an unknown one included, which leads back to it.
     """
 
-    def __init__(self, model: dict):
-        names, total, types, limits = model["words"], model["total"], model["types"], model["limits"]
-        two, three = limits.words
-        count = model["counts"]
-        uni = lambda i: (count[i] + 0.5) / (total + 0.5 * (types + 1))
-        followers: dict[tuple[int, ...], list[tuple[int, int]]] = {}
-        for code, n in model["grams"][0]:
-            followers.setdefault((code // two,), []).append((code % two, n))
-        kept = {(c // two, c % two): n for c, n in model["grams"][0]}
-        for code, n in model["grams"][1]:
-            context = (code // three // three, code // three % three)
-            if context in kept:
-                followers.setdefault(context, []).append((code % three, n))
-        contexts = sorted(followers, key=lambda c: (len(c), c))
-        state = {(): 0} | {c: i for i, c in enumerate(contexts, 1)}
-        longest = lambda c: next(state[c[i:]] for i in range(len(c) + 1) if c[i:] in state)
-        p: dict[tuple[int, ...], dict[int, float]] = {}
-        back: dict[tuple[int, ...], float] = {}
-
-        def lower(context: tuple[int, ...], w: int) -> float:
-            """Probability of a word after a context that may be no state."""
-            weight = 1.0
-            while context:
-                if context in p:
-                    if w in p[context]:
-                        return weight * p[context][w]
-                    weight *= back[context]
-                context = context[1:]
-            return weight * uni(w)
-
-        self.arcs: list[dict[bytes, tuple[float, int]]] = [{names[c[0]]: (0.0, state[c]) for c in contexts if len(c) == 1}]
-        self.back, self.fail = [0.0], [0]
-        for context in contexts:
-            size = count[context[0]] if len(context) == 1 else kept[context]
-            seen = {w: (n - limits.discount) / size for w, n in followers[context]}
-            rest = (1 - sum(seen.values())) / (1 - sum(lower(context[1:], w) for w in seen))
-            p[context], back[context] = seen, rest
-            self.arcs.append({names[w]: (math.log10(x / uni(w)), longest((*context, w)[-2:])) for w, x in seen.items()})
-            self.back.append(math.log10(rest))
-            self.fail.append(longest(context[1:]))
-
-    def walk(self, tokens: list[bytes]) -> float:
-        """What the arcs and failures taken add to the unigram weights of the tokens."""
-        arcs, back, fail = self.arcs, self.back, self.fail
-        score, at = 0.0, 0
+    def __init__(self, block: Block, n: np.ndarray, total: int, types: int, prior: tuple[float, float]):
+        w, p = len(block.names), len(block.pairs)
+        one, two, three = n[:w], n[w : w + p], n[w + p :]
+        a, b, c = block.first[w : w + p], block.second[w : w + p], block.third[w + p :]
+        self.size = max(w, 1)
+        uni = (one + 0.5) / (total + 0.5 * (types + 1))
+        after_one = (two + prior[0] * uni[b]) / (one[a] + prior[0])
+        after_two = (three + prior[1] * after_one[block.after]) / (two[block.before] + prior[1])
+        seen2, seen3 = np.flatnonzero(two), np.flatnonzero(three)
+        state = np.concatenate([np.zeros(w, np.int64), 1 + a[seen2], 1 + w + block.before[seen3]])
+        token = np.concatenate([np.arange(w), b[seen2], c[seen3]])
+        to = np.concatenate([np.where(one > 0, 1 + np.arange(w), 0), 1 + w + seen2, 1 + w + block.after[seen3]])
+        self.arcs = dict(zip((state * self.size + token).tolist(), range(len(state))))
+        self.weight = np.log10(np.concatenate([uni, after_one[seen2], after_two[seen3]])).tolist()
+        self.to = to.tolist()
+        self.fail = [0, *[0] * w, *(1 + b).tolist()]
+        self.back = [0.0, *np.log10(prior[0] / (one + prior[0])).tolist(), *np.log10(prior[1] / (two + prior[1])).tolist()]
+        #: Contexts and n-grams of the training texts among them.
+        self.states = 1 + int((one > 0).sum()) + len(seen2)
+
+    def walk(self, tokens: list[int], at: int = 0) -> tuple[float, int]:
+        """The log10 probability of words after a state, and the state they lead to."""
+        arcs, weight, to, back, fail, size = self.arcs, self.weight, self.to, self.back, self.fail, self.size
+        score = 0.0
         for token in tokens:
-            arc = arcs[at].get(token)
-            while arc is None and at:
+            arc = arcs.get(at * size + token)
+            while arc is None:
                 score += back[at]
                 at = fail[at]
-                arc = arcs[at].get(token)
-            if arc is None:
-                at = 0
-            else:
-                score += arc[0]
-                at = arc[1]
-        return score
+                arc = arcs.get(at * size + token)
+            score += weight[arc]
+            at = to[arc]
+        return score, at
 
 
-class Scorer:
-    def __init__(self, model: dict):
-        self.automaton = Automaton(model)
-        floor = model["total"] + 0.5 * (model["types"] + 1)
-        self.weights = {w: math.log10((n + 0.5) / floor) for w, n in zip(model["words"], model["counts"])}
-
-    def score(self, data: bytes) -> tuple[int, int, float, float, list[bytes], list[int], np.ndarray]:
-        """Tokens, those in the table, their unigram weight, what the automaton adds; of the other words the counts and arcs."""
-        tokens = words(data)
-        tokens.append(END)
-        weights = list(map(self.weights.get, tokens))
-        rare = [i for i, x in enumerate(weights) if x is None]
-        others = Counter(tokens[i] for i in rare)
-        # The end of a text is no context.
-        rare = rare[:-1] if rare and rare[-1] == len(tokens) - 1 else rare
-        arcs = arc_key(hashes([tokens[i] for i in rare]), hashes([tokens[i + 1] for i in rare]))
-        known = [x for x in weights if x is not None]
-        return len(tokens), len(known), sum(known), self.automaton.walk(tokens), list(others), list(others.values()), arcs
-
-
-class WholeScorer(Scorer):
-    """Every bigram and trigram of a text is looked up in the stored arcs."""
-
-    def __init__(self, model: dict):
-        super().__init__(model)
-        self.fails = dict(zip(model["words"], model["fails"]))
+def coded(tokens: list[bytes], numbers: dict[bytes, int]) -> np.ndarray:
+    """The number of each word, or 62 bits of its hash above all numbers."""
+    get, high = numbers.get, 1 << 62
+    return np.array([c if (c := get(t)) is not None else xxhash.xxh64_intdigest(t, SEED) >> 2 | high for t in tokens], dtype=np.int64)
 
-    def score(self, data: bytes) -> tuple[int, int, float, float, list[bytes], list[int], np.ndarray]:
-        tokens = words(data)
-        tokens.append(END)
-        known = [x for x in map(self.weights.get, tokens) if x is not None]
-        others = Counter(t for t in tokens if t not in self.weights)
-        at = hashes(tokens)
-        two = arc_key(at[:-1], at[1:])
-        arcs = np.concatenate([two, triple_key(two[:-1], two[1:])])
-        failed = sum(self.fails.get(t, 0.0) for t in tokens)
-        return len(tokens), len(known), sum(known), failed, list(others), list(others.values()), arcs
 
+class Words:
+    """What a worker builds of the broadcast."""
 
-def collected(df: DataFrame) -> list[tuple]:
-    """Rows of a table of bounded size, without an object for each on the way."""
-    return list(zip(*(c.to_pylist() for c in df.toArrow().columns)))
+    def __init__(self, model: dict):
+        self.numbers = {w: i for i, w in enumerate(model["words"])}
+        self.counts = np.array(model["counts"], dtype=np.int64)
 
 
-def fit(texts: DataFrame, limits: Limits = Limits()) -> tuple[dict, DataFrame, DataFrame]:
-    """Model for the broadcast, and of all words that it lacks ``states`` and ``arcs``; from all rows of ``v``."""
-    counts = hand_over(word_counts(texts), "word_counts")
-    whole = counts.agg(F.sum("n").alias("total"), F.count("*").alias("types")).first()
-    at = threshold(counts, limits.frequent)
-    frequent = sorted(collected(counts.filter(level() >= at).select("token", "n")), key=lambda r: (-r[1], r[0]))
-    two, three = min(limits.words[0], len(frequent)), min(limits.words[1], len(frequent))
-    limits = Limits(limits.frequent, (two, three), limits.arcs, limits.least_count, limits.discount)
-    ids = Shared(texts.sparkSession, {w: i for i, (w, _) in enumerate(frequent)})
-    grams = hand_over(gram_counts(texts, ids, (two, three)).filter(F.col("n") >= limits.least_count), "gram_counts")
-    kept = []
-    for size, most in zip((2, 3), limits.arcs):
-        mine = grams.filter(F.col("size") == size)
-        mine = mine.filter(level() >= threshold(mine, most)).select("code", "n")
-        kept.append(sorted(collected(mine)))
-    model = {"words": [w for w, _ in frequent], "counts": [n for _, n in frequent], "grams": kept}
-    model |= {"total": whole["total"] or 0, "types": whole["types"], "limits": limits}
-    return model, *stored_states(model, counts, level() < at, grams.filter("size = 0").drop("size"))
-
-
-def stored_states(model: dict, counts: DataFrame, rare: Column, pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``states``: ``token``, ``n``, ``fails`` of every word outside the broadcast; ``arcs``: ``arc``, ``adds`` of their arcs.
-
-    A word after such a word has the probability (n - discount) / n(context), for an arc, plus the
-    failure weight times the unigram probability.  ``fails`` is the log10 of the failure weight, ``adds``
-    what an arc adds to it and to the unigram weight.  Words with equal hashes are one context.
-    """
-    mine = counts.filter(rare).withColumn("code", F.xxhash64("token"))
-    taken = pairs.groupBy("code").agg(F.sum(F.col("n") - model["limits"].discount).alias("taken"))
-    contexts = mine.groupBy("code").agg(F.sum("n").alias("size")).join(taken, "code", "left")
-    left = (F.col("size") - F.coalesce("taken", F.lit(0.0))) / F.col("size")
-    contexts = hand_over(contexts.select("code", "size", left.alias("left")), "contexts")
-    states = mine.join(contexts, "code").select("token", "n", F.log10("left").alias("fails"))
-    # A word that many contexts have in common is in the broadcast, whose number of words is bounded; no other is a hot key.
-    hashed = lambda df: df.groupBy(F.xxhash64("token").alias("after")).agg(F.sum("n").alias("times"))
-    common = F.broadcast(hashed(counts.filter(~rare)))
-    ends = pairs.join(common, "after").unionByName(pairs.join(common, "after", "left_anti").join(hashed(mine), "after"))
-    uni = (F.col("times") + 0.5) / F.lit(float(model["total"] + 0.5 * (model["types"] + 1)))
-    ratio = (F.col("n") - model["limits"].discount) / (F.col("size") * F.col("left") * uni)
-    arc = arc_key(F.col("code"), F.col("after"), F.shiftleft, F.shiftrightunsigned)
-    arcs = ends.join(contexts, "code").select(arc.alias("arc"), F.log10(1 + ratio).alias("adds"))
-    return hand_over(states, "states"), hand_over(arcs, "arcs")
-
-
-def joined(df: DataFrame, side: DataFrame, on: str) -> DataFrame:
-    """Equality join with a row for each word; those of frequent words (``held``) are broadcast, so no key is hot."""
-    most = F.broadcast(side.filter("held").drop("held"))
-    rest = df.join(most.select(on), on, "left_anti").join(side.filter("not held").drop("held"), on)
-    return df.join(most, on).unionByName(rest)
-
-
-def fit_whole(texts: DataFrame, limits: Limits) -> tuple[dict, DataFrame, DataFrame]:
-    """Weights of frequent words; ``states`` (``token``, ``n``, ``fails``) of all others; ``arcs`` (``arc``, ``adds``) of all n-grams.
-
-    p(w | b) = (n(bw) - discount) / n(b) + left(b) p(w) and p(w | ab) = (n(abw) - discount) / n(ab) + left(ab) p(w | b),
-    ``left`` being what the discounts leave of a context.  The log10 of p(w | ab) is that of p(w) plus what the context b,
-    the bigram bw, the context ab and the trigram abw add.  A bigram is followed by a word unless it ends its text, so
-    what it adds as a context is part of its row.
-    """
-    counts = hand_over(word_counts(texts), "word_counts")
-    total, types = counts.agg(F.sum("n"), F.count("*")).first()
-    total, frequent = total or 0, level() >= threshold(counts, limits.frequent)
-    grams = hand_over(all_grams(texts), "all_grams")
-    reduced = F.col("n") - limits.discount
-    uni = (F.col("times") + 0.5) / F.lit(float(total + 0.5 * (types + 1)))
-    left = lambda size: (F.col(size) - F.coalesce("taken", F.lit(0.0))) / F.col(size)
-    pairs, triples = grams.filter("size = 2").drop("size"), grams.filter("size = 3").drop("size")
-    taken = lambda df: df.groupBy("code").agg(F.sum(reduced).alias("taken"))
-    tokens = counts.withColumn("code", F.xxhash64("token"))
-    contexts = tokens.groupBy("code").agg(F.sum("n").alias("times"), F.bool_or(frequent).alias("held"))
-    contexts = hand_over(contexts.join(taken(pairs), "code", "left").select("code", "times", left("times").alias("left"), "held"), "contexts")
-    states = hand_over(tokens.join(contexts.drop("times", "held"), "code").select("token", "n", F.log10("left").alias("fails")), "states")
-
-    ends = joined(pairs, contexts.select(F.col("code").alias("after"), "times", "held"), "after").withColumn("uni", uni).drop("times")
-    both = joined(ends, contexts.withColumnRenamed("times", "of"), "code")
-    arc = arc_key(F.col("code"), F.col("after"), F.shiftleft, F.shiftrightunsigned)
-    p = reduced / F.col("of") + F.col("left") * F.col("uni")
-    two = both.select(arc.alias("code"), "n", p.alias("p"), F.log10(p / (F.col("left") * F.col("uni"))).alias("adds"))
-    two = two.join(taken(triples), "code", "left").select("code", F.col("n").alias("of"), "p", "adds", left("n").alias("left"))
-    two = hand_over(two, "bigrams")
-    lower = triples.join(two.select(F.col("code").alias("after"), "p"), "after")
-    three = lower.join(two.select("code", "of", "left"), "code").select(
-        triple_key(F.col("code"), F.col("after"), F.shiftleft, F.shiftrightunsigned).alias("arc"),
-        F.log10(1 + reduced / (F.col("of") * F.col("left") * F.col("p"))).alias("adds"),
-    )
-    arcs = two.select(F.col("code").alias("arc"), (F.col("adds") + F.log10("left")).alias("adds")).unionByName(three)
-    most = collected(states.filter(frequent))
-    model = {name: [r[i] for r in most] for i, name in enumerate(("words", "counts", "fails"))}
-    model |= {"grams": [[], []], "total": total, "types": types, "limits": limits}
-    return model, states.filter(~frequent), hand_over(arcs, "arcs")
-
-
-def score(
-    df: DataFrame, learn: Column, text: str = "text", key: str = "doc_id", limits: Limits = Limits(), whole: bool = False
-) -> DataFrame:
+def score(df: DataFrame, learn: Column, text: str = "text", key: str = "doc_id", settings: Settings = Settings()) -> DataFrame:
     """One row per input row: ``key``, ``learned``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``, ``score``.
 
-    Learned from the rows where ``learn`` holds; ``whole`` keeps every n-gram of these, and of ``limits`` only the number of
-    frequent words and the discount count then.  ``base_score`` is the unigram log10 probability of
-    the text and its end, ``score`` the automaton's.  NULL and empty texts have the end as only token;
-    repeated rows are scored each for itself; without training rows every token is unknown; an empty
-    table gives an empty result; other columns are not read.
+    Learned from all n-grams of the rows where ``learn`` holds (NULL: does not).  ``base_score`` is the unigram log10 probability
+    of the text and its end, ``score`` the automaton's.  NULL and empty texts have the end as only token; a text of any length is
+    scored whole and is a block of its own if it is long; repeated rows count and are scored each for itself; words of equal
+    counts may be numbered or not, which changes no score; without training rows every token is unknown; an empty table gives an empty
+    result; other columns are not read.
     """
+    kind = df.schema[key].dataType.simpleString()
     rows = df.select(F.col(key).alias("k"), F.coalesce(learn, F.lit(False)).alias("learned"), text_bytes(F.col(text)).alias("v"))
-    model, states, arcs = (fit_whole if whole else fit)(rows.filter("learned"), limits)
+    model = fit_words(rows.filter("learned"), settings)
     shared = Shared(df.sparkSession, model)
-    names = ["row", "k", "learned", "n_tokens", "known", "base", "walked", "token", "times", "arc"]
-    kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.binary()), pa.list_(pa.int32()), pa.list_(pa.int64())]
+    named, total, types, prior = len(model["words"]), model["total"], model["types"], settings.prior
+    parts = 1 + (rows.agg(F.sum(F.octet_length("v"))).first()[0] or 0) // settings.part
+    spread = max(settings.spread, parts)
+    schema = f"part bigint, block bigint, k array<{kind}>, learned array<boolean>, data binary"
+
+    def rows_of(like: pa.DataType, found: list[tuple]) -> dict[str, pa.Array]:
+        columns = list(zip(*found)) or [()] * 5
+        kinds = [pa.int64(), pa.int64(), like, pa.list_(pa.bool_()), pa.binary()]
+        return {n: pa.array(c, t) for n, c, t in zip(("part", "block", "k", "learned", "data"), columns, kinds)}
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        numbers = shared.built(Words).numbers
+        name, keys, learned, held, size = None, [], [], [], 0
+
+        def block() -> Iterator[pa.RecordBatch]:
+            lengths = np.array([len(h) for h in held])
+            names, at = np.unique(np.concatenate(held), return_inverse=True)
+            mine = Block(names, at, lengths)
+            n = mine.counts(np.array(learned))
+            found = [(name % parts, name, keys, learned, pack([steps(names), at, lengths]))]
+            for part, grams in mine.asked(named, spread, parts):
+                found.append((part, name, None, None, mine.question(grams, n, named)))
+            for i in range(0, len(found), 64):
+                yield pa.RecordBatch.from_pydict(rows_of(pa.list_(type_of), found[i : i + 64]))
 
-    def run(batches):
-        scorer = shared.built(WholeScorer if whole else Scorer)
         for batch in pieces(batches, "v"):
-            made = zip(*(scorer.score(v) for v in batch.column("v").to_pylist()))
-            arrays = [pa.array(list(c), t) for c, t in zip(made, kinds)]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names[:3]), *arrays], names=names)
-
-    kind = rows.schema["k"].dataType.simpleString()
-    schema = f"row bigint, k {kind}, learned boolean, n_tokens bigint, known bigint, base double, walked double, token array<binary>, times array<int>, arc array<bigint>"
-    walked = hand_over(rows.select(F.monotonically_increasing_id().alias("row"), "k", "learned", "v").mapInArrow(run, schema), "walked")
-    others = walked.select("row", F.explode(F.arrays_zip("token", "times")).alias("o")).select("row", "o.token", "o.times")
-    floor = model["total"] + 0.5 * (model["types"] + 1)
-    weight = F.log10((F.coalesce("n", F.lit(0)) + 0.5) / F.lit(float(floor)))
-    added = others.join(states, "token", "left").groupBy("row").agg(
-        F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("more"),
-        F.sum(F.col("times") * weight).alias("rest"),
-        F.sum(F.col("times") * F.coalesce("fails", F.lit(0.0))).alias("failed"),
-    )
-    followed = walked.select("row", F.explode("arc").alias("arc")).join(arcs, "arc").groupBy("row").agg(F.sum("adds").alias("adds"))
-    base = F.col("base") + F.coalesce("rest", F.lit(0.0))
-    steps = F.col("walked") + F.coalesce("failed", F.lit(0.0)) + F.coalesce("adds", F.lit(0.0))
-    return walked.drop("token", "times", "arc").join(added, "row", "left").join(followed, "row", "left").select(
-        F.col("k").alias(key), "learned", "n_tokens", (F.col("known") + F.coalesce("more", F.lit(0))).alias("n_known"),
-        F.lit(model["total"]).cast("bigint").alias("train_tokens"), base.alias("base_score"), (base + steps).alias("score"),
-    )
+            type_of = batch.schema.field("k").type
+            for row, k, known, v in zip(*(batch.column(c).to_pylist() for c in ("row", "k", "learned", "v"))):
+                name = row if name is None else name
+                keys.append(k)
+                learned.append(known)
+                held.append(coded([*words(v), END], numbers))
+                size += len(held[-1])
+                if size >= settings.block:
+                    yield from block()
+                    name, keys, learned, held, size = None, [], [], [], 0
+        if held:
+            yield from block()
+
+    def answer(group: pa.Table) -> pa.Table:
+        told = [r for r in group.to_pylist() if r["k"] is not None]
+        asked = [r for r in zip(*(group.column(c).to_pylist() for c in ("part", "block", "k", "data"))) if r[2] is None]
+        sums = totals([read_question(r[3], named) for r in asked]) if asked else []
+        found = [(r["part"], r["block"], r["k"], r["learned"], r["data"]) for r in told]
+        found += [(part, block, None, None, pack([s])) for (part, block, *_), s in zip(asked, sums)]
+        return pa.table(rows_of(group.schema.field("k").type, found))
+
+    def finish(group: pa.Table) -> pa.Table:
+        rows = group.to_pylist()
+        own = next(r for r in rows if r["k"] is not None)
+        names, at, lengths = unpack(own["data"])
+        block = Block(np.cumsum(names), at, lengths)
+        n, known = np.zeros(len(block.first), np.int64), block.names[block.names < named]
+        n[: len(known)] = shared.built(Words).counts[known]
+        answers = {r["part"]: r["data"] for r in rows if r["k"] is None}
+        for part, grams in block.asked(named, spread, parts):
+            n[grams] = unpack(answers[part])[0]
+        automaton = Automaton(block, n, total, types, prior)
+        starts = np.cumsum(lengths) - lengths
+        uni = np.log10((n[at] + 0.5) / (total + 0.5 * (types + 1)))
+        tokens = at.tolist()
+        scores = [automaton.walk(tokens[s : s + m])[0] for s, m in zip(starts.tolist(), lengths.tolist())]
+        return pa.table({
+            key: pa.array(own["k"], group.schema.field("k").type.value_type), "learned": pa.array(own["learned"], pa.bool_()),
+            "n_tokens": pa.array(lengths, pa.int64()), "n_known": pa.array(np.add.reduceat((n[at] > 0).astype(np.int64), starts)),
+            "train_tokens": pa.array(np.full(len(lengths), total, np.int64)),
+            "base_score": pa.array(np.add.reduceat(uni, starts)), "score": pa.array(scores, pa.float64()),
+        })
+
+    numbered = rows.select(F.monotonically_increasing_id().alias("row"), "k", "learned", "v")
+    told = numbered.mapInArrow(ask, schema).repartition(parts, "part").groupBy("part").applyInArrow(answer, schema)
+    out = f"`{key}` {kind}, learned boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
+    return told.repartition(parts, "block").groupBy("block").applyInArrow(finish, out)

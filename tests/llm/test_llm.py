@@ -185,7 +185,7 @@ def test_ann_gives_k_rows_to_outliers(spark):
 # -- 4 ------------------------------------------------------------------------
 def test_language_model(spark, docs):
     learn = remainder(F.col("doc_id"), 5) != 1
-    got = lm.score(docs, learn, limits=lm.Limits(frequent=4, words=(4, 3), arcs=(50, 50), least_count=1)).collect()
+    got = lm.score(docs, learn, settings=lm.Settings(named=4, block=100, part=10_000)).collect()
     assert len(got) == len(ROWS)
     train = collections.Counter()
     key = lambda i: 0 if i is None else zlib.crc32(str(i).encode()) % 5
@@ -201,83 +201,83 @@ def test_language_model(spark, docs):
                 assert (r["n_tokens"], r["n_known"], r["train_tokens"]) == (len(tokens), sum(train[t] > 0 for t in tokens), total)
                 assert abs(r["base_score"] - want) <= 1e-9 * abs(want)
     assert lm.score(docs.limit(0), learn).count() == 0
+    assert all(r["n_known"] == 0 and r["score"] == r["base_score"] for r in lm.score(docs, F.lit(None).cast("boolean")).collect())
 
 
-def test_states_outside_the_broadcast(spark):
-    """A seldom word is a state with every arc; scores equal those of plain dictionaries, and each distribution sums to one."""
-    pick = random.Random(3)
-    texts = [" ".join(pick.choice(["the", "of", *(f"w{i}" for i in range(40))]) for _ in range(60)) for _ in range(50)]
-    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
-    limits = lm.Limits(frequent=5, words=(5, 3), arcs=(50, 50))
-    model, states, arcs = lm.fit(df.select(F.col("text").cast("binary").alias("v")), limits)
-    tokens = [[*t.encode().split(), lm.END] for t in texts]
-    count = collections.Counter(w for t in tokens for w in t)
-    pairs = collections.Counter((v, w) for t in tokens for v, w in zip(t, t[1:]) if v not in model["words"])
-    pairs = {p: n for p, n in pairs.items() if n >= 2}
-    uni = lambda w: (count[w] + 0.5) / (sum(count.values()) + 0.5 * (len(count) + 1))
-    left = {v: 1 - sum(n - 0.5 for p, n in pairs.items() if p[0] == v) / count[v] for v in count}
-    p = lambda w, v: (pairs.get((v, w), 0.5) - 0.5) / count[v] + left[v] * uni(w)
-    assert len(model["words"]) <= 5 and states.count() == len(count) - len(model["words"]) and arcs.count() == len(pairs) > 100
-    for v in set(count) - set(model["words"]):
-        assert abs(sum(p(w, v) for w in count) + left[v] * uni(b"?") - 1) < 1e-9
-    scorer = lm.Scorer(model)
-    for r in lm.score(df, F.lit(True), limits=limits).collect():
-        t = tokens[r["doc_id"]]
-        steps = sum(math.log10(p(w, v) / uni(w)) for v, w in zip(t, t[1:]) if v not in model["words"])
-        assert abs(r["score"] - sum(math.log10(uni(w)) for w in t) - scorer.automaton.walk(t) - steps) < 1e-9
-
-
-@pytest.mark.parametrize("frequent", [0, 6, 1 << 17])
-def test_whole_language_model(spark, frequent):
-    """Every n-gram counts, wherever it is held: scores equal plain dictionaries, whose distributions sum to one."""
-    pick = random.Random(3)
-    texts = [" ".join(pick.choice(["the", "of", *(f"w{i}" for i in range(40))]) for _ in range(60)) for _ in range(30)] + ["", "the", "once seen"]
-    tokens = [[*t.encode().split(), lm.END] for t in texts]
-    train = [t for i, t in enumerate(tokens) if i % 3]
+def plain_model(train, prior):
+    """p(word, context of at most two words), from dictionaries of all n-grams of the texts."""
     one, two, three = (collections.Counter(tuple(t[i : i + k]) for t in train for i in range(len(t) - k + 1)) for k in (1, 2, 3))
     norm = sum(one.values()) + 0.5 * (len(one) + 1)
-    followers = collections.defaultdict(dict)
-    for gram, n in [*two.items(), *three.items()]:
-        followers[gram[:-1]][gram[-1]] = n
 
     def p(w, context):
         if not context:
             return (one[(w,)] + 0.5) / norm
-        of, size = followers[context], (one, two)[len(context) - 1][context]
-        below = p(w, context[1:])
-        return (max(of.get(w, 0) - 0.5, 0) + 0.5 * len(of) * below) / size if of else below
-
-    for context in list(followers)[:200]:
-        assert abs(sum(p(w, context) for (w,) in one) + p(b"?", context) - 1) < 1e-9
-    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
-    got = lm.score(df, F.col("doc_id") % 3 != 0, limits=lm.Limits(frequent=frequent), whole=True).collect()
-    assert len(got) == len(texts)
+        counts, sizes, m = ((two, one), (three, two))[len(context) - 1] + (prior[len(context) - 1],)
+        return (counts[(*context, w)] + m * p(w, context[1:])) / (sizes[context] + m)
+
+    return p, one, two, three
+
+
+PICK = random.Random(3)
+TEXTS = [" ".join(PICK.choice(["the", "of", "the of", *(f"w{i}" for i in range(40))]) for _ in range(60)) for _ in range(30)] + ["", "the", "once seen"]
+
+
+@pytest.mark.parametrize("named, block, part", [(0, 1, 1 << 30), (6, 150, 400), (6, 1 << 20, 100), (1 << 17, 100, 900)])
+def test_every_n_gram_counts(spark, named, block, part):
+    """However texts are cut and n-grams dealt: scores equal plain dictionaries, whose distributions sum to one."""
+    tokens = [[*t.encode().split(), lm.END] for t in TEXTS]
+    settings = lm.Settings(named=named, block=block, part=part, spread=4)
+    p, one, two, three = plain_model([t for i, t in enumerate(tokens) if i % 3], settings.prior)
+    for context in [(), *list(one)[:20], *list(two)[:100]]:
+        if context[-1:] != (lm.END,):
+            assert abs(sum(p(w, context) for (w,) in one) + p(b"?", context) - 1) < 1e-9
+    df = spark.createDataFrame(list(enumerate(TEXTS)), "doc_id bigint, text string")
+    got = lm.score(df, F.col("doc_id") % 3 != 0, settings=settings).collect()
+    assert sorted(r["doc_id"] for r in got) == list(range(len(TEXTS)))
     for r in got:
         t = tokens[r["doc_id"]]
         assert abs(r["score"] - sum(math.log10(p(w, tuple(t[max(0, i - 2) : i]))) for i, w in enumerate(t))) < 1e-9
 
 
-def test_level_decides_only_where_a_word_is_held(spark):
-    """All counts are equal, so that one level passes the bound of the broadcast: scores are the same, and n-grams seen once count."""
-    df = spark.createDataFrame([(i, " ".join(f"{i}w{k}" for k in range(30))) for i in range(4)], "doc_id bigint, text string")
-    few, all_ = ({r["doc_id"]: r["score"] for r in lm.score(df, F.lit(True), limits=lm.Limits(frequent=n), whole=True).collect()} for n in (3, 1 << 17))
-    base = {r["doc_id"]: r["base_score"] for r in lm.score(df, F.lit(True), whole=True).collect()}
-    assert all(abs(few[i] - all_[i]) < 1e-9 and few[i] > base[i] + 10 for i in base) and len(few) == 4
-    model, states, arcs = lm.fit_whole(df.select(F.col("text").cast("binary").alias("v")), lm.Limits(frequent=3))
-    assert len(model["words"]) == 1 and states.count() == 120 and arcs.count() == 4 * (30 + 29)
-    assert lm.score(df.limit(0), F.lit(True), whole=True).count() == 0
-
-
-def test_automaton_distributions_sum_to_one():
-    names = [b"a", b"b", b"c", lm.END]
-    model = {"words": names, "counts": [10, 6, 3, 5], "total": 24, "types": 4, "limits": lm.Limits(words=(4, 4))}
-    model["grams"] = [[(0 * 4 + 1, 4), (0 * 4 + 2, 2), (1 * 4 + 0, 3), (1 * 4 + 3, 2)], [((0 * 4 + 1) * 4 + 3, 2), ((0 * 4 + 1) * 4 + 0, 1)]]
-    scorer = lm.Scorer(model)
-    unknown = math.log10(0.5 / (24 + 0.5 * 5))
-    for before in ([], [b"a"], [b"b"], [b"a", b"b"], [b"b", b"a"], [b"z"]):
-        start = scorer.automaton.walk(before)
-        each = [scorer.automaton.walk([*before, w]) - start + scorer.weights.get(w, unknown) for w in (*names, b"other")]
-        assert abs(sum(10**x for x in each) - 1) < 1e-9
+def test_states_and_arcs():
+    """A state for every context of the training texts and an arc for every n-gram, single ones included; each state's arcs sum to one."""
+    tokens = [[*t.encode().split(), lm.END] for t in TEXTS]
+    p, one, two, three = plain_model(tokens, (64.0, 8.0))
+    words = {w: i for i, (w,) in enumerate(one)}
+    codes = [lm.coded(t, words) for t in tokens]
+    names, at = np.unique(np.concatenate(codes), return_inverse=True)
+    block = lm.Block(names, at, np.array([len(c) for c in codes]))
+    n = block.counts(np.ones(len(codes), bool))
+    machine = lm.Automaton(block, n, sum(one.values()), len(one), (64.0, 8.0))
+    assert machine.states == 1 + len(one) + len(two) and len(machine.arcs) == len(one) + len(two) + len(three)
+    assert (n == 1).sum() > 1000
+    unknown = math.log10(0.5 / (sum(one.values()) + 0.5 * (len(one) + 1)))
+    for context in [[], [b"the"], [b"of", b"the"], [b"once"], [b"once", b"seen"], [b"seen", b"once"]]:
+        start, state = machine.walk([words[w] for w in context])
+        each = [10 ** machine.walk([i], state)[0] for i in words.values()]
+        off = unknown
+        while state:
+            off, state = off + machine.back[state], machine.fail[state]
+        assert abs(sum(each) + 10**off - 1) < 1e-9
+
+
+def test_questions_and_answers():
+    """Arrays and n-grams survive their packing; a frequent pair's triples spread over the parts; sums are those of all questions."""
+    arrays = [np.array([], np.int64), np.array([0, 1, 255, 256, 1 << 62]), np.arange(1000)]
+    assert all((a == b).all() for a, b in zip(arrays, lm.unpack(lm.pack(arrays))))
+    rng = np.random.default_rng(1)
+    codes = np.concatenate([[0, 1, x, 2] for x in rng.integers(3, 2000, 3000)] + [[5, 1 << 62, 7, (1 << 62) + 9, 2]])
+    names, at = np.unique(codes, return_inverse=True)
+    block = lm.Block(names, at, np.array([len(codes)]))
+    n = block.counts(np.array([True]))
+    asked = block.asked(1 << 17, 4096, 8)
+    assert len(asked) == 8 and max(len(g) for _, g in asked) < 0.2 * len(n)
+    assert sorted(np.concatenate([g for _, g in asked])) == [i for i in range(len(n)) if i >= len(names) or names[i] >= 1 << 17]
+    for _, grams in asked:
+        read = lm.read_question(block.question(grams, n, 1 << 17), 1 << 17)
+        for got, local in zip(read, (block.first, block.second, block.third)):
+            assert (got == np.where(local[grams] < 0, -1, names[local[grams]])).all()
+        assert all((t == 2 * n[grams]).all() for t in lm.totals([read, read]))
 
 
 def test_calibration_hears_every_vector_alike(spark):
