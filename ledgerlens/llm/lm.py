@@ -141,41 +141,54 @@ class Block:
         self.pairs, pair = np.unique(at[x] * w + at[x + 1], return_inverse=True)
         pair_at = np.full(len(at), -1)
         pair_at[x] = pair
-        triples, where, triple = np.unique(pair_at[y] * w + at[y + 2], return_index=True, return_inverse=True)
+        triples, triple = np.unique(pair_at[y] * w + at[y + 2], return_inverse=True)
         #: Of each triple its first pair, and its last.
-        self.before, self.after = triples // max(w, 1), pair_at[y[where] + 1]
+        self.before, self.after = triples // max(w, 1), np.zeros(len(triples), np.int64)
+        self.after[triple] = pair_at[y + 1]
         a, b = self.pairs // max(w, 1), self.pairs % max(w, 1)
         self.first = np.concatenate([np.arange(w), a, a[self.before]])
         self.second = np.concatenate([np.full(w, -1), b, b[self.before]])
         self.third = np.concatenate([np.full(w + len(a), -1), triples % max(w, 1)])
         self.places = [(np.arange(len(at)), at), (x, w + pair), (y, w + len(a) + triple)]
 
+    def grams_at(self) -> list[np.ndarray]:
+        """For each token the word, the pair and the triple that end there; -1 where a text has not enough words before it."""
+        found = np.full((3, len(self.at)), -1)
+        for k, (x, gram) in enumerate(self.places):
+            found[k, x + k] = gram
+        return list(found)
+
     def counts(self, learned: np.ndarray) -> np.ndarray:
         """How often each n-gram stands in the texts that are learned from."""
         of = np.repeat(learned, self.lengths)
         return sum(np.bincount(gram[of[x]], minlength=len(self.first)) for x, gram in self.places)
 
     def asked(self, named: int, spread: int, parts: int) -> list[tuple[int, np.ndarray]]:
-        """Parts, and the n-grams each is asked for; words with a number are known."""
-        code = lambda i: np.where(i < 0, -1, self.names[i])
-        rarest = code(np.maximum(np.maximum(self.first, self.second), self.third))
-        whole = mixed(code(self.third), mixed(code(self.second), mixed(code(self.first))))
-        part = (np.where(rarest < spread, whole, mixed(rarest)) % np.uint64(parts)).astype(np.int64)
-        part[: len(self.names)][self.names < named] = -1
-        order = np.argsort(part, kind="stable")
-        cuts = np.searchsorted(part[order], np.arange(parts + 1))
+        """Parts, and the n-grams each is asked for, in rising order; words with a number are known."""
+        columns = self.first, self.second, self.third
+        rarest = self.names[np.maximum(np.maximum(*columns[:2]), columns[2])] if len(self.names) else self.first
+        part = mixed(rarest) % np.uint64(parts)
+        whole = np.flatnonzero(rarest < spread)
+        if len(whole):
+            a, b, c = (np.where(x[whole] < 0, -1, self.names[x[whole]]) for x in columns)
+            part[whole] = mixed(c, mixed(b, mixed(a))) % np.uint64(parts)
+        # Words with a number go last, beyond all parts.
+        part[: len(self.names)][self.names < named] = parts
+        order = np.argsort(part.astype(np.uint16 if parts < 1 << 16 else np.uint64), kind="stable")
+        cuts = np.searchsorted(part[order], np.arange(parts + 1, dtype=np.uint64))
         return [(p, order[cuts[p] : cuts[p + 1]]) for p in range(parts) if cuts[p] < cuts[p + 1]]
 
-    def question(self, grams: np.ndarray, n: np.ndarray, named: int) -> bytes:
-        """N-grams with their counts as a part reads them."""
-        columns = [c[grams] for c in (self.first, self.second, self.third)]
-        used = np.unique(np.concatenate(columns))
-        rare = used[(used >= 0) & (self.names[used] >= named)]
-        number = lambda i: np.where(self.names[i] < named, self.names[i], named + np.searchsorted(rare, i))
-        first, second, third = columns
-        kinds = [(second < 0), (second >= 0) & (third < 0), third >= 0]
-        firsts = [steps(number(first[k])) for k in kinds]
-        return pack([steps(self.names[rare]), *firsts, number(second[second >= 0]), number(third[third >= 0]), n[grams]])
+    def questions(self, asked: list[tuple[int, np.ndarray]], n: np.ndarray, named: int) -> Iterator[tuple[int, bytes]]:
+        """For each part its n-grams with their counts: words above all numbers in a table of their own, numbered on."""
+        w, known = len(self.names), np.searchsorted(self.names, named)
+        number = self.names.copy()
+        for part, grams in asked:
+            one, two = np.searchsorted(grams, [w, w + len(self.pairs)])
+            first, second, third = self.first[grams], self.second[grams[one:]], self.third[grams[two:]]
+            rare = np.unique(np.concatenate([c[c >= known] for c in (first, second, third)]))
+            number[rare] = named + np.arange(len(rare))
+            firsts = [steps(number[f]) for f in np.split(first, [one, two])]
+            yield part, pack([steps(self.names[rare]), *firsts, number[second], number[third], n[grams]])
 
 
 def mixed(code: np.ndarray, seed: np.ndarray | np.uint64 = np.uint64(0)) -> np.ndarray:
@@ -196,13 +209,20 @@ def read_question(data: bytes, named: int) -> tuple[np.ndarray, np.ndarray, np.n
     return names[first], np.concatenate([none(one), names[second]]), np.concatenate([none(one + two), names[third]]), n
 
 
-def totals(questions: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]) -> list[np.ndarray]:
+def totals(questions: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]], named: int) -> list[np.ndarray]:
     """For each question the sums of its n-grams' counts over all of them."""
-    first, second, third, n = (np.concatenate(c) for c in zip(*questions))
-    names, at = np.unique(np.concatenate([first, second, third]), return_inverse=True)
-    a, b, c = at.reshape(3, -1)
-    _, pair = np.unique(a * len(names) + b, return_inverse=True)
-    _, gram = np.unique(pair * len(names) + c, return_inverse=True)
+    *codes, n = (np.concatenate(c) for c in zip(*questions))
+    rare, least = np.unique(np.concatenate([c[c >= named] for c in codes])), named + 1
+    # From 0 (none) upwards: words with a number, then the others that occur here.
+    for x in codes:
+        high = x >= named
+        x[high] = np.searchsorted(rare, x[high]) + named
+    a, b, c = (x + 1 for x in codes)
+    size = least + len(rare)
+    pair = a * size + b
+    if size >= 1 << 21:
+        pair = np.unique(pair, return_inverse=True)[1]
+    gram = np.unique(pair * size + c, return_inverse=True)[1]
     total = np.bincount(gram, weights=n).astype(np.int64)[gram]
     return np.split(total, np.cumsum([len(q[0]) for q in questions])[:-1])
 
@@ -210,42 +230,48 @@ def totals(questions: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
 class Automaton:
     """The states and arcs that the texts of a block can reach, from the counts ``n`` of its n-grams; weights are log10.
 
-    State 0 is the empty context; then the words, then the pairs.  Only contexts and n-grams of the training texts have arcs
-    that lead to them; the empty context has an arc for every word, an unknown one included, which leads back to it.
+    State 0 is the empty context; then the words, then the pairs of the block.  An arc has the number of its n-gram in the block
+    and leads to the state ``to``, -1 if it is none: only contexts and n-grams of the training texts are states and arcs.  The
+    empty context has an arc for every word, an unknown one included, which leads back to it.
     """
 
     def __init__(self, block: Block, n: np.ndarray, total: int, types: int, prior: tuple[float, float]):
         w, p = len(block.names), len(block.pairs)
         one, two, three = n[:w], n[w : w + p], n[w + p :]
-        a, b, c = block.first[w : w + p], block.second[w : w + p], block.third[w + p :]
-        self.size = max(w, 1)
+        a, b, self.words = block.first[w : w + p], block.second[w : w + p], w
         uni = (one + 0.5) / (total + 0.5 * (types + 1))
         after_one = (two + prior[0] * uni[b]) / (one[a] + prior[0])
         after_two = (three + prior[1] * after_one[block.after]) / (two[block.before] + prior[1])
-        seen2, seen3 = np.flatnonzero(two), np.flatnonzero(three)
-        state = np.concatenate([np.zeros(w, np.int64), 1 + a[seen2], 1 + w + block.before[seen3]])
-        token = np.concatenate([np.arange(w), b[seen2], c[seen3]])
-        to = np.concatenate([np.where(one > 0, 1 + np.arange(w), 0), 1 + w + seen2, 1 + w + block.after[seen3]])
-        self.arcs = dict(zip((state * self.size + token).tolist(), range(len(state))))
-        self.weight = np.log10(np.concatenate([uni, after_one[seen2], after_two[seen3]])).tolist()
-        self.to = to.tolist()
-        self.fail = [0, *[0] * w, *(1 + b).tolist()]
-        self.back = [0.0, *np.log10(prior[0] / (one + prior[0])).tolist(), *np.log10(prior[1] / (two + prior[1])).tolist()]
-        #: Contexts and n-grams of the training texts among them.
-        self.states = 1 + int((one > 0).sum()) + len(seen2)
-
-    def walk(self, tokens: list[int], at: int = 0) -> tuple[float, int]:
-        """The log10 probability of words after a state, and the state they lead to."""
-        arcs, weight, to, back, fail, size = self.arcs, self.weight, self.to, self.back, self.fail, self.size
+        to = [np.where(one > 0, 1 + np.arange(w), 0), np.where(two > 0, 1 + w + np.arange(p), -1), np.where(three > 0, 1 + w + block.after, -1)]
+        self.to, self.weight = np.concatenate(to).tolist(), np.log10(np.concatenate([uni, after_one, after_two])).tolist()
+        self.fail = np.concatenate([np.zeros(1 + w, np.int64), 1 + b]).tolist()
+        self.back = np.log10(np.concatenate([[1.0], prior[0] / (one + prior[0]), prior[1] / (two + prior[1])])).tolist()
+        self.states, self.arcs = 1 + int((one > 0).sum() + (two > 0).sum()), w + int((two > 0).sum() + (three > 0).sum())
+
+    def walk(self, words: list[int], pairs: list[int], triples: list[int], at: int = 0) -> tuple[float, int]:
+        """The log10 probability of the words that follow a state, and the state they lead to.
+
+        For each word come the numbers of the arcs by which the empty context, a word and a pair can go on; which of them is
+        taken is up to the state.
+        """
+        to, weight, fail, back, last = self.to, self.weight, self.fail, self.back, self.words
         score = 0.0
-        for token in tokens:
-            arc = arcs.get(at * size + token)
-            while arc is None:
+        for word, pair, triple in zip(words, pairs, triples):
+            if at > last:
+                if (then := to[triple]) > 0:
+                    score += weight[triple]
+                    at = then
+                    continue
                 score += back[at]
                 at = fail[at]
-                arc = arcs.get(at * size + token)
-            score += weight[arc]
-            at = to[arc]
+            if at:
+                if (then := to[pair]) > 0:
+                    score += weight[pair]
+                    at = then
+                    continue
+                score += back[at]
+            score += weight[word]
+            at = to[word]
         return score, at
 
 
@@ -296,8 +322,8 @@ def score(df: DataFrame, learn: Column, text: str = "text", key: str = "doc_id",
             mine = Block(names, at, lengths)
             n = mine.counts(np.array(learned))
             found = [(name % parts, name, keys, learned, pack([steps(names), at, lengths]))]
-            for part, grams in mine.asked(named, spread, parts):
-                found.append((part, name, None, None, mine.question(grams, n, named)))
+            for part, data in mine.questions(mine.asked(named, spread, parts), n, named):
+                found.append((part, name, None, None, data))
             for i in range(0, len(found), 64):
                 yield pa.RecordBatch.from_pydict(rows_of(pa.list_(type_of), found[i : i + 64]))
 
@@ -318,7 +344,7 @@ def score(df: DataFrame, learn: Column, text: str = "text", key: str = "doc_id",
     def answer(group: pa.Table) -> pa.Table:
         told = [r for r in group.to_pylist() if r["k"] is not None]
         asked = [r for r in zip(*(group.column(c).to_pylist() for c in ("part", "block", "k", "data"))) if r[2] is None]
-        sums = totals([read_question(r[3], named) for r in asked]) if asked else []
+        sums = totals([read_question(r[3], named) for r in asked], named) if asked else []
         found = [(r["part"], r["block"], r["k"], r["learned"], r["data"]) for r in told]
         found += [(part, block, None, None, pack([s])) for (part, block, *_), s in zip(asked, sums)]
         return pa.table(rows_of(group.schema.field("k").type, found))
@@ -336,8 +362,9 @@ def score(df: DataFrame, learn: Column, text: str = "text", key: str = "doc_id",
         automaton = Automaton(block, n, total, types, prior)
         starts = np.cumsum(lengths) - lengths
         uni = np.log10((n[at] + 0.5) / (total + 0.5 * (types + 1)))
-        tokens = at.tolist()
-        scores = [automaton.walk(tokens[s : s + m])[0] for s, m in zip(starts.tolist(), lengths.tolist())]
+        texts = [slice(s, s + m) for s, m in zip(starts.tolist(), lengths.tolist())]
+        choices = [g.tolist() for g in block.grams_at()]
+        scores = [automaton.walk(*(g[text] for g in choices))[0] for text in texts]
         return pa.table({
             key: pa.array(own["k"], group.schema.field("k").type.value_type), "learned": pa.array(own["learned"], pa.bool_()),
             "n_tokens": pa.array(lengths, pa.int64()), "n_known": pa.array(np.add.reduceat((n[at] > 0).astype(np.int64), starts)),
