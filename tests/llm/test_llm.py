@@ -271,6 +271,45 @@ def test_states_and_arcs():
         assert abs(sum(each) + 10**off - 1) < 1e-9
 
 
+LM_SQL = """
+WITH split AS (
+  SELECT doc_id, coalesce(learn, false) AS learned, list_concat(list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ \\x09-\\x0D]+'), lambda w: w <> ''), ['</end>']) AS words
+  FROM rows_in
+), toks AS MATERIALIZED (
+  SELECT doc_id, learned, i, w, lag(w) OVER t AS v, lag(w, 2) OVER t AS u
+  FROM (SELECT doc_id, learned, unnest(words) AS w, generate_subscripts(words, 1) AS i FROM split) WINDOW t AS (PARTITION BY doc_id ORDER BY i)
+), one AS (SELECT w, count(*) AS n FROM toks WHERE learned GROUP BY w),
+two AS (SELECT v, w, count(*) AS n FROM toks WHERE learned AND v IS NOT NULL GROUP BY v, w),
+three AS (SELECT u, v, w, count(*) AS n FROM toks WHERE learned AND u IS NOT NULL GROUP BY u, v, w),
+sizes AS (SELECT sum(n) AS total, count(*) AS types FROM one),
+p AS (
+  SELECT a.doc_id, coalesce(x.n, 0) AS n, (coalesce(x.n, 0) + 0.5::DOUBLE) / (total + 0.5::DOUBLE * (types + 1)) AS p1,
+    a.v, coalesce(y.n, 0) AS n2, coalesce(c.n, 0) AS of2, a.u, coalesce(z.n, 0) AS n3, coalesce(d.n, 0) AS of3, total
+  FROM toks a CROSS JOIN sizes LEFT JOIN one x ON x.w = a.w LEFT JOIN two y ON (y.v, y.w) = (a.v, a.w) LEFT JOIN one c ON c.w = a.v
+  LEFT JOIN three z ON (z.u, z.v, z.w) = (a.u, a.v, a.w) LEFT JOIN two d ON (d.v, d.w) = (a.u, a.v)
+), q AS (SELECT *, CASE WHEN v IS NULL THEN p1 ELSE (n2 + 64 * p1) / (of2 + 64) END AS p2 FROM p)
+SELECT doc_id, count(*) AS n_tokens, count(*) FILTER (n > 0) AS n_known, CAST(any_value(total) AS BIGINT) AS train_tokens,
+  sum(log10(p1)) AS base_score, sum(log10(CASE WHEN u IS NULL THEN p2 ELSE (n3 + 8 * p2) / (of3 + 8) END)) AS score
+FROM q GROUP BY doc_id"""
+
+
+def test_query_equals_a_model_in_sql(spark, sf_dir):
+    """The registered query over its whole table; sums of logarithms differ in their last digits, so this is no registered SQL."""
+    got = {r["doc_id"]: r for r in REGISTRY["op4_lm_score"](spark, sf_dir).collect()}
+    con = connect(sf_dir)
+    learned = {i: zlib.crc32(str(i).encode()) % 5 != 1 for (i,) in con.execute("SELECT doc_id FROM documents").fetchall()}
+    con.execute("CREATE TABLE keys (doc_id BIGINT, learn BOOLEAN)")
+    con.executemany("INSERT INTO keys VALUES (?, ?)", list(learned.items()))
+    con.execute("CREATE VIEW rows_in AS SELECT doc_id, text, learn FROM documents JOIN keys USING (doc_id)")
+    want = con.execute(LM_SQL).fetchall()
+    assert len(want) == len(got) == len(learned) > 50
+    for i, *counts, base, score in want:
+        r = got[i]
+        assert [r["n_tokens"], r["n_known"], r["train_tokens"]] == counts and r["held_out"] != learned[i]
+        assert abs(r["base_score"] - base) <= 1e-9 * abs(base) and abs(r["score"] - score) <= 1e-9 * abs(score)
+
+
 def test_questions_and_answers():
     """Arrays and n-grams survive their packing; a frequent pair's triples spread over the parts; sums are those of all questions."""
     arrays = [np.array([], np.int64), np.array([0, 1, 255, 256, 1 << 62]), np.arange(1000)]
