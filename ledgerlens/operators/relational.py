@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -20,6 +21,19 @@ def count_rows(df: DataFrame, keys: Sequence[str] = (), alias: str = "row_count"
     return df.groupBy(*keys).agg(F.count("*").alias(alias))
 
 
+def bound_partitions(df: DataFrame, rows: int) -> DataFrame:
+    """``df`` as it is if no partition of it has more than ``rows`` rows, else spread evenly over as many as that takes.
+
+    ``df`` should be stored, as its rows are counted first.
+    """
+    per_part = df.groupBy(F.spark_partition_id().alias("part")).agg(F.count(F.lit(1)).alias("n"))
+    found = per_part.agg(F.max("n").alias("most"), F.sum("n").alias("all")).first()
+    if (found["most"] or 0) <= rows:
+        return df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores * math.ceil(found["all"] / (cores * rows)))
+
+
 def top_k(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:
     """First ``k`` rows by ``order``; end the order in a unique column for a stable result."""
     return df.orderBy(*order).limit(k)

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.functions.columns import count_where, query_time, stddev
 from ledgerlens.operators.lookups import lookup_join
-from ledgerlens.operators.relational import latest
+from ledgerlens.operators.relational import bound_partitions, latest
 from ledgerlens.operators.windows import prefix_sums
 from ledgerlens.sources.tables import append, hand_over, merge_into, read_table
 from ledgerlens.streaming.runs import drain
@@ -36,6 +36,8 @@ FEATURES = (
 )
 TRAINING = {"maxIter": 100, "maxDepth": 4, "stepSize": 0.1, "seed": 42}
 TEST_SHARE = 0.2
+#: Rows of a partition that trees are grown from; Spark ML caches some 250 bytes of each.
+TRAIN_ROWS = 400_000
 
 
 # -- features -----------------------------------------------------------------
@@ -138,10 +140,14 @@ def exact_split(
 def train(
     df: DataFrame, label: str = "is_fraud", features: Sequence[str] = FEATURES, params: Mapping | None = None
 ) -> PipelineModel:
-    """Gradient-boosted trees over the feature columns; trees are grown from distributed histograms."""
+    """Gradient-boosted trees over the feature columns; trees are grown from distributed histograms.
+
+    ``df`` should be stored.  A task reads the cached rows of its partition again for every level of a tree, so partitions of more
+    than ``TRAIN_ROWS`` rows are spread.
+    """
     assembler = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep")
     gbt = GBTClassifier(labelCol=label, featuresCol="features", **{**TRAINING, **(params or {})})
-    return Pipeline(stages=[assembler, gbt]).fit(df)
+    return Pipeline(stages=[assembler, gbt]).fit(bound_partitions(df, TRAIN_ROWS))
 
 
 def score(model: PipelineModel, df: DataFrame) -> DataFrame:

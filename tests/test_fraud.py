@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.plans import fraud
 from ledgerlens.sources import tables
+from ledgerlens.streaming import runs
 
 
 @pytest.fixture(scope="module")
@@ -136,3 +137,29 @@ def test_scores_of_a_repeated_batch_replace_themselves(spark, tmp_path):
         out = fraud.score_stream(spark, root, tables.stream_table(spark, f"{root}/rows", sample.schema), f"{root}/scores", f"{root}/{checkpoint}")
         p = {r["txn_id"]: r["fraud_probability"] for r in out.collect()}
         assert out.count() == 2 and p["low"] < 0.5 < p["high"]
+
+
+def test_training_bounds_the_rows_of_a_task(raw, monkeypatch):
+    """One large partition is spread before trees are grown from it; small ones stay as they are."""
+    data, fitted = fraud.training_set(raw, fraud.user_features(raw)).coalesce(1), []
+    monkeypatch.setattr(fraud.Pipeline, "fit", lambda self, df: fitted.append(df))
+    fraud.train(data)
+    monkeypatch.setattr(fraud, "TRAIN_ROWS", 150)
+    fraud.train(data)
+    fraud.train(data.limit(0))
+    sizes = [[r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()] for df in fitted]
+    assert sizes[0] == [2000] and sum(sizes[1]) == 2000 and max(sizes[1]) <= 150 and sizes[2] == []
+    assert sorted(fitted[1].collect()) == sorted(data.collect())
+
+
+def test_landed_files_fill_the_batches_evenly(spark, tmp_path):
+    """More rows make more files a batch, not larger ones nor more batches."""
+    for n, files, per_batch in ((0, 1, 1), (100, 4, 1), (1000, 20, 5)):
+        path = f"{tmp_path}/{n}"
+        assert tables.land(spark.range(n), path, batches=4, rows=50) == per_batch
+        stored = tables.read_table(spark, path)
+        assert len(stored.inputFiles()) == files and sorted(r.id for r in stored.collect()) == list(range(n))
+        batches = []
+        source = tables.stream_table(spark, path, stored.schema, per_batch)
+        runs.drain(source.writeStream.foreachBatch(lambda df, i: batches.append(df.count())).option("checkpointLocation", f"{path}_checkpoint"))
+        assert sum(batches) == n and len(batches) <= 4 and max(batches, default=0) <= 50 * per_batch + 50
