@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from checks import views
+from checks.queries import REGISTRY
 from ledgerlens import schemas
 from ledgerlens.operators import quality, relational
 from ledgerlens.plans import audits, bronze, contracts, medallion, silver
@@ -96,6 +97,25 @@ def test_counts_of_more_batches_than_a_query_remembers(spark, tmp_path):
     assert again == {}  # nothing new
 
 
+def test_a_counted_batch_takes_as_many_files_as_its_rows_need(spark, tmp_path, monkeypatch):
+    """The query's batches stay 24 however many rows there are, each of several files that tasks read side by side."""
+    events = spark.range(2400).select(
+        F.col("id").alias("event_id"), F.expr("TIMESTAMP_NTZ '2024-01-02 00:00:00'").alias("ts"), (F.col("id") % 50).alias("user_id"),
+        F.lit("view").alias("event_type"), (F.col("id") % 10 * 1.0).alias("value"), F.lit('{"k": 7}').alias("props"),
+    )
+    events.write.parquet(str(tmp_path / "events.parquet"))
+    drained, land, run = [], tables.land, runs.run_stream
+    monkeypatch.setattr(tables, "land", lambda df, path, batches: land(df, path, batches, rows=20))
+    monkeypatch.setattr(runs, "run_stream", lambda *args: drained.append((args[1], run(*args))) or drained[-1][1])
+    counts = {r["rule"]: (r["passed"], r["failed"]) for r in REGISTRY["expectation_metrics"](spark, str(tmp_path)).collect()}
+    ((path, query),) = drained
+    assert counts["valid_txn_id"] == (2400, 0) and sum(counts["positive_amount"]) == 2400
+    assert query.lastProgress.batchId == 23
+    landed = spark.read.parquet(f"{os.path.dirname(path)}/landing")
+    sizes = [r["count"] for r in landed.groupBy(F.input_file_name()).count().collect()]
+    assert len(sizes) == 24 * 5 and max(sizes) <= 25
+
+
 def test_fail_expectation_stops_a_stream(spark, batches):
     schema = spark.read.parquet(str(batches / "in")).schema
     source = tables.stream_table(spark, str(batches / "in"), schema)
