@@ -2,7 +2,8 @@
 
 States are the contexts of the training texts: the empty one, words, and pairs of words.  An arc leads from a context by a word
 to the longest context that is left, at the log10 of the word's probability; a failure arc leads to the context without its
-first word, at the log10 of the backoff weight.  A text is scored in one traversal from left to right that carries the state.
+first word, at the log10 of the backoff weight.  A text is scored by the states and arcs of one traversal from left to right; all
+texts of a block are traversed at once, by composing what their words do to the state.
 
 The probabilities are smoothed by a prior: p(w | ab) = (n(abw) + m p(w | b)) / (n(ab) + m), and so on down to single words,
 whose probability is the base score's.  So m / (n(ab) + m) is the backoff weight, and an automaton needs nothing but counts.
@@ -20,9 +21,12 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -46,6 +50,8 @@ class Settings:
     part: int = 8 << 20
     #: An n-gram whose words all have lower numbers than this, or than the parts, belongs to a part by all its words.
     spread: int = 4096
+    #: Bytes of messages that go from a Python worker to Spark at once, about.
+    send: int = 1 << 20
 
 
 def word_counts(texts: DataFrame) -> DataFrame:
@@ -97,7 +103,7 @@ def fit_words(texts: DataFrame, settings: Settings) -> dict:
 
 
 # -- arrays as bytes -------------------------------------------------------------
-_ZSTD = pa.Codec("zstd", compression_level=3)
+_ZSTD = pa.Codec("zstd", compression_level=1)
 
 
 def pack(arrays: list[np.ndarray]) -> bytes:
@@ -126,6 +132,61 @@ def steps(a: np.ndarray) -> np.ndarray:
     return np.diff(a, prepend=0)
 
 
+def width(a: np.ndarray) -> int:
+    """Bytes that the numbers of an array need."""
+    return max(1, (int(a.max(initial=0)).bit_length() + 7) // 8)
+
+
+def planes(columns: list[np.ndarray], widths: list[int]) -> np.ndarray:
+    """The lowest bytes of each column's whole numbers, a row for each place value.
+
+    (Parts of the rows are copied before they become bytes: ``tobytes`` of an array with gaps goes element by element.)
+    """
+    out = np.empty((sum(widths), len(columns[0])), np.uint8)
+    rows = iter(out)
+    for c, w in zip(columns, widths):
+        places = np.ascontiguousarray(c, dtype=c.dtype.newbyteorder("<")).view(np.uint8).reshape(len(c), c.itemsize)
+        for k in range(w):
+            next(rows)[:] = places[:, k]
+    return out
+
+
+def joined(rows: list[np.ndarray], kind: str) -> np.ndarray:
+    """Numbers of a kind from their bytes, which come place value by place value."""
+    places = np.zeros((len(rows[0]), np.dtype(kind).itemsize), np.uint8)
+    for k, row in enumerate(rows):
+        places[:, k] = row
+    return places.reshape(-1).view(kind)
+
+
+def squeezed(body: bytes) -> bytes:
+    return len(body).to_bytes(8, "little") + _ZSTD.compress(body, asbytes=True)
+
+
+def opened(data: bytes) -> np.ndarray:
+    return np.frombuffer(_ZSTD.decompress(data[8:], int.from_bytes(data[:8], "little")), np.uint8)
+
+
+def ranked(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different numbers of an array (none below zero) in rising order, and for each place which of them stands there.
+
+    Where a number and its place fit 63 bits, they are sorted as one number, which takes half the time of sorting places.
+    """
+    bits = len(key).bit_length()
+    if not len(key) or int(key.max()).bit_length() + bits > 63:
+        return np.unique(key, return_inverse=True)
+    both = key << bits
+    both |= np.arange(len(key))
+    both.sort()
+    place = both & ((1 << bits) - 1)
+    both >>= bits
+    new = np.ones(len(key), bool)
+    np.not_equal(both[1:], both[:-1], out=new[1:])
+    rank = np.empty(len(key), np.int64)
+    rank[place] = np.cumsum(new) - 1
+    return both[new], rank
+
+
 # -- blocks ----------------------------------------------------------------------
 class Block:
     """Texts as word codes, and their different n-grams: words, then pairs, then triples, each kind in rising order.
@@ -136,19 +197,24 @@ class Block:
     def __init__(self, names: np.ndarray, at: np.ndarray, lengths: np.ndarray):
         self.names, self.at, self.lengths = names, at, lengths
         w, ends = len(names), np.cumsum(lengths)
-        room = np.repeat(ends, lengths) - np.arange(len(at))
-        x, y = np.flatnonzero(room > 1), np.flatnonzero(room > 2)
-        self.pairs, pair = np.unique(at[x] * w + at[x + 1], return_inverse=True)
+        bits = w.bit_length()
+        follows = np.ones(len(at), bool)
+        follows[ends - 1] = False
+        x = np.flatnonzero(follows)
+        follows[ends[lengths > 1] - 2] = False
+        y = np.flatnonzero(follows)
+        self.pairs, pair = ranked(at[x] << bits | at[x + 1])
         pair_at = np.full(len(at), -1)
         pair_at[x] = pair
-        triples, triple = np.unique(pair_at[y] * w + at[y + 2], return_inverse=True)
+        triples, triple = ranked(pair_at[y] << bits | at[y + 2])
         #: Of each triple its first pair, and its last.
-        self.before, self.after = triples // max(w, 1), np.zeros(len(triples), np.int64)
+        self.before, self.after = triples >> bits, np.zeros(len(triples), np.int64)
         self.after[triple] = pair_at[y + 1]
-        a, b = self.pairs // max(w, 1), self.pairs % max(w, 1)
-        self.first = np.concatenate([np.arange(w), a, a[self.before]])
-        self.second = np.concatenate([np.full(w, -1), b, b[self.before]])
-        self.third = np.concatenate([np.full(w + len(a), -1), triples % max(w, 1)])
+        small, last = np.int32, (1 << bits) - 1
+        a, b = (self.pairs >> bits).astype(small), (self.pairs & last).astype(small)
+        self.first = np.concatenate([np.arange(w, dtype=small), a, a[self.before]])
+        self.second = np.concatenate([np.full(w, -1, small), b, b[self.before]])
+        self.third = np.concatenate([np.full(w + len(a), -1, small), (triples & last).astype(small)])
         self.places = [(np.arange(len(at)), at), (x, w + pair), (y, w + len(a) + triple)]
 
     def grams_at(self) -> list[np.ndarray]:
@@ -166,9 +232,9 @@ class Block:
     def asked(self, named: int, spread: int, parts: int) -> list[tuple[int, np.ndarray]]:
         """Parts, and the n-grams each is asked for, in rising order; words with a number are known."""
         columns = self.first, self.second, self.third
-        rarest = self.names[np.maximum(np.maximum(*columns[:2]), columns[2])] if len(self.names) else self.first
-        part = mixed(rarest) % np.uint64(parts)
-        whole = np.flatnonzero(rarest < spread)
+        rarest = np.maximum(np.maximum(*columns[:2]), columns[2])
+        part = (mixed(self.names) % np.uint64(parts))[rarest]
+        whole = np.flatnonzero(rarest < np.searchsorted(self.names, spread))
         if len(whole):
             a, b, c = (np.where(x[whole] < 0, -1, self.names[x[whole]]) for x in columns)
             part[whole] = mixed(c, mixed(b, mixed(a))) % np.uint64(parts)
@@ -179,16 +245,35 @@ class Block:
         return [(p, order[cuts[p] : cuts[p + 1]]) for p in range(parts) if cuts[p] < cuts[p + 1]]
 
     def questions(self, asked: list[tuple[int, np.ndarray]], n: np.ndarray, named: int) -> Iterator[tuple[int, bytes]]:
-        """For each part its n-grams with their counts: words above all numbers in a table of their own, numbered on."""
-        w, known = len(self.names), np.searchsorted(self.names, named)
-        number = self.names.copy()
-        for part, grams in asked:
-            one, two = np.searchsorted(grams, [w, w + len(self.pairs)])
-            first, second, third = self.first[grams], self.second[grams[one:]], self.third[grams[two:]]
-            rare = np.unique(np.concatenate([c[c >= known] for c in (first, second, third)]))
-            number[rare] = named + np.arange(len(rare))
-            firsts = [steps(number[f]) for f in np.split(first, [one, two])]
-            yield part, pack([steps(self.names[rare]), *firsts, number[second], number[third], n[grams]])
+        """For each part its n-grams with their counts: words above all numbers in a table of their own, numbered on.
+
+        All parts' numbers are found together, so that a question costs little more than its bytes, however many parts there are.
+        """
+        if not asked:
+            return
+        known, bits = int(np.searchsorted(self.names, named)), len(self.names).bit_length()
+        sizes, grams = np.array([len(g) for _, g in asked]), np.concatenate([g for _, g in asked])
+        ends, of = np.cumsum(sizes), np.repeat(np.arange(len(asked)), sizes)
+        columns = [c[grams] for c in (self.first, self.second, self.third)]
+        high = [np.flatnonzero(c >= known) for c in columns]
+        rare, rank = ranked(np.concatenate([of[h] << bits | c[h] for h, c in zip(high, columns)]))
+        rare_ends = np.searchsorted(rare >> bits, np.arange(len(asked)), "right")
+        # None is 0, the words follow.
+        table, less = np.zeros(len(self.names) + 1, np.uint32), named + 1 - np.concatenate([[0], rare_ends])
+        table[:known] = self.names[:known] + 1
+        numbers = [table[c] for c in columns]
+        for h, number, r in zip(high, numbers, np.split(rank, np.cumsum([len(h) for h in high])[:-1])):
+            number[h] = r + less[of[h]]
+        # First words rise within a part but for the changes of kind; steps are told modulo a power of two.
+        firsts, counts = numbers[0][ends - sizes], n[grams]
+        numbers[0] = np.diff(numbers[0], prepend=np.uint32(0))
+        wide = width(np.array([named + 1 + np.diff(rare_ends, prepend=0).max()]))
+        widths = [wide, wide, wide, width(counts)]
+        told = planes([*numbers, counts], widths)
+        names = planes([self.names[rare & ((1 << bits) - 1)]], [8])
+        for (part, _), size, first, end, low, top in zip(asked, sizes, firsts, ends, [0, *rare_ends], rare_ends):
+            head = np.array([size, top - low, first, wide, widths[-1]], "<i8").tobytes()
+            yield part, squeezed(head + names[:, low:top].copy().tobytes() + told[:, end - size : end].copy().tobytes())
 
 
 def mixed(code: np.ndarray, seed: np.ndarray | np.uint64 = np.uint64(0)) -> np.ndarray:
@@ -199,30 +284,62 @@ def mixed(code: np.ndarray, seed: np.ndarray | np.uint64 = np.uint64(0)) -> np.n
     return x ^ (x >> np.uint64(31))
 
 
+def read_questions(questions: list[bytes], named: int) -> tuple[np.ndarray, list[np.ndarray], np.ndarray, list[int]]:
+    """The tables of words above all numbers, one after the other; first, second and third word of each n-gram (-1: none; from
+    ``named`` upwards: places in the tables); their counts; and how many n-grams each question has."""
+    bodies = [opened(q) for q in questions]
+    heads = np.array([np.frombuffer(b, "<i8", 5) for b in bodies])
+    sizes, rare, starts = heads[:, :3].T
+    # All questions' bytes in one table, by place value, so that numbers are put together once and not question by question.
+    told, names, at, low = np.zeros((16, sizes.sum()), np.uint8), np.empty((8, rare.sum()), np.uint8), 0, 0
+    for body, (size, some, _, wide, counts) in zip(bodies, heads.tolist()):
+        names[:, low : low + some] = body[40 : 40 + 8 * some].reshape(8, some)
+        rows = body[40 + 8 * some :].reshape(3 * wide + counts, size)
+        for k in range(3):
+            told[4 * k : 4 * k + wide, at : at + size] = rows[k * wide : (k + 1) * wide]
+        told[12 : 12 + counts, at : at + size] = rows[3 * wide :]
+        at, low = at + size, low + some
+    first, second, third, n = (joined(list(told[4 * k : 4 * k + 4]), "<u4") for k in range(4))
+    first = np.cumsum(first, dtype=np.uint32)
+    first += np.repeat(starts.astype(np.uint32) - first[np.cumsum(sizes) - sizes], sizes)
+    first &= np.repeat(((1 << 8 * heads[:, 3]) - 1).astype(np.uint32), sizes)
+    before = np.repeat(np.cumsum(rare) - rare, sizes)
+    words = [c.astype(np.int64) - 1 + np.where(c > named, before, 0) for c in (first, second, third)]
+    return joined(list(names), "<i8"), words, n, sizes.tolist()
+
+
 def read_question(data: bytes, named: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """``first``, ``second``, ``third`` as codes (-1: none) and counts."""
-    rare, *firsts, second, third, n = unpack(data)
-    names = np.concatenate([np.arange(named), np.cumsum(rare)])
-    first = np.concatenate([np.cumsum(f) for f in firsts])
-    one, two, three = map(len, firsts)
-    none = lambda k: np.full(k, -1)
-    return names[first], np.concatenate([none(one), names[second]]), np.concatenate([none(one + two), names[third]]), n
+    """``first``, ``second``, ``third`` of one question as codes (-1: none) and counts."""
+    rare, words, n, _ = read_questions([data], named)
+    codes = np.concatenate([np.arange(named), rare, [-1]])
+    return *(codes[w] for w in words), n
+
+
+def answers(questions: list[bytes], named: int) -> list[bytes]:
+    """For each question the sums of its n-grams' counts over all of them."""
+    rare, words, n, sizes = read_questions(questions, named)
+    # Equal words of the tables get one number, from ``named`` upwards.
+    codes = np.concatenate([np.arange(named), named + ranked(rare)[1], [-1]])
+    sums, ends = totals([(*(codes[w] for w in words), n)], named)[0], np.cumsum(sizes).tolist()
+    told = planes([sums], [width(sums)])
+    return [squeezed(size.to_bytes(8, "little") + told[:, end - size : end].copy().tobytes()) for size, end in zip(sizes, ends)]
+
+
+def read_answers(data: list[bytes]) -> np.ndarray:
+    bodies = [opened(d) for d in data]
+    return np.concatenate([joined(list(b[8:].reshape(-1, int(b[:8].view("<i8")[0]))), "<i8") for b in bodies])
 
 
 def totals(questions: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]], named: int) -> list[np.ndarray]:
     """For each question the sums of its n-grams' counts over all of them."""
     *codes, n = (np.concatenate(c) for c in zip(*questions))
-    rare, least = np.unique(np.concatenate([c[c >= named] for c in codes])), named + 1
-    # From 0 (none) upwards: words with a number, then the others that occur here.
-    for x in codes:
-        high = x >= named
-        x[high] = np.searchsorted(rare, x[high]) + named
+    size = 2 + max(int(c.max(initial=named)) for c in codes)
+    if size > 1 << 31:
+        seen, rank = np.unique(np.concatenate(codes), return_inverse=True)
+        codes, size = [r - int(seen[0] < 0) for r in np.split(rank, 3)], 2 + len(seen)
+    # From 0 (none) upwards.
     a, b, c = (x + 1 for x in codes)
-    size = least + len(rare)
-    pair = a * size + b
-    if size >= 1 << 21:
-        pair = np.unique(pair, return_inverse=True)[1]
-    gram = np.unique(pair * size + c, return_inverse=True)[1]
+    gram = ranked(ranked(a * size + b)[1] * size + c)[1]
     total = np.bincount(gram, weights=n).astype(np.int64)[gram]
     return np.split(total, np.cumsum([len(q[0]) for q in questions])[:-1])
 
@@ -243,19 +360,24 @@ class Automaton:
         after_one = (two + prior[0] * uni[b]) / (one[a] + prior[0])
         after_two = (three + prior[1] * after_one[block.after]) / (two[block.before] + prior[1])
         to = [np.where(one > 0, 1 + np.arange(w), 0), np.where(two > 0, 1 + w + np.arange(p), -1), np.where(three > 0, 1 + w + block.after, -1)]
-        self.to, self.weight = np.concatenate(to).tolist(), np.log10(np.concatenate([uni, after_one, after_two])).tolist()
-        self.fail = np.concatenate([np.zeros(1 + w, np.int64), 1 + b]).tolist()
-        self.back = np.log10(np.concatenate([[1.0], prior[0] / (one + prior[0]), prior[1] / (two + prior[1])])).tolist()
+        self.arc_to, self.arc_weight = np.concatenate(to), np.log10(np.concatenate([uni, after_one, after_two]))
+        self.fails_to = np.concatenate([np.zeros(1 + w, np.int64), 1 + b])
+        self.fail_weight = np.log10(np.concatenate([[1.0], prior[0] / (one + prior[0]), prior[1] / (two + prior[1])]))
         self.states, self.arcs = 1 + int((one > 0).sum() + (two > 0).sum()), w + int((two > 0).sum() + (three > 0).sum())
 
-    def walk(self, words: list[int], pairs: list[int], triples: list[int], at: int = 0) -> tuple[float, int]:
-        """The log10 probability of the words that follow a state, and the state they lead to.
+    # Lists for single steps, made when the first is taken.
+    to = cached_property(lambda self: self.arc_to.tolist())
+    weight = cached_property(lambda self: self.arc_weight.tolist())
+    fail = cached_property(lambda self: self.fails_to.tolist())
+    back = cached_property(lambda self: self.fail_weight.tolist())
+
+    def walk(self, words: list[int], pairs: list[int], triples: list[int], at: int = 0, score: float = 0.0) -> tuple[float, int]:
+        """The log10 probability of the words that follow a state, added to ``score``, and the state they lead to.
 
         For each word come the numbers of the arcs by which the empty context, a word and a pair can go on; which of them is
         taken is up to the state.
         """
         to, weight, fail, back, last = self.to, self.weight, self.fail, self.back, self.words
-        score = 0.0
         for word, pair, triple in zip(words, pairs, triples):
             if at > last:
                 if (then := to[triple]) > 0:
@@ -274,11 +396,71 @@ class Automaton:
             at = to[word]
         return score, at
 
+    def walk_all(self, block: Block) -> np.ndarray:
+        """The log10 probability of each text of the block: ``walk`` for all texts at once.
+
+        After a word a text is in one of three states: the empty one, the word's, or that of the pair which ends there.  So every
+        word maps three states to three, by its arcs and failure arcs; composing the maps of more and more words before it,
+        twice as many in each round, gives the state that the walk from the text's start arrives in.
+        """
+        if not len(block.at):
+            return np.zeros(0)
+        starts = np.cumsum(block.lengths) - block.lengths
+        grams = block.grams_at()
+        (word, by_word), (pair, by_pair), (triple, by_triple) = ((self.arc_to[g], self.arc_weight[g]) for g in grams)
+        # The states before each word; what follows from the last two is never asked at places without them.
+        one, two = (np.concatenate([[0], g[:-1]]) for g in grams[:2])
+        one, two = 1 + one, np.maximum(1 + self.words + two - self.words, 0)
+        after_one, weight_one = np.where(pair > 0, pair, word), np.where(pair > 0, by_pair, self.fail_weight[one] + by_word)
+        after_two = np.where(triple > 0, triple, after_one)
+        weight_two = np.where(triple > 0, by_triple, self.fail_weight[two] + weight_one)
+        maps = sum((((to > 0).astype(np.uint8) + (to > self.words)) << 2 * k for k, to in enumerate((word, after_one, after_two))))
+        # All texts start in the empty state.
+        maps[starts] = (maps[starts] & 3) * 21
+        back = 1
+        while back < len(maps) and not ALIKE[maps].all():
+            maps[back:] = COMPOSED[maps[back:], maps[:-back]]
+            back *= 2
+        state = np.concatenate([[0], maps[:-1] & 3])
+        state[starts] = 0
+        return np.add.reduceat(np.choose(state, [by_word, weight_one, weight_two]), starts)
+
+
+#: A map of the states 0, 1, 2 has two bits for the image of each; a map after another; and whether all states have one image.
+_IMAGES = np.minimum(np.arange(64)[:, None] >> np.array([0, 2, 4]) & 3, 2)
+COMPOSED = (np.take_along_axis(_IMAGES[:, None, :], _IMAGES[None, :, :], axis=2) << np.array([0, 2, 4])).sum(axis=2).astype(np.uint8)
+ALIKE = (_IMAGES == _IMAGES[:, :1]).all(axis=1)
+
 
 def coded(tokens: list[bytes], numbers: dict[bytes, int]) -> np.ndarray:
     """The number of each word, or 62 bits of its hash above all numbers."""
-    get, high = numbers.get, 1 << 62
-    return np.array([c if (c := get(t)) is not None else xxhash.xxh64_intdigest(t, SEED) >> 2 | high for t in tokens], dtype=np.int64)
+    codes = np.array(list(map(numbers.get, tokens, repeat(-1))), dtype=np.int64)
+    rare = np.flatnonzero(codes < 0)
+    hashes = np.array([xxhash.xxh64_intdigest(tokens[i], SEED) for i in rare.tolist()], dtype=np.uint64)
+    codes[rare] = (hashes >> np.uint64(2) | np.uint64(1 << 62)).view(np.int64)
+    return codes
+
+
+def split(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts (bytes), one after the other, and how many each text has; the same as ``words`` finds."""
+    found = pc.ascii_split_whitespace(texts.cast(pa.large_binary()).view(pa.large_string()))
+    ends = np.cumsum(pc.list_value_length(found).to_numpy(zero_copy_only=False))
+    # Lower-cased in an array of their own: pyarrow's ascii_lower misplaces strings of a slice that begins inside its buffer.
+    flat = pc.ascii_lower(pc.take(found.flatten(), pa.array(np.arange(ends[-1] if len(ends) else 0))))
+    # White space at an end of a text leaves an empty word.
+    full = pc.greater(pc.binary_length(flat), 0)
+    kept = np.concatenate([[0], np.cumsum(full.to_numpy(zero_copy_only=False))])
+    return flat.filter(full), np.diff(kept[ends], prepend=0)
+
+
+def in_codes(flat: pa.ChunkedArray, lengths: np.ndarray, numbers: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The different codes of texts with these words and an end each, in rising order; the codes' places; tokens of each text."""
+    found = flat.combine_chunks().dictionary_encode()
+    ends, data = found.dictionary.buffers()[1:]
+    ends, data = np.frombuffer(ends, np.int64, len(found.dictionary) + 1).tolist(), data.to_pybytes() if data else b""
+    names, rank = np.unique(coded([*(data[i:j] for i, j in zip(ends, ends[1:])), END], numbers), return_inverse=True)
+    at = np.insert(rank[found.indices.to_numpy(zero_copy_only=False)], np.cumsum(lengths), rank[-1])
+    return names, at, lengths + 1
 
 
 class Words:
@@ -314,62 +496,69 @@ def score(df: DataFrame, learn: Column, text: str = "text", key: str = "doc_id",
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         numbers = shared.built(Words).numbers
-        name, keys, learned, held, size = None, [], [], [], 0
+        name, keys, learned, held, lengths, size = None, [], [], [], [], 0
 
         def block() -> Iterator[pa.RecordBatch]:
-            lengths = np.array([len(h) for h in held])
-            names, at = np.unique(np.concatenate(held), return_inverse=True)
-            mine = Block(names, at, lengths)
+            names, at, tokens = in_codes(pa.chunked_array(held), np.concatenate(lengths), numbers)
+            mine = Block(names, at, tokens)
             n = mine.counts(np.array(learned))
-            found = [(name % parts, name, keys, learned, pack([steps(names), at, lengths]))]
+            found = [(name % parts, name, keys, learned, pack([steps(names), at, tokens]))]
+            total = 0
             for part, data in mine.questions(mine.asked(named, spread, parts), n, named):
                 found.append((part, name, None, None, data))
-            for i in range(0, len(found), 64):
-                yield pa.RecordBatch.from_pydict(rows_of(pa.list_(type_of), found[i : i + 64]))
+                total += len(data)
+                if total >= settings.send:
+                    yield pa.RecordBatch.from_pydict(rows_of(pa.list_(type_of), found))
+                    found, total = [], 0
+            if found:
+                yield pa.RecordBatch.from_pydict(rows_of(pa.list_(type_of), found))
 
         for batch in pieces(batches, "v"):
             type_of = batch.schema.field("k").type
-            for row, k, known, v in zip(*(batch.column(c).to_pylist() for c in ("row", "k", "learned", "v"))):
-                name = row if name is None else name
-                keys.append(k)
-                learned.append(known)
-                held.append(coded([*words(v), END], numbers))
-                size += len(held[-1])
+            row, k, known = (batch.column(c).to_pylist() for c in ("row", "k", "learned"))
+            flat, each = split(batch.column("v"))
+            ends, start = np.cumsum(each + 1), 0
+            while start < len(row):
+                # Texts up to the one that fills the block.
+                before = int(ends[start - 1]) if start else 0
+                end = min(len(row), int(np.searchsorted(ends, before + settings.block - size)) + 1)
+                name = row[start] if name is None else name
+                keys += k[start:end]
+                learned += known[start:end]
+                held.append(flat.slice(before - start, int(ends[end - 1]) - end - (before - start)))
+                lengths.append(each[start:end])
+                size += int(ends[end - 1]) - before
+                start = end
                 if size >= settings.block:
                     yield from block()
-                    name, keys, learned, held, size = None, [], [], [], 0
+                    name, keys, learned, held, lengths, size = None, [], [], [], [], 0
         if held:
             yield from block()
 
     def answer(group: pa.Table) -> pa.Table:
-        told = [r for r in group.to_pylist() if r["k"] is not None]
-        asked = [r for r in zip(*(group.column(c).to_pylist() for c in ("part", "block", "k", "data"))) if r[2] is None]
-        sums = totals([read_question(r[3], named) for r in asked], named) if asked else []
-        found = [(r["part"], r["block"], r["k"], r["learned"], r["data"]) for r in told]
-        found += [(part, block, None, None, pack([s])) for (part, block, *_), s in zip(asked, sums)]
-        return pa.table(rows_of(group.schema.field("k").type, found))
+        own = pc.is_valid(group.column("k"))
+        told, asked = group.filter(own), group.filter(pc.invert(own))
+        if not asked.num_rows:
+            return told
+        sums = pa.array(answers(asked.column("data").to_pylist(), named), pa.binary())
+        return pa.concat_tables([told, asked.set_column(asked.schema.get_field_index("data"), told.schema.field("data"), sums)])
 
     def finish(group: pa.Table) -> pa.Table:
-        rows = group.to_pylist()
-        own = next(r for r in rows if r["k"] is not None)
-        names, at, lengths = unpack(own["data"])
+        is_own = pc.is_valid(group.column("k"))
+        own, told = group.filter(is_own), group.filter(pc.invert(is_own)).sort_by("part")
+        names, at, lengths = unpack(own.column("data")[0].as_py())
         block = Block(np.cumsum(names), at, lengths)
         n, known = np.zeros(len(block.first), np.int64), block.names[block.names < named]
         n[: len(known)] = shared.built(Words).counts[known]
-        answers = {r["part"]: r["data"] for r in rows if r["k"] is None}
-        for part, grams in block.asked(named, spread, parts):
-            n[grams] = unpack(answers[part])[0]
+        if asked := block.asked(named, spread, parts):
+            n[np.concatenate([grams for _, grams in asked])] = read_answers(told.column("data").to_pylist())
         automaton = Automaton(block, n, total, types, prior)
         starts = np.cumsum(lengths) - lengths
-        uni = np.log10((n[at] + 0.5) / (total + 0.5 * (types + 1)))
-        texts = [slice(s, s + m) for s, m in zip(starts.tolist(), lengths.tolist())]
-        choices = [g.tolist() for g in block.grams_at()]
-        scores = [automaton.walk(*(g[text] for g in choices))[0] for text in texts]
         return pa.table({
-            key: pa.array(own["k"], group.schema.field("k").type.value_type), "learned": pa.array(own["learned"], pa.bool_()),
+            key: own.column("k").combine_chunks().flatten(), "learned": own.column("learned").combine_chunks().flatten(),
             "n_tokens": pa.array(lengths, pa.int64()), "n_known": pa.array(np.add.reduceat((n[at] > 0).astype(np.int64), starts)),
             "train_tokens": pa.array(np.full(len(lengths), total, np.int64)),
-            "base_score": pa.array(np.add.reduceat(uni, starts)), "score": pa.array(scores, pa.float64()),
+            "base_score": pa.array(np.add.reduceat(automaton.arc_weight[at], starts)), "score": pa.array(automaton.walk_all(block)),
         })
 
     numbered = rows.select(F.monotonically_increasing_id().alias("row"), "k", "learned", "v")

@@ -6,10 +6,13 @@ import hashlib
 import io
 import math
 import random
+import time
+import timeit
 import urllib.parse
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -18,7 +21,7 @@ from tokenizers import Tokenizer
 import corpus_pipeline
 from checks.compare import compare, connect
 from ledgerlens.llm import ann, bpe, chat, components, embed_dedup, langid, lm, mixing, simhash, url_filter, warc
-from ledgerlens.llm.common import remainder, ship
+from ledgerlens.llm.common import remainder, ship, words
 from ledgerlens.llm.oracles import ORACLES
 from ledgerlens.llm.queries import REGISTRY, VOCABULARY
 
@@ -329,6 +332,74 @@ def test_questions_and_answers():
         assert all((t == 2 * n[grams]).all() for t in lm.totals([read, read], 1 << 17))
 
 
+def test_words_of_slices():
+    """Texts are split as ``words`` does, those of a slice of a batch included, whose bytes begin inside a buffer."""
+    rng = random.Random(5)
+    signs = ["a", "B", "Ä", "é", "\u2003", "\u0085", " ", "\t", "\n", "\x0b", "\x0c", "\r", "\x1c", "Z"]
+    texts = ["".join(rng.choices(signs, k=rng.randrange(12))).encode() for _ in range(500)] + [b"", b" ", b"\xff A \xc3"]
+    for kind in (pa.binary(), pa.large_binary()):
+        whole = pa.array(texts, kind)
+        for piece in (whole, whole[300:], whole[7:400], whole[500:501], whole[:0]):
+            flat, each = lm.split(piece)
+            want = [words(t) for t in piece.to_pylist()]
+            assert each.tolist() == [len(w) for w in want] and flat.view(pa.large_binary()).to_pylist() == [x for w in want for x in w]
+    numbers = {b"a": 0, b"b": 1}
+    flat, each = lm.split(pa.array(texts, pa.binary())[300:])
+    names, at, lengths = lm.in_codes(pa.chunked_array([flat.slice(0, 100), flat.slice(100)]), each, numbers)
+    want = [lm.coded([*words(t), lm.END], numbers) for t in texts[300:]]
+    assert lengths.tolist() == [len(w) for w in want] and (names[at] == np.concatenate(want)).all() and (np.diff(names) > 0).all()
+
+
+def some_block(rng, lengths, types=3000):
+    names, at = np.unique(np.minimum(rng.zipf(1.3, sum(lengths)), types), return_inverse=True)
+    return lm.Block(names, at, np.array(lengths))
+
+
+def test_all_texts_walk_at_once():
+    """The texts of a block, long ones and single words, get what each gets alone, for a part of the time."""
+    rng = np.random.default_rng(2)
+    block = some_block(rng, [1, 2, 3, 30_000, 1, *rng.integers(1, 900, 300).tolist()])
+    learned = rng.random(len(block.lengths)) < 0.6
+    machine = lm.Automaton(block, block.counts(learned), 10**6, 10**4, (64.0, 8.0))
+    assert 0 < (machine.arc_to[len(block.names) :] < 0).mean() < 1 and (machine.arc_to[: len(block.names)] == 0).any()
+    starts = np.cumsum(block.lengths) - block.lengths
+
+    def each():
+        grams = block.grams_at()
+        return [machine.walk(*(g[i : i + m].tolist() for g in grams))[0] for i, m in zip(starts, block.lengths)]
+
+    def seconds(run):
+        return min(timeit.repeat(run, timer=time.process_time, number=1, repeat=3))
+
+    assert np.allclose(machine.walk_all(block), each(), rtol=1e-11, atol=0)
+    assert seconds(lambda: machine.walk_all(block)) < 0.6 * seconds(each)
+
+
+@pytest.mark.parametrize("parts", [1, 7, 900])
+def test_answers_are_sums_over_blocks(parts):
+    """Blocks whose numbers have other widths ask the same parts, empty-handed ones and n-grams of one block included."""
+    rng = np.random.default_rng(4)
+    named, high = 40, 1 << 62
+    blocks = [some_block(rng, lengths, types) for lengths, types in (([70_000], 30), ([5, 400, 1], 5000), ([9000], 5000), ([1], 50))]
+    for b in blocks:
+        b.names = np.where(b.names < named, b.names, b.names * 977 + high)
+    counts = [b.counts(np.ones(len(b.lengths), bool)) for b in blocks]
+    total, mailed = collections.Counter(), collections.defaultdict(list)
+    keys = [[tuple(int(b.names[w]) if w >= 0 else -1 for w in g) for g in zip(b.first, b.second, b.third)] for b in blocks]
+    for k, n in zip(keys, counts):
+        total.update(dict(zip(k, n.tolist())))
+    asked = [b.asked(named, 4, parts) for b in blocks]
+    for i, (b, a, n) in enumerate(zip(blocks, asked, counts)):
+        assert [p for p, _ in a] == [p for p, _ in b.questions(a, n, named)]
+        for part, data in b.questions(a, n, named):
+            mailed[part].append((i, data))
+    told = {(part, i): d for part, m in mailed.items() for (i, _), d in zip(m, lm.answers([d for _, d in m], named))}
+    for i, a in enumerate(asked):
+        grams = np.concatenate([g for _, g in a]) if a else []
+        got = lm.read_answers([told[part, i] for part, _ in a]).tolist() if a else []
+        assert got == [total[keys[i][g]] for g in grams] and (i == 3 or len(got) > 300)
+
+
 def test_calibration_hears_every_vector_alike(spark):
     """A large tight group must not decide alone how many cells are visited: ordinary pairs are found as well."""
     rng = np.random.default_rng(3)
